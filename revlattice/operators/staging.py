@@ -50,11 +50,17 @@ INVOICE_JSON = (
 
 
 def _parsed(raw: DataFrame, schema: str) -> DataFrame:
-    return raw.select("id", F.from_json("raw_json", schema).alias("j"), "extracted_at")
+    """(id, extracted_at, the document's fields).
+
+    Parsed through a generator because Spark does not move later filters below one; pushed
+    below a plain projection, each filter would parse the document again.
+    """
+    document = F.inline(F.array(F.from_json("raw_json", schema)))
+    return raw.select("id", "extracted_at", document)
 
 
 def stg_companies(raw: DataFrame) -> DataFrame:
-    p = F.col("j.properties")
+    p = F.col("properties")
     return _parsed(raw, COMPANY_JSON).select(
         F.col("id").alias("company_id"),
         p["name"].alias("company_name"),
@@ -66,7 +72,7 @@ def stg_companies(raw: DataFrame) -> DataFrame:
 
 
 def stg_contacts(raw: DataFrame) -> DataFrame:
-    p = F.col("j.properties")
+    p = F.col("properties")
     email = F.lower(p["email"])
     return _parsed(raw, CONTACT_JSON).select(
         F.col("id").alias("contact_id"),
@@ -82,7 +88,7 @@ def stg_contacts(raw: DataFrame) -> DataFrame:
 
 
 def stg_deals(raw: DataFrame) -> DataFrame:
-    p = F.col("j.properties")
+    p = F.col("properties")
     return _parsed(raw, DEAL_JSON).select(
         F.col("id").alias("deal_id"),
         p["dealname"].alias("deal_name"),
@@ -103,56 +109,52 @@ def stg_deal_accounts(raw: DataFrame, property_name: str) -> DataFrame:
 
 
 def stg_customers(raw: DataFrame) -> DataFrame:
-    j = F.col("j")
     return _parsed(raw, CUSTOMER_JSON).select(
         F.col("id").alias("customer_id"),
-        j["name"].alias("customer_name"),
-        F.lower(j["email"]).alias("email"),
-        j["metadata"]["hubspot_company_id"].alias("hubspot_company_id"),
-        from_epoch(strict_bigint(j["created"], "customer.created")).alias("created_at"),
+        F.col("name").alias("customer_name"),
+        F.lower(F.col("email")).alias("email"),
+        F.col("metadata.hubspot_company_id"),
+        from_epoch(strict_bigint(F.col("created"), "customer.created")).alias("created_at"),
         "extracted_at",
     )
 
 
 def stg_subscriptions(raw: DataFrame) -> DataFrame:
     """One row per subscription item; a subscription without items keeps one row."""
-    j, item = F.col("j"), F.col("item")
-    per_item = _parsed(raw, SUBSCRIPTION_JSON).select(
-        "id", "j", "extracted_at", F.explode_outer("j.items.data").alias("item")
-    )
+    item = F.col("item")
+    per_item = _parsed(raw, SUBSCRIPTION_JSON).select("*", F.explode_outer("items.data").alias("item"))
 
     def moment(text):
         return from_epoch(safe_bigint(text))
 
     return per_item.select(
         F.col("id").alias("subscription_id"),
-        j["customer"].alias("customer_id"),
-        j["status"].alias("subscription_status"),
-        j["currency"].alias("currency"),
+        F.col("customer").alias("customer_id"),
+        F.col("status").alias("subscription_status"),
+        "currency",
         item["price"]["id"].alias("price_id"),
         cents_to_usd(item["price"]["unit_amount"]).alias("monthly_amount_usd"),
         safe_bigint(item["quantity"]).alias("quantity"),
         moment(item["current_period_start"]).alias("current_period_start"),
         moment(item["current_period_end"]).alias("current_period_end"),
-        moment(j["created"]).alias("created_at"),
-        moment(j["canceled_at"]).alias("canceled_at"),
-        moment(j["ended_at"]).alias("ended_at"),
-        safe_boolean(j["cancel_at_period_end"]).alias("cancel_at_period_end"),
+        moment(F.col("created")).alias("created_at"),
+        moment(F.col("canceled_at")).alias("canceled_at"),
+        moment(F.col("ended_at")).alias("ended_at"),
+        safe_boolean(F.col("cancel_at_period_end")).alias("cancel_at_period_end"),
         "extracted_at",
     )
 
 
 def stg_invoices(raw: DataFrame) -> DataFrame:
-    j = F.col("j")
     return _parsed(raw, INVOICE_JSON).select(
         F.col("id").alias("invoice_id"),
-        j["customer"].alias("customer_id"),
-        j["parent"]["subscription_details"]["subscription"].alias("subscription_id"),
-        j["status"].alias("payment_status"),
-        cents_to_usd(j["amount_due"]).alias("amount_due_usd"),
-        cents_to_usd(j["amount_paid"]).alias("amount_paid_usd"),
-        j["currency"].alias("currency"),
-        from_epoch(strict_bigint(j["created"], "invoice.created")).alias("created_at"),
+        F.col("customer").alias("customer_id"),
+        F.col("parent.subscription_details.subscription").alias("subscription_id"),
+        F.col("status").alias("payment_status"),
+        cents_to_usd(F.col("amount_due")).alias("amount_due_usd"),
+        cents_to_usd(F.col("amount_paid")).alias("amount_paid_usd"),
+        "currency",
+        from_epoch(strict_bigint(F.col("created"), "invoice.created")).alias("created_at"),
         "extracted_at",
     )
 

@@ -1,13 +1,15 @@
-"""How the models build on each other, from staged inputs to the marts."""
+"""How the models build on each other, from raw inputs to the marts."""
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from revlattice.functions.dates import AsOf
+from revlattice.operators import staging
 from revlattice.operators.health import account_health
 from revlattice.operators.identity import account_identity
 from revlattice.operators.overview import account_overview
@@ -15,58 +17,105 @@ from revlattice.operators.pql import product_qualified_leads
 from revlattice.operators.subscription import account_subscription
 from revlattice.operators.usage import account_daily_usage
 from revlattice.session import store
-from revlattice.sources.driver_tables import Staged
 
+Raw = dict[str, Callable[[], DataFrame]]
 
-@dataclass(frozen=True)
-class Core:
-    """The intermediate models every mart reads."""
 
-    identity: DataFrame
-    daily_usage: DataFrame
-    subscription: DataFrame
+class Models:
+    """Every model, made when first asked for.
 
-
-def core_models(inputs: Staged, stored: bool = False) -> Core:
-    """With `stored` each model is computed once and written; marts then read the files.
-
-    Without, they stay part of the caller's plan: better when each is read once.
+    `raw` gives the inputs by name: the six object tables, `usage_events` and `plans`.
+    Models named in `written` are computed once, stored in the shared folder and read back
+    by all that build on them: right for what is read several times. The others stay part
+    of the plan of whoever asks.
     """
 
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        return store(df, name) if stored else df
-
-    identity = keep(account_identity(inputs.companies, inputs.customers), "identity")
-    return Core(
-        identity=identity,
-        daily_usage=keep(account_daily_usage(inputs.usage_events, identity), "daily_usage"),
-        subscription=keep(
-            account_subscription(identity, inputs.subscriptions, inputs.plans), "subscription"
-        ),
-    )
-
-
-@dataclass(frozen=True)
-class Marts:
-    health: DataFrame
-    leads: DataFrame
-    overview: DataFrame
-
-
-def mart_models(
-    core: Core, inputs: Staged, as_of: AsOf, refreshed_at: dt.datetime | str | None = None
-) -> Marts:
-    health = account_health(core.subscription, core.daily_usage, as_of)
-    leads = product_qualified_leads(core.identity, core.subscription, core.daily_usage, as_of)
-    overview = account_overview(
-        core.identity,
-        core.subscription,
-        core.daily_usage,
-        health,
-        leads,
-        inputs.invoices,
-        inputs.contacts,
-        as_of,
-        refreshed_at,
-    )
-    return Marts(health, leads, overview)
+    def __init__(
+        self,
+        raw: Raw,
+        as_of: AsOf,
+        refreshed_at: dt.datetime | str | None = None,
+        written: tuple[str, ...] = (),
+    ) -> None:
+        self.raw, self.as_of, self.refreshed_at, self.written = raw, as_of, refreshed_at, written
+
+    def _keep(self, name: str, df: DataFrame) -> DataFrame:
+        return store(df, name) if name in self.written else df
+
+    # staging
+
+    @cached_property
+    def companies(self) -> DataFrame:
+        return self._keep("companies", staging.stg_companies(self.raw["companies"]()))
+
+    @cached_property
+    def contacts(self) -> DataFrame:
+        return self._keep("contacts", staging.stg_contacts(self.raw["contacts"]()))
+
+    @cached_property
+    def deals(self) -> DataFrame:
+        return self._keep("deals", staging.stg_deals(self.raw["deals"]()))
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._keep("customers", staging.stg_customers(self.raw["customers"]()))
+
+    @cached_property
+    def subscriptions(self) -> DataFrame:
+        return self._keep("subscriptions", staging.stg_subscriptions(self.raw["subscriptions"]()))
+
+    @cached_property
+    def invoices(self) -> DataFrame:
+        return self._keep("invoices", staging.stg_invoices(self.raw["invoices"]()))
+
+    @cached_property
+    def usage_events(self) -> DataFrame:
+        return self._keep("usage_events", staging.stg_usage_events(self.raw["usage_events"]()))
+
+    @cached_property
+    def plans(self) -> DataFrame:
+        return self.raw["plans"]()
+
+    # intermediate
+
+    @cached_property
+    def identity(self) -> DataFrame:
+        return self._keep("identity", account_identity(self.companies, self.customers))
+
+    @cached_property
+    def daily_usage(self) -> DataFrame:
+        return self._keep("daily_usage", account_daily_usage(self.usage_events, self.identity))
+
+    @cached_property
+    def account_subscriptions(self) -> DataFrame:
+        found = account_subscription(self.identity, self.subscriptions, self.plans)
+        return self._keep("account_subscriptions", found)
+
+    # marts
+
+    @cached_property
+    def health(self) -> DataFrame:
+        scored = account_health(self.account_subscriptions, self.daily_usage, self.as_of)
+        return self._keep("health", scored)
+
+    @cached_property
+    def leads(self) -> DataFrame:
+        found = product_qualified_leads(
+            self.identity, self.account_subscriptions, self.daily_usage, self.as_of
+        )
+        return self._keep("leads", found)
+
+    @cached_property
+    def overview(self) -> DataFrame:
+        wide = account_overview(
+            self.identity,
+            self.account_subscriptions,
+            self.daily_usage,
+            self.health,
+            self.leads,
+            self.invoices,
+            self.contacts,
+            self.as_of,
+            self.refreshed_at,
+        )
+        return self._keep("overview", wide)

@@ -26,10 +26,10 @@ from revlattice.operators import (
     subscription,
     usage,
 )
-from revlattice.plans.models import Core, core_models, mart_models
+from revlattice.plans.models import Models
 from revlattice.session import apply_rules, fresh_folder
 from revlattice.sources import driver_tables as src
-from revlattice.sources import landing, layers, usage_log
+from revlattice.sources import landing, layers, seeds, usage_log
 from revlattice.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,34 @@ def query(fn: Query) -> Query:
     return run
 
 
+# What a mart's plan reads several times is written once beforehand.
+SHARED = ("companies", "customers", "identity")
+SHARED_BY_OVERVIEW = (*SHARED, "subscriptions", "daily_usage", "account_subscriptions")
+
+
+def models(spark: SparkSession, sf_dir: str, written: tuple[str, ...] = SHARED) -> Models:
+    """The models over the benchmark tables."""
+
+    def of(make):
+        return lambda: make(spark, sf_dir)
+
+    raw = {
+        "companies": of(src.raw_companies),
+        "contacts": of(src.raw_contacts),
+        "deals": of(src.raw_deals),
+        "customers": of(src.raw_customers),
+        "subscriptions": of(src.raw_subscriptions),
+        "invoices": of(src.raw_invoices),
+        "usage_events": of(src.raw_usage_events),
+        "plans": lambda: seeds.seed_plans(spark),
+    }
+    return Models(raw, TODAY, SYNCED_AT, written)
+
+
+def for_overview(spark: SparkSession, sf_dir: str) -> Models:
+    return models(spark, sf_dir, SHARED_BY_OVERVIEW)
+
+
 # --- sources, landing, sinks
 
 
@@ -127,17 +155,17 @@ def load_usage_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def seed_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The price list, with the subscriptions on each price."""
-    inputs = src.staged(spark, sf_dir)
-    return subscription.plan_summary_of_prices(inputs.subscriptions, inputs.plans)
+    m = models(spark, sf_dir)
+    return subscription.plan_summary_of_prices(m.subscriptions, m.plans)
 
 
 @query
 def materialise_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging as a view, a mart as a table; read back by their published names."""
-    inputs = src.staged(spark, sf_dir)
-    layers.materialise_layer(inputs.companies, " Staging ", "stg_companies", "")
+    m = models(spark, sf_dir)
+    layers.materialise_layer(m.companies, " Staging ", "stg_companies", "")
     marts = fresh_folder(spark, "tables")
-    health_mart = health.account_health(*_subscription_and_usage(spark, sf_dir), TODAY)
+    health_mart = models(spark, sf_dir).health
     layers.materialise_layer(health_mart, "marts", "mart_account_health", marts)
     return spark.sql(
         """
@@ -156,7 +184,7 @@ def _published(spark: SparkSession, df: DataFrame, name: str) -> str:
 
 @query
 def scan_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _published(spark, _marts(spark, sf_dir).overview, "overview")
+    path = _published(spark, for_overview(spark, sf_dir).overview, "overview")
     return layers.scan_overview(spark, path).select(
         "hubspot_company_id", "company_name", "plan_name", "account_segment"
     )
@@ -164,7 +192,7 @@ def scan_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scan_pqls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layers.scan_pqls(spark, _published(spark, _leads(spark, sf_dir), "leads"))
+    return layers.scan_pqls(spark, _published(spark, models(spark, sf_dir).leads, "leads"))
 
 
 # --- staging
@@ -208,23 +236,19 @@ def stg_usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- intermediate models
 
 
-def _core(spark: SparkSession, sf_dir: str, stored: bool = False) -> Core:
-    return core_models(src.staged(spark, sf_dir), stored)
-
-
 @query
 def account_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _core(spark, sf_dir).identity
+    return models(spark, sf_dir).identity
 
 
 @query
 def account_daily_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _core(spark, sf_dir).daily_usage
+    return models(spark, sf_dir).daily_usage
 
 
 @query
 def account_subscription(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _core(spark, sf_dir).subscription
+    return models(spark, sf_dir).account_subscriptions
 
 
 # --- history
@@ -297,24 +321,19 @@ def scd2_as_of_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- health and leads
 
 
-def _subscription_and_usage(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    core = _core(spark, sf_dir)
-    return core.subscription, core.daily_usage
-
-
 @query
 def usage_two_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return usage.usage_two_windows(_core(spark, sf_dir).daily_usage, TODAY)
+    return usage.usage_two_windows(models(spark, sf_dir).daily_usage, TODAY)
 
 
 @query
 def account_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return health.account_health(*_subscription_and_usage(spark, sf_dir), TODAY)
+    return models(spark, sf_dir).health
 
 
 @query
 def health_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = health.account_health(*_subscription_and_usage(spark, sf_dir), TODAY)
+    scored = models(spark, sf_dir).health
     return health.health_reason(scored).select(
         "hubspot_company_id", "credits_recent", "credits_previous", "health_status", "health_reason"
     )
@@ -322,23 +341,18 @@ def health_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def recent_usage_14d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return usage.recent_usage_14d(_core(spark, sf_dir).daily_usage, TODAY)
+    return usage.recent_usage_14d(models(spark, sf_dir).daily_usage, TODAY)
 
 
 @query
 def pql_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    core = _core(spark, sf_dir)
-    return pql.pql_signals(core.identity, core.subscription, core.daily_usage, TODAY)
-
-
-def _leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    core = _core(spark, sf_dir)
-    return pql.product_qualified_leads(core.identity, core.subscription, core.daily_usage, TODAY)
+    m = models(spark, sf_dir)
+    return pql.pql_signals(m.identity, m.account_subscriptions, m.daily_usage, TODAY)
 
 
 @query
 def product_qualified_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pql.ranked_leads(_leads(spark, sf_dir))
+    return pql.ranked_leads(models(spark, sf_dir).leads)
 
 
 # --- revenue
@@ -425,18 +439,9 @@ def hard_delete_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- overview
 
 
-def _marts(spark: SparkSession, sf_dir: str):
-    inputs = src.staged(spark, sf_dir)
-    return mart_models(core_models(inputs, stored=True), inputs, TODAY, SYNCED_AT)
-
-
-def _overview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _marts(spark, sf_dir).overview
-
-
 @query
 def usage_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return usage.usage_windows(_core(spark, sf_dir).daily_usage, TODAY)
+    return usage.usage_windows(models(spark, sf_dir).daily_usage, TODAY)
 
 
 @query
@@ -451,12 +456,12 @@ def primary_contact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def account_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _overview(spark, sf_dir).drop("refreshed_at")
+    return for_overview(spark, sf_dir).overview.drop("refreshed_at")
 
 
 @query
 def account_limits_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _overview(spark, sf_dir).select(
+    return for_overview(spark, sf_dir).overview.select(
         "hubspot_company_id",
         "credit_usage_pct",
         "seat_usage_pct",
@@ -467,7 +472,7 @@ def account_limits_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def account_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _overview(spark, sf_dir).select("hubspot_company_id", "account_segment")
+    return for_overview(spark, sf_dir).overview.select("hubspot_company_id", "account_segment")
 
 
 # --- activation
@@ -475,13 +480,14 @@ def account_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def company_property_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    payload = activation.company_property_payload(_overview(spark, sf_dir), SYNCED_AT)
+    payload = activation.company_property_payload(for_overview(spark, sf_dir).overview, SYNCED_AT)
     return payload.select("id", F.to_json("properties").alias("properties"))
 
 
 @query
 def payload_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    payload = activation.company_property_payload(_overview(spark, sf_dir), SYNCED_AT)
+    m = models(spark, sf_dir, (*SHARED_BY_OVERVIEW, "overview"))
+    payload = activation.company_property_payload(m.overview, SYNCED_AT)
     return activation.payload_batches(payload).select(
         "batch_no", "size", F.to_json("inputs").alias("inputs")
     )
@@ -494,7 +500,7 @@ def _deal_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def new_pql_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return activation.new_pql_deals(_leads(spark, sf_dir), _deal_accounts(spark, sf_dir))
+    return activation.new_pql_deals(models(spark, sf_dir).leads, _deal_accounts(spark, sf_dir))
 
 
 @query
@@ -509,7 +515,7 @@ def deal_value_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def deal_sync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decided = activation.deal_decisions(_leads(spark, sf_dir), _deal_accounts(spark, sf_dir))
+    decided = activation.deal_decisions(models(spark, sf_dir).leads, _deal_accounts(spark, sf_dir))
     return activation.deal_sync_counts(decided)
 
 
@@ -518,7 +524,7 @@ def deal_sync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = src.staged(spark, sf_dir)
+    m = models(spark, sf_dir)
     out = None
     for name in (
         "companies",
@@ -529,7 +535,7 @@ def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         "invoices",
         "usage_events",
     ):
-        profile = quality.null_profile(getattr(inputs, name), f"stg_{name}")
+        profile = quality.null_profile(getattr(m, name), f"stg_{name}")
         out = profile if out is None else out.unionByName(profile)
     return out
 
@@ -537,12 +543,12 @@ def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per account holds for the accounts; billing customers per invoice do repeat."""
-    core = _core(spark, sf_dir)
+    m = models(spark, sf_dir)
     invoices = staging.stg_invoices(src.raw_invoices(spark, sf_dir))
     return (
-        quality.key_uniqueness(core.subscription, "hubspot_company_id", "account_subscription")
+        quality.key_uniqueness(m.account_subscriptions, "hubspot_company_id", "account_subscription")
         .unionByName(
-            quality.key_uniqueness(core.subscription, "subscription_id", "account_subscription")
+            quality.key_uniqueness(m.account_subscriptions, "subscription_id", "account_subscription")
         )
         .unionByName(quality.key_uniqueness(invoices, "customer_id", "stg_invoices"))
     )
@@ -566,19 +572,19 @@ def unattributed_and_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def validate_against_answer_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.validate_against_answer_key(
-        src.answer_key(spark, sf_dir), _overview(spark, sf_dir)
+        src.answer_key(spark, sf_dir), for_overview(spark, sf_dir).overview
     )
 
 
 @query
 def match_type_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identity.match_type_coverage(_core(spark, sf_dir).identity)
+    return identity.match_type_coverage(models(spark, sf_dir).identity)
 
 
 @query
 def orphan_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = src.staged(spark, sf_dir)
-    return quality.orphan_billing(inputs.subscriptions, inputs.invoices, inputs.customers)
+    m = models(spark, sf_dir)
+    return quality.orphan_billing(m.subscriptions, m.invoices, m.customers)
 
 
 @query
@@ -609,7 +615,7 @@ def account_usage_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def plan_pressure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plans = src.staged(spark, sf_dir).plans
+    plans = seeds.seed_plans(spark)
     return pressure.plan_pressure(_usage_state(spark, sf_dir), plans)
 
 
@@ -618,31 +624,31 @@ def plan_pressure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def kpi_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reads.kpi_cards(_overview(spark, sf_dir))
+    return reads.kpi_cards(for_overview(spark, sf_dir).overview)
 
 
 @query
 def segment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reads.segment_summary(_overview(spark, sf_dir))
+    return reads.segment_summary(for_overview(spark, sf_dir).overview)
 
 
 @query
 def plan_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reads.plan_summary(_overview(spark, sf_dir))
+    return reads.plan_summary(for_overview(spark, sf_dir).overview)
 
 
 @query
 def account_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accounts on a self-serve paid plan that used the product lately, by a search text."""
     return reads.account_filter(
-        _overview(spark, sf_dir), TODAY, search="CUSTOMER#", plan="pro", active_within_days=14
+        for_overview(spark, sf_dir).overview, TODAY, search="CUSTOMER#", plan="pro", active_within_days=14
     )
 
 
 @query
 def usage_chart_30d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    core = _core(spark, sf_dir)
-    return usage.usage_chart_30d(core.daily_usage, core.identity, TODAY)
+    m = models(spark, sf_dir)
+    return usage.usage_chart_30d(m.daily_usage, m.identity, TODAY)
 
 
 # --- incremental and streaming
@@ -652,7 +658,7 @@ def usage_chart_30d(spark: SparkSession, sf_dir: str) -> DataFrame:
 def incremental_daily_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in three batches by arrival, the last one twice; late ones reopen past days."""
     events = src.raw_usage_events(spark, sf_dir)
-    who = core_models(src.staged(spark, sf_dir)).identity
+    who = models(spark, sf_dir).identity
     root = fresh_folder(spark, "incremental")
     cuts = ["2024-01-12 00:00:00", "2024-01-22 06:00:00"]
     arrived = F.col("ingested_at")
@@ -687,27 +693,28 @@ def streaming_daily_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def identity_normalised_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Billing names spelled differently: a suffix, other case, punctuation."""
-    inputs = src.staged(spark, sf_dir)
-    spelled = inputs.customers.withColumn(
+    m = models(spark, sf_dir)
+    spelled = m.customers.withColumn(
         "customer_name", F.concat(F.upper("customer_name"), F.lit(", Inc."))
     )
-    return identity.identity_normalised_name(inputs.companies, spelled)
+    return identity.identity_normalised_name(m.companies, spelled)
 
 
 @query
 def health_low_usage_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return health.health_low_usage_rule(_overview(spark, sf_dir))
+    return health.health_low_usage_rule(for_overview(spark, sf_dir).overview)
 
 
 @query
 def active_users_exact_14d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = src.staged(spark, sf_dir)
-    return usage.active_users_exact_14d(inputs.usage_events, core_models(inputs).identity, TODAY)
+    m = models(spark, sf_dir)
+    return usage.active_users_exact_14d(m.usage_events, m.identity, TODAY)
 
 
 @query
 def equal_health_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return health.equal_health_windows(*_subscription_and_usage(spark, sf_dir), TODAY)
+    m = models(spark, sf_dir)
+    return health.equal_health_windows(m.account_subscriptions, m.daily_usage, TODAY)
 
 
 @query
@@ -722,10 +729,10 @@ def deal_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def short_history_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return health.short_history_flag(_overview(spark, sf_dir))
+    return health.short_history_flag(for_overview(spark, sf_dir).overview)
 
 
 @query
 def failed_payment_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = src.staged(spark, sf_dir)
-    return health.failed_payment_signal(core_models(inputs).subscription, inputs.invoices)
+    m = models(spark, sf_dir)
+    return health.failed_payment_signal(m.account_subscriptions, m.invoices)

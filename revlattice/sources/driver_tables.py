@@ -8,13 +8,11 @@ keys; every input row is used.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from revlattice.operators import staging
-from revlattice.sources.seeds import PLANS, seed_plans
+from revlattice.sources.seeds import PLANS
 
 # The "today" of usage, and of the order-derived history.
 USAGE_DAY, HISTORY_DAY = "2024-01-31", "2001-12-31"
@@ -22,8 +20,15 @@ EXTRACTED_AT = "2024-01-31 05:00:00"
 DEAL_ACCOUNT_PROPERTY = "revlattice_company_id"
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A benchmark table. Its schema is read from the file footer once, not on every use."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _customers_with_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,30 +219,3 @@ def history_states(spark: SparkSession, sf_dir: str, reactivations: bool) -> Dat
             F.expr("cast(o_orderdate as timestamp)").alias("state_at"),
         )
     )
-
-
-@dataclass(frozen=True)
-class Staged:
-    """The seven staged inputs and the price list."""
-
-    companies: DataFrame
-    contacts: DataFrame
-    deals: DataFrame
-    customers: DataFrame
-    subscriptions: DataFrame
-    invoices: DataFrame
-    usage_events: DataFrame
-    plans: DataFrame
-
-
-def staged(spark: SparkSession, sf_dir: str) -> Staged:
-    return Staged(
-        companies=staging.stg_companies(raw_companies(spark, sf_dir)),
-        contacts=staging.stg_contacts(raw_contacts(spark, sf_dir)),
-        deals=staging.stg_deals(raw_deals(spark, sf_dir)),
-        customers=staging.stg_customers(raw_customers(spark, sf_dir)),
-        subscriptions=staging.stg_subscriptions(raw_subscriptions(spark, sf_dir)),
-        invoices=staging.stg_invoices(raw_invoices(spark, sf_dir)),
-        usage_events=staging.stg_usage_events(raw_usage_events(spark, sf_dir)),
-        plans=seed_plans(spark),
-    )

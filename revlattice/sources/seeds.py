@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 PLAN_SCHEMA = (
     "price_id string, plan_name string, plan_rank bigint, "
@@ -24,5 +25,8 @@ def seed_plans(spark: SparkSession, path: str | None = None) -> DataFrame:
     No broadcast hint: Spark knows the size of either form and broadcasts it only if small.
     """
     if path is None:
-        return spark.createDataFrame(PLANS, PLAN_SCHEMA)
+        names = ", ".join(field.split()[0] for field in PLAN_SCHEMA.split(", "))
+        rows = ", ".join(str(plan) for plan in PLANS)
+        listed = spark.sql(f"SELECT * FROM VALUES {rows} AS plans({names})")
+        return listed.to(StructType.fromDDL(PLAN_SCHEMA))
     return spark.read.schema(PLAN_SCHEMA).csv(path, header=True)
