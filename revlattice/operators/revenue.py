@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -131,24 +131,44 @@ def movement_totals(moves: DataFrame) -> DataFrame:
     )
 
 
+def _calendar(first: Column, as_of: AsOf) -> Column:
+    """Every Monday from `first` to the current week; NULL without a start or before it."""
+    last = F.trunc(as_day(as_of), "week")
+    return F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 7 DAYS")))
+
+
+def _first_start() -> Column:
+    return F.min(F.when(F.col("starts") > 0, F.col("week_start")))
+
+
 def week_spine(totals: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Every Monday from the first start's week to the current one; none without starts."""
-    bounds = totals.where(F.col("starts") > 0).agg(F.min("week_start").alias("first"))
-    last = F.trunc(as_day(as_of), "week")
-    weeks = F.when(
-        F.col("first") <= last, F.sequence(F.col("first"), last, F.expr("INTERVAL 7 DAYS"))
+    return totals.agg(_first_start().alias("first")).select(
+        F.explode(_calendar(F.col("first"), as_of)).alias("week_start")
     )
-    return bounds.select(F.explode(weeks).alias("week_start"))
 
 
 def weekly_movement_totals(history: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Dense weeks, zero-filled. Movements are reduced to weeks before the join."""
+    """Dense weeks, zero-filled; movements outside the calendar drop out.
+
+    The totals, one per calendar week, become one map that the calendar looks its weeks up
+    in, so the history is gone through once for both.
+    """
     totals = movement_totals(movements(subscription_versions_with_prev(history)))
-    by_week = totals.withColumnRenamed("week_start", "moved_in")
-    spine = week_spine(totals, as_of)
     names = [*MONEY.values(), *COUNTS.values()]
-    return spine.join(by_week, F.col("week_start") == F.col("moved_in"), "left").select(
-        "week_start", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in names]
+    entry = F.struct("week_start", F.struct(*names))
+    whole = totals.agg(
+        _first_start().alias("first"),
+        F.map_from_entries(
+            F.collect_list(F.when(F.col("week_start").isNotNull(), entry))
+        ).alias("by_week"),
+    )
+    dense = whole.select(
+        F.explode(_calendar(F.col("first"), as_of)).alias("week_start"), "by_week"
+    )
+    that_week = F.try_element_at("by_week", F.col("week_start"))
+    return dense.select(
+        "week_start", *[F.coalesce(that_week[c], F.lit(0)).alias(c) for c in names]
     )
 
 

@@ -41,29 +41,32 @@ def domain_daily_usage(events: DataFrame) -> DataFrame:
     )
 
 
-def account_daily_usage(events: DataFrame, identity: DataFrame) -> DataFrame:
-    """Sparse account-day facts; events without a known account drop out.
+def attribute_usage(domain_usage: DataFrame, identity: DataFrame) -> DataFrame:
+    """Domain facts to account-day facts; domains without a known account drop out.
 
-    Events are aggregated before the join. An account listed several times in `identity`
-    counts its events as many times, as joining first would; distinct users do not change.
+    An account listed several times in `identity` counts its events as many times, as
+    joining before aggregating would; distinct users do not change.
     """
-    facts = domain_daily_usage(events)
     owners = (
         identity.where(F.col("company_domain").isNotNull())
         .groupBy("hubspot_company_id", "company_domain")
         .agg(F.count("*").alias("listed"))
     )
     sums = ["total_credits_used", *EVENT_COUNTS.values(), "total_events"]
-    measures = [
-        (F.col(c) * F.col("listed")).alias(c) if c in sums else F.col(c)
-        for c in facts.columns
-        if c not in ("account_domain", "usage_date")
-    ]
-    return facts.join(owners, F.col("account_domain") == F.col("company_domain")).select(
-        "hubspot_company_id", "account_domain", "usage_date", *measures
+    return domain_usage.join(owners, F.col("account_domain") == F.col("company_domain")).select(
+        "hubspot_company_id",
+        "account_domain",
+        "usage_date",
+        "active_users",
+        *[(F.col(c) * F.col("listed")).alias(c) for c in sums],
     )
 
 
+def account_daily_usage(events: DataFrame, identity: DataFrame) -> DataFrame:
+    """Sparse account-day facts. Events are aggregated before they meet the accounts."""
+    return attribute_usage(domain_daily_usage(events), identity)
+
+
 def within(as_of: AsOf, days: int) -> Column:
     """From `days` ago on, today included, no upper bound."""
     return F.col("usage_date") >= days_before(as_of, days)

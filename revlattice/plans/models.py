@@ -15,7 +15,7 @@ from revlattice.operators.identity import account_identity
 from revlattice.operators.overview import account_overview
 from revlattice.operators.pql import product_qualified_leads
 from revlattice.operators.subscription import account_subscription
-from revlattice.operators.usage import account_daily_usage
+from revlattice.operators.usage import attribute_usage, domain_daily_usage
 from revlattice.session import store
 
 Raw = dict[str, Callable[[], DataFrame]]
@@ -24,7 +24,8 @@ Raw = dict[str, Callable[[], DataFrame]]
 class Models:
     """Every model, made when first asked for.
 
-    `raw` gives the inputs by name: the six object tables, `usage_events` and `plans`.
+    `raw` gives the inputs by name: the six object tables, `usage_events` and `plans`, and
+    `domain_usage` where daily facts per domain are already kept up to date.
     Models named in `written` are computed once, stored in the shared folder and read back
     by all that build on them: right for what is read several times. The others stay part
     of the plan of whoever asks.
@@ -36,11 +37,13 @@ class Models:
         as_of: AsOf,
         refreshed_at: dt.datetime | str | None = None,
         written: tuple[str, ...] = (),
+        write: Callable[[str, DataFrame], DataFrame] | None = None,
     ) -> None:
         self.raw, self.as_of, self.refreshed_at, self.written = raw, as_of, refreshed_at, written
+        self.write = write or (lambda name, df: store(df, name))
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
-        return store(df, name) if name in self.written else df
+        return self.write(name, df) if name in self.written else df
 
     # staging
 
@@ -84,7 +87,9 @@ class Models:
 
     @cached_property
     def daily_usage(self) -> DataFrame:
-        return self._keep("daily_usage", account_daily_usage(self.usage_events, self.identity))
+        kept = self.raw.get("domain_usage")
+        facts = kept() if kept else domain_daily_usage(self.usage_events)
+        return self._keep("daily_usage", attribute_usage(facts, self.identity))
 
     @cached_property
     def account_subscriptions(self) -> DataFrame:

@@ -669,8 +669,8 @@ def incremental_daily_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     log, daily = f"{root}/events", f"{root}/daily"
     for number, batch in enumerate([*batches, batches[-1]]):
-        incremental.incremental_daily_usage(batch, log, daily, who, first_load=number == 0)
-    return incremental.read_daily_usage(spark, daily)
+        incremental.incremental_daily_usage(batch, log, daily, first_load=number == 0)
+    return usage.attribute_usage(incremental.read_domain_usage(spark, daily), who)
 
 
 @query

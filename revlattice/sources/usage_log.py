@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,17 +55,25 @@ def append_usage_events(events: DataFrame, table_path: str, first_load: bool = F
     """Append a batch and return the event dates it touched.
 
     Safe to run again with the same batch: events already in the touched date partitions
-    are left out, and only those partitions are read for that.
+    are left out, and only those partitions are read for that. `first_load` says that the
+    table is known to be empty.
     """
-    spark = events.sparkSession
     days = touched_days(events)
     batch = _dated(events).dropDuplicates(["event_id"])
-    if not first_load and days:
-        present = (
-            read_usage_log(spark, table_path)
-            .where(F.col("occurred_date").isin(days) | F.col("occurred_date").isNull())
-            .select("event_id")
-        )
+    present = None if first_load else _present_ids(events.sparkSession, table_path, days)
+    if present is not None:
         batch = batch.join(present, "event_id", "left_anti")
     batch.write.mode("append").partitionBy("occurred_date").parquet(table_path)
     return days
+
+
+def _present_ids(spark: SparkSession, table_path: str, days: list) -> DataFrame | None:
+    """Event ids of the given dates, and of events without a date; None without a table."""
+    try:
+        log = read_usage_log(spark, table_path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    dated = F.col("occurred_date")
+    return log.where(dated.isin(days) | dated.isNull()).select("event_id")

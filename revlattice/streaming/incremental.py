@@ -2,39 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from revlattice.operators.staging import stg_usage_events
-from revlattice.operators.usage import account_daily_usage, event_counts
+from revlattice.operators.usage import domain_daily_usage, event_counts
 from revlattice.sources.usage_log import append_usage_events, read_usage_log
 
 # Fixed value: how late an event can be, two days and ten hours.
 LATEST_ARRIVAL = "58 hours"
 
 DAILY_SCHEMA = (
-    "hubspot_company_id string, account_domain string, total_credits_used bigint, "
-    "active_users bigint, sessions bigint, prompt_runs bigint, projects_created bigint, "
-    "teammates_invited bigint, projects_published bigint, total_events bigint, usage_date date"
+    "account_domain string, total_credits_used bigint, active_users bigint, sessions bigint, "
+    "prompt_runs bigint, projects_created bigint, teammates_invited bigint, "
+    "projects_published bigint, total_events bigint, usage_date date"
 )
 
 
-def read_daily_usage(spark: SparkSession, daily_path: str) -> DataFrame:
+def read_domain_usage(spark: SparkSession, daily_path: str) -> DataFrame:
     return spark.read.schema(DAILY_SCHEMA).parquet(daily_path)
 
 
-def refresh_days(
-    spark: SparkSession, days: list, events_path: str, daily_path: str, identity: DataFrame
-) -> None:
+def refresh_days(spark: SparkSession, days: list, events_path: str, daily_path: str) -> None:
     """Recompute the given event dates from the whole log and replace just their partitions."""
     if not days:
         return
     touched = read_usage_log(spark, events_path).where(F.col("occurred_date").isin(days))
     (
-        account_daily_usage(stg_usage_events(touched), identity)
+        domain_daily_usage(stg_usage_events(touched))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("usage_date")
@@ -43,36 +39,32 @@ def refresh_days(
 
 
 def incremental_daily_usage(
-    batch: DataFrame, events_path: str, daily_path: str, identity: DataFrame, first_load: bool = False
+    batch: DataFrame, events_path: str, daily_path: str, first_load: bool = False
 ) -> None:
-    """Append one batch of arrivals and bring the daily facts up to date.
+    """Append one batch of arrivals and bring the daily facts per domain up to date.
 
     Event dates decide what is recomputed, however late an event is, and a batch may be
-    repeated: afterwards the facts equal a full recomputation.
+    repeated: afterwards the facts equal a full recomputation. They are kept per domain
+    and attributed to accounts when read, so a later match also gets the past days.
     """
     days = append_usage_events(batch, events_path, first_load)
-    refresh_days(batch.sparkSession, days, events_path, daily_path, identity)
+    refresh_days(batch.sparkSession, days, events_path, daily_path)
 
 
 def follow_arrivals(
     arrivals: DataFrame,
     events_path: str,
     daily_path: str,
-    identity: Callable[[], DataFrame],
     checkpoint: str,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Run `incremental_daily_usage` on every micro-batch of a stream of raw events.
-
-    The two tables must exist (possibly empty). `identity` is called per batch, so newly
-    matched accounts are picked up.
-    """
+    """Run `incremental_daily_usage` on every micro-batch of a stream of raw events."""
 
     def on_batch(batch: DataFrame, _batch_id: int) -> None:
         # Read once: the batch is used for its dates and again for the append.
         batch.persist()
         try:
-            incremental_daily_usage(batch, events_path, daily_path, identity())
+            incremental_daily_usage(batch, events_path, daily_path)
         finally:
             batch.unpersist()
 
