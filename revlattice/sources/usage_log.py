@@ -63,7 +63,14 @@ def append_usage_events(events: DataFrame, table_path: str, first_load: bool = F
     present = None if first_load else _present_ids(events.sparkSession, table_path, days)
     if present is not None:
         batch = batch.join(present, "event_id", "left_anti")
-    batch.write.mode("append").partitionBy("occurred_date").parquet(table_path)
+    # Late events touch several dates: without rebalancing every task would write a small
+    # file to each of them.
+    (
+        batch.hint("rebalance", "occurred_date")
+        .write.mode("append")
+        .partitionBy("occurred_date")
+        .parquet(table_path)
+    )
     return days
 
 

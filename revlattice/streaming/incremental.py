@@ -29,8 +29,10 @@ def refresh_days(spark: SparkSession, days: list, events_path: str, daily_path:
     if not days:
         return
     touched = read_usage_log(spark, events_path).where(F.col("occurred_date").isin(days))
+    # Rebalancing by date gives files of a good size: few per day, large days split.
     (
         domain_daily_usage(stg_usage_events(touched))
+        .hint("rebalance", "usage_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("usage_date")

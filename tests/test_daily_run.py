@@ -81,7 +81,8 @@ def test_repeated_accounts_stop_the_run_before_the_overview(spark, tmp_path):
     # Let through, the account's rows multiply, which the revenue check then catches.
     with pytest.raises(daily.ChecksFailed, match="revenue_reconciles"):
         daily.run_day(spark, root, "2024-01-08", allow_repeated_accounts=True)
-    assert spark.read.parquet(f"{root}/published/run=2024-01-08/overview").count() == 4
+    # Two matches beside two subscription rows, each beside the two lead rows.
+    assert spark.read.parquet(f"{root}/published/run=2024-01-08/overview").count() == 8
 
 
 def test_a_revenue_mismatch_stops_the_payloads(spark, tmp_path):

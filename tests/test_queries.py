@@ -46,14 +46,17 @@ def test_known_counts(spark):
 
 def test_recent_usage_reads_recent_days_only(spark, tmp_path):
     """The date limit of a window reaches the scan of the stored daily facts."""
-    from revlattice.operators.usage import usage_two_windows
+    from revlattice.operators.usage import attribute_usage, usage_two_windows
     from revlattice.streaming import incremental
 
     apply_rules(spark)
-    schema = incremental.DAILY_SCHEMA + ", hubspot_company_id string"
     path = str(tmp_path / "daily")
-    spark.createDataFrame([], schema).write.partitionBy("usage_date").parquet(path)
-    plan = usage_two_windows(spark.read.schema(schema).parquet(path), "2024-01-31")
-    text = plan._jdf.queryExecution().executedPlan().toString()
+    one = spark.sql("SELECT 'a.com', 1, 1, 1, 1, 1, 1, 1, 1, date'2024-01-20'").toDF(
+        *[f.split()[0] for f in incremental.DAILY_SCHEMA.split(", ")]
+    )
+    one.to(incremental.read_domain_usage(spark, str(tmp_path)).schema).write.partitionBy("usage_date").parquet(path)
+    who = spark.createDataFrame([("1", "a.com")], "hubspot_company_id string, company_domain string")
+    windows = usage_two_windows(attribute_usage(incremental.read_domain_usage(spark, path), who), "2024-01-31")
+    text = windows._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(usage_date" in text and "2024-01-03" in text
-    assert "ReadSchema: struct<total_credits_used:bigint,hubspot_company_id:string>" in text
+    assert "ReadSchema: struct<account_domain:string,total_credits_used:bigint>" in text
