@@ -1,8 +1,10 @@
 """Joins that stay spread out when one key, or NULL, holds a large share of the rows.
 
-Inner joins of two plainly shuffled sides need none of this: AQE splits a hot partition
-of either side. It cannot do so when a side comes out of an aggregate, or for the
-non-preserved side of an outer or anti join; these helpers cover those cases.
+Between two plainly shuffled sides AQE splits a hot partition: of either side in an inner
+join, of the left in a left or anti join. It does not when a side comes straight out of an
+aggregate on the join key, since that side is then not shuffled for the join. These
+helpers aggregate the right side, which removes its hot keys, and have it shuffled again,
+which lets AQE split the left.
 """
 
 from __future__ import annotations
@@ -11,60 +13,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _salt(spread_by: list[str], salts: int) -> Column:
-    return F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+def _reshuffled(key: str) -> Column:
+    """The same text as a new expression, by which the side is not yet partitioned."""
+    return F.concat(F.col(key), F.lit(""))
 
 
-def _every_salt(salts: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+def keep_unmatched(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
+    """Left rows whose (text) key does not occur on the right; NULL keys are kept."""
+    known = right.where(F.col(right_key).isNotNull()).select(F.col(right_key).alias("_any"))
+    known = known.distinct().select(_reshuffled("_any").alias("_key"))
+    return left.join(known, F.col(left_key) == F.col("_key"), "left_anti")
 
 
-def keep_unmatched(
-    left: DataFrame,
-    left_key: str,
-    right: DataFrame,
-    right_key: str,
-    spread_by: list[str],
-    salts: int = 16,
-) -> DataFrame:
-    """Left rows whose key does not occur on the right; NULL keys are kept.
-
-    The right side is reduced to its distinct keys before the shuffle, then repeated
-    once per salt, so hot keys on either side end up in many tasks.
-    """
-    known = right.select(F.col(right_key).alias("_key")).where("_key IS NOT NULL").distinct()
-    if salts == 1:
-        return left.join(known, F.col(left_key) == F.col("_key"), "left_anti")
-    known = known.withColumn("_of", _every_salt(salts))
-    salted = left.withColumn("_salt", _salt(spread_by, salts))
-    hit = (F.col(left_key) == F.col("_key")) & (F.col("_salt") == F.col("_of"))
-    return salted.join(known, hit, "left_anti").drop("_salt")
-
-
-def attach_unique(
-    left: DataFrame,
-    left_key: str,
-    right: DataFrame,
-    right_key: str,
-    spread_by: list[str],
-    salts: int = 1,
-) -> DataFrame:
-    """Left join to a side with one row per key, keeping the left's rows and order of columns.
-
-    With one salt only NULL keys are spread (they match nothing, so they may go anywhere);
-    with more, hot keys are spread too and the right side is repeated per salt.
-    """
+def attach_unique(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
+    """Left join to an aggregate with one row per (text) key; its key column is dropped."""
     kept = [c for c in right.columns if c != right_key]
-    keyed = right.where(F.col(right_key).isNotNull()).withColumnRenamed(right_key, "_key")
-    if salts == 1:
-        # The flag makes a stand-in value structurally unable to match.
-        spread = left.withColumn("_has", F.col(left_key).isNotNull()).withColumn(
-            "_at", F.coalesce(F.col(left_key), F.xxhash64(*spread_by).cast("string"))
-        )
-        keyed = keyed.withColumn("_true", F.lit(True))
-        hit = (F.col("_at") == F.col("_key")) & (F.col("_has") == F.col("_true"))
-    else:
-        spread = left.withColumn("_salt", _salt(spread_by, salts))
-        keyed = keyed.withColumn("_of", _every_salt(salts))
-        hit = (F.col(left_key) == F.col("_key")) & (F.col("_salt") == F.col("_of"))
-    return spread.join(keyed, hit, "left").select(*left.columns, *kept)
+    keyed = right.where(F.col(right_key).isNotNull()).select(
+        _reshuffled(right_key).alias("_key"), *kept
+    )
+    return left.join(keyed, F.col(left_key) == F.col("_key"), "left").drop("_key")

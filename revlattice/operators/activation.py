@@ -135,8 +135,6 @@ def new_pql_deals(
         "hubspot_company_id",
         deal_accounts.where(F.col("hubspot_company_id") != ""),
         "hubspot_company_id",
-        spread_by=["hubspot_company_id"],
-        salts=1,
     )
     return fresh.select(
         F.concat(F.coalesce("company_name", F.lit("None")), F.lit(" - Enterprise (PQL)")).alias("dealname"),

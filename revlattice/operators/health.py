@@ -15,9 +15,7 @@ RED_BELOW, YELLOW_BELOW = 0.5, 0.75
 LOW_USAGE = 0.15
 
 
-def _paying_with_usage(
-    account_subscriptions: DataFrame, windows: DataFrame, salts: int, extra: list[str] | None = None
-) -> DataFrame:
+def _paying_with_usage(account_subscriptions: DataFrame, windows: DataFrame) -> DataFrame:
     paying = account_subscriptions.where(F.col("is_active") & (F.col("plan_name") != "free")).select(
         "hubspot_company_id",
         "company_name",
@@ -25,18 +23,9 @@ def _paying_with_usage(
         "monthly_amount_usd",
         "subscription_status",
         "is_active",
-        "subscription_id",
-        *(extra or []),
-    )
-    joined = attach_unique(
-        paying,
-        "hubspot_company_id",
-        windows,
-        "hubspot_company_id",
-        spread_by=["hubspot_company_id", "subscription_id"],
-        salts=salts,
     )
-    return joined.drop("subscription_id").fillna(0, ["credits_recent", "credits_previous"])
+    joined = attach_unique(paying, "hubspot_company_id", windows, "hubspot_company_id")
+    return joined.fillna(0, ["credits_recent", "credits_previous"])
 
 
 def health_status() -> Column:
@@ -49,11 +38,11 @@ def health_status() -> Column:
 
 
 def account_health(
-    account_subscriptions: DataFrame, daily_usage: DataFrame, as_of: AsOf = None, salts: int = 8
+    account_subscriptions: DataFrame, daily_usage: DataFrame, as_of: AsOf = None
 ) -> DataFrame:
     """One scored row per paying subscription; accounts that never used anything are red."""
     windows = usage_two_windows(daily_usage, as_of)
-    scored = _paying_with_usage(account_subscriptions, windows, salts)
+    scored = _paying_with_usage(account_subscriptions, windows)
     return scored.withColumn("health_status", health_status())
 
 
@@ -70,7 +59,7 @@ def health_reason(health: DataFrame) -> DataFrame:
 
 
 def equal_health_windows(
-    account_subscriptions: DataFrame, daily_usage: DataFrame, as_of: AsOf = None, salts: int = 8
+    account_subscriptions: DataFrame, daily_usage: DataFrame, as_of: AsOf = None
 ) -> DataFrame:
     """Extension: health over two windows of exactly 14 days, the later one ending at `as_of`."""
     day = F.col("usage_date")
@@ -85,7 +74,7 @@ def equal_health_windows(
             F.sum(F.when(previous, credits).otherwise(0)).alias("credits_previous"),
         )
     )
-    scored = _paying_with_usage(account_subscriptions, windows, salts)
+    scored = _paying_with_usage(account_subscriptions, windows)
     return scored.withColumn("health_status", health_status())
 
 
@@ -130,11 +119,9 @@ def failed_payment_signal(
         .agg(F.count("*").alias("unpaid_invoices"), F.sum("amount_due_usd").alias("unpaid_usd"))
     )
     paying = account_subscriptions.where(F.col("is_active") & (F.col("plan_name") != "free")).select(
-        "hubspot_company_id", "customer_id", "subscription_id", "plan_name"
+        "hubspot_company_id", "customer_id", "plan_name"
     )
-    return attach_unique(
-        paying, "customer_id", owed, "customer_id", spread_by=["hubspot_company_id"]
-    ).select(
+    return attach_unique(paying, "customer_id", owed, "customer_id").select(
         "hubspot_company_id",
         "plan_name",
         F.coalesce("unpaid_invoices", F.lit(0)).alias("unpaid_invoices"),

@@ -23,7 +23,7 @@ def _labelled(df: DataFrame, customer_id: Column, match_type: str) -> DataFrame:
     return df.select(*ACCOUNT, customer_id.alias("customer_id"), F.lit(match_type).alias("match_type"))
 
 
-def _match(companies: DataFrame, customers: DataFrame, name_key, salts: int) -> DataFrame:
+def _match(companies: DataFrame, customers: DataFrame, name_key) -> DataFrame:
     accounts = _accounts(companies)
     linked = customers.select(F.col("hubspot_company_id").alias("link"), "customer_id")
     named = customers.select(name_key(F.col("customer_name")).alias("billing_name"), "customer_id")
@@ -36,13 +36,9 @@ def _match(companies: DataFrame, customers: DataFrame, name_key, salts: int) ->
         "hubspot_company_id",
         linked,
         "link",
-        spread_by=["hubspot_company_id"],
-        salts=1,
     ).withColumn("name_key", name_key(F.col("company_name")))
     by_name = rest.join(named, F.col("name_key") == F.col("billing_name"))
-    nowhere = keep_unmatched(
-        rest, "name_key", named, "billing_name", spread_by=["hubspot_company_id"], salts=salts
-    )
+    nowhere = keep_unmatched(rest, "name_key", named, "billing_name")
 
     return (
         _labelled(direct, F.col("customer_id"), "direct")
@@ -51,12 +47,12 @@ def _match(companies: DataFrame, customers: DataFrame, name_key, salts: int) ->
     )
 
 
-def account_identity(companies: DataFrame, customers: DataFrame, salts: int = 16) -> DataFrame:
+def account_identity(companies: DataFrame, customers: DataFrame) -> DataFrame:
     """Match by the id stored in billing, else by exact equal name, else no customer.
 
     Rows multiply where several customers match one company; `key_uniqueness` reports that.
     """
-    return _match(companies, customers, lambda name: name, salts)
+    return _match(companies, customers, lambda name: name)
 
 
 def normalised_name(name: Column) -> Column:
@@ -68,9 +64,9 @@ def normalised_name(name: Column) -> Column:
     return F.when(joined != "", joined)
 
 
-def identity_normalised_name(companies: DataFrame, customers: DataFrame, salts: int = 16) -> DataFrame:
+def identity_normalised_name(companies: DataFrame, customers: DataFrame) -> DataFrame:
     """Extension: as `account_identity`, with names compared after normalisation."""
-    return _match(companies, customers, normalised_name, salts)
+    return _match(companies, customers, normalised_name)
 
 
 def match_type_coverage(identity: DataFrame) -> DataFrame:

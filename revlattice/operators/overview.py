@@ -152,28 +152,22 @@ def account_overview(
     contacts: DataFrame,
     as_of: AsOf = None,
     refreshed_at: dt.datetime | str | None = None,
-    salts: int = 8,
 ) -> DataFrame:
     """One wide row per account, all inputs reduced to their key before they are joined."""
-    used = usage_windows(daily_usage, as_of).withColumnRenamed("hubspot_company_id", "used_by")
     scored = health.select(F.col("hubspot_company_id").alias("scored"), "health_status")
     lead = leads.select(F.col("hubspot_company_id").alias("lead"), "signal_count")
     contact = primary_contact(contacts).withColumnRenamed("email", "contact_email")
     account = F.col("hubspot_company_id")
 
     # The account-keyed joins share one partitioning; customer and domain follow.
-    wide = (
-        _accounts_with_subscription(identity, account_subscriptions)
-        .join(used, account == F.col("used_by"), "left")
-        .join(scored, account == F.col("scored"), "left")
-        .join(lead, account == F.col("lead"), "left")
-    )
-    wide = attach_unique(
-        wide, "customer_id", lifetime_revenue(invoices), "customer_id", spread_by=["hubspot_company_id"]
-    )
-    wide = attach_unique(
-        wide, "company_domain", contact, "email_domain", spread_by=["hubspot_company_id"], salts=salts
+    wide = _accounts_with_subscription(identity, account_subscriptions)
+    used = usage_windows(daily_usage, as_of)
+    wide = attach_unique(wide, "hubspot_company_id", used, "hubspot_company_id")
+    wide = wide.join(scored, account == F.col("scored"), "left").join(
+        lead, account == F.col("lead"), "left"
     )
+    wide = attach_unique(wide, "customer_id", lifetime_revenue(invoices), "customer_id")
+    wide = attach_unique(wide, "company_domain", contact, "email_domain")
 
     zero_filled = [
         "credits_used_14d",

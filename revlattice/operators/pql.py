@@ -21,7 +21,6 @@ def pql_signals(
     account_subscriptions: DataFrame,
     daily_usage: DataFrame,
     as_of: AsOf = None,
-    salts: int = 8,
 ) -> DataFrame:
     """Every candidate with its three 0/1 signals, their count and the credit share."""
     large = identity.where(F.col("total_employees") >= MIN_EMPLOYEES).select(
@@ -31,7 +30,6 @@ def pql_signals(
         F.col("plan_name").isin(*PLANS_TO_GROW) & F.col("is_active")
     ).select(
         F.col("hubspot_company_id").alias("account"),
-        "subscription_id",
         "plan_name",
         "monthly_credits",
         "monthly_amount_usd",
@@ -42,8 +40,6 @@ def pql_signals(
         "hubspot_company_id",
         recent_usage_14d(daily_usage, as_of),
         "hubspot_company_id",
-        spread_by=["hubspot_company_id", "subscription_id"],
-        salts=salts,
     )
 
     def flag(condition):
@@ -82,10 +78,9 @@ def product_qualified_leads(
     account_subscriptions: DataFrame,
     daily_usage: DataFrame,
     as_of: AsOf = None,
-    salts: int = 8,
 ) -> DataFrame:
     """Candidates with at least two signals."""
-    signals = pql_signals(identity, account_subscriptions, daily_usage, as_of, salts)
+    signals = pql_signals(identity, account_subscriptions, daily_usage, as_of)
     return signals.where(F.col("signal_count") >= MIN_SIGNALS)
 
 

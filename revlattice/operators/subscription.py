@@ -18,7 +18,7 @@ SUBSCRIPTION = [
 
 
 def account_subscription(
-    identity: DataFrame, subscriptions: DataFrame, plans: DataFrame, salts: int = 16
+    identity: DataFrame, subscriptions: DataFrame, plans: DataFrame
 ) -> DataFrame:
     """Every account with its subscriptions; accounts without one keep a row of NULLs.
 
@@ -28,9 +28,7 @@ def account_subscription(
     accounts = identity.select("hubspot_company_id", "customer_id", "company_name")
     held = subscriptions.select(F.col("customer_id").alias("payer"), *SUBSCRIPTION)
     billed = accounts.join(held, F.col("customer_id") == F.col("payer")).drop("payer")
-    unbilled = keep_unmatched(
-        accounts, "customer_id", held, "payer", spread_by=["hubspot_company_id"], salts=salts
-    )
+    unbilled = keep_unmatched(accounts, "customer_id", held, "payer")
     everyone = billed.unionByName(unbilled, allowMissingColumns=True)
     limits = plans.select(
         F.col("price_id").alias("plan_price"), "plan_name", "plan_rank", "seat_limit", "monthly_credits"

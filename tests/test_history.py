@@ -121,7 +121,8 @@ def test_as_of_edges(spark):
     assert at("2023-12-31") == [] and at("2024-01-01") == [20.0] and at("2024-01-03") == [1.0]
 
 
-def test_as_of_join_equals_brute_force(spark):
+@pytest.mark.parametrize("period", ["year", "quarter", "month"])
+def test_as_of_join_equals_brute_force(spark, period):
     versions = [
         (*state("a", price=1.0), ts("2023-11-15"), ts("2024-01-31")),
         (*state("a", price=2.0), ts("2024-01-31"), ts("2024-02-01")),
@@ -138,6 +139,7 @@ def test_as_of_join_equals_brute_force(spark):
         spark.createDataFrame(versions, VERSION),
         ["monthly_amount_usd"],
         as_of="2024-04-15",
+        period=period,
     )
 
     def price(key, at):
