@@ -36,6 +36,15 @@ def cents_to_usd(text: Column) -> Column:
     return safe_bigint(text) / F.lit(100)
 
 
+def cents(usd: Column) -> Column:
+    return F.rint(usd * 100).cast("bigint")
+
+
+def sum_usd(usd: Column) -> Column:
+    """A sum in whole cents: the same in whatever order tasks add up, also after a retry."""
+    return F.sum(cents(usd)) / F.lit(100)
+
+
 def percent(part: Column, whole: Column) -> Column:
     """Share in percent, one decimal; NULL when the whole is 0 or NULL."""
     return F.round(F.try_divide(part, whole) * 100, 1)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from revlattice.functions.dates import AsOf, days_before
 from revlattice.functions.skew import attach_unique
+from revlattice.functions.values import sum_usd
 from revlattice.operators.usage import usage_two_windows
 
 # Share of the previous window below which an account is red or yellow.
@@ -116,7 +117,7 @@ def failed_payment_signal(
     owed = (
         invoices.where(F.col("payment_status").isin(*unpaid) & (F.col("amount_due_usd") > 0))
         .groupBy("customer_id")
-        .agg(F.count("*").alias("unpaid_invoices"), F.sum("amount_due_usd").alias("unpaid_usd"))
+        .agg(F.count("*").alias("unpaid_invoices"), sum_usd(F.col("amount_due_usd")).alias("unpaid_usd"))
     )
     paying = account_subscriptions.where(F.col("is_active") & (F.col("plan_name") != "free")).select(
         "hubspot_company_id", "customer_id", "plan_name"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from revlattice.functions.dates import AsOf, as_day, days_between
 from revlattice.functions.skew import attach_unique
-from revlattice.functions.values import percent
+from revlattice.functions.values import percent, sum_usd
 from revlattice.operators.usage import usage_windows
 
 
@@ -18,7 +18,10 @@ def lifetime_revenue(invoices: DataFrame) -> DataFrame:
     return (
         invoices.where((F.col("payment_status") == "paid") & (F.col("amount_paid_usd") > 0))
         .groupBy("customer_id")
-        .agg(F.sum("amount_paid_usd").alias("lifetime_revenue_usd"), F.count("*").alias("invoices_paid"))
+        .agg(
+            sum_usd(F.col("amount_paid_usd")).alias("lifetime_revenue_usd"),
+            F.count("*").alias("invoices_paid"),
+        )
     )
 
 

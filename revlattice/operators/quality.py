@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revlattice.functions.values import domain_from_name, local_part_key, part_after_at
+from revlattice.functions.values import domain_from_name, local_part_key, part_after_at, sum_usd
 
 
 def null_profile(df: DataFrame, table_name: str) -> DataFrame:
@@ -61,7 +61,7 @@ def revenue_reconciles(movements: DataFrame, overview: DataFrame, strict: bool =
     """
     none = F.lit(None).cast("double")
     latest = movements.agg(F.max_by("ending_mrr", "week_start").alias("ending_mrr"))
-    total = overview.agg(F.sum("current_mrr_usd").alias("total_mrr"))
+    total = overview.agg(sum_usd(F.col("current_mrr_usd")).alias("total_mrr"))
     both = (
         latest.select("ending_mrr", none.alias("total_mrr"))
         .unionByName(total.select(none.alias("ending_mrr"), "total_mrr"))
@@ -138,7 +138,7 @@ def orphan_billing(subscriptions: DataFrame, invoices: DataFrame, customers: Dat
     of_invoices = invoices.groupBy("customer_id").agg(
         F.lit(0).cast("bigint").alias("subscriptions"),
         F.count("*").alias("invoices"),
-        F.sum("amount_due_usd").alias("invoiced_usd"),
+        sum_usd(F.col("amount_due_usd")).alias("invoiced_usd"),
     )
     billed = (
         of_subscriptions.unionByName(of_invoices)
@@ -146,7 +146,7 @@ def orphan_billing(subscriptions: DataFrame, invoices: DataFrame, customers: Dat
         .agg(
             F.sum("subscriptions").alias("subscriptions"),
             F.sum("invoices").alias("invoices"),
-            F.sum("invoiced_usd").alias("invoiced_usd"),
+            sum_usd(F.col("invoiced_usd")).alias("invoiced_usd"),
         )
     )
     existing = customers.select(F.col("customer_id").alias("known")).distinct()

@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlattice.functions.dates import AsOf, as_day, days_before, days_between
+from revlattice.functions.values import sum_usd
 
 
 def kpi_cards(overview: DataFrame) -> DataFrame:
     """MRR, ARR, active paying accounts, leads and accounts at risk."""
     paying = F.col("is_active") & (F.col("monthly_amount_usd") > 0)
     return overview.agg(
-        F.coalesce(F.sum("current_mrr_usd"), F.lit(0.0)).alias("mrr_usd"),
-        F.coalesce(F.sum("annual_run_rate_usd"), F.lit(0.0)).alias("arr_usd"),
+        F.coalesce(sum_usd(F.col("current_mrr_usd")), F.lit(0.0)).alias("mrr_usd"),
+        F.coalesce(sum_usd(F.col("annual_run_rate_usd")), F.lit(0.0)).alias("arr_usd"),
         F.count_if(paying).alias("active_paying_accounts"),
         F.count_if("is_pql").alias("pqls"),
         F.count_if(F.col("account_segment") == "at risk").alias("accounts_at_risk"),
@@ -22,7 +23,7 @@ def kpi_cards(overview: DataFrame) -> DataFrame:
 
 def _rolled_up(overview: DataFrame, by: str) -> DataFrame:
     return overview.groupBy(by).agg(
-        F.count("*").alias("accounts"), F.sum("current_mrr_usd").alias("current_mrr_usd")
+        F.count("*").alias("accounts"), sum_usd(F.col("current_mrr_usd")).alias("current_mrr_usd")
     )
 
 

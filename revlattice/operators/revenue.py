@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from revlattice.functions.dates import AsOf, as_day, week_start
+from revlattice.functions.values import cents, sum_usd
 from revlattice.operators.history import KEY, VALID_FROM, VALID_TO
 
 MONEY = {
@@ -122,7 +123,7 @@ def movement_totals(moves: DataFrame) -> DataFrame:
     """One row per week that has any movement or start."""
 
     def total(kind):
-        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("amount"))), F.lit(0.0))
+        return F.coalesce(sum_usd(F.when(F.col("kind") == kind, F.col("amount"))), F.lit(0.0))
 
     return moves.groupBy("week_start").agg(
         *[total(kind).alias(name) for kind, name in MONEY.items()],
@@ -175,8 +176,9 @@ def weekly_movement_totals(history: DataFrame, as_of: AsOf = None) -> DataFrame:
 def ending_mrr_running(weekly: DataFrame) -> DataFrame:
     """Net change and cumulative MRR. One task, but over one row per calendar week only."""
     net = F.col("new_mrr") + F.col("expansion_mrr") - F.col("contraction_mrr") - F.col("churned_mrr")
-    return weekly.withColumn("net_mrr_change", net).withColumn(
-        "ending_mrr", F.sum("net_mrr_change").over(W.orderBy("week_start"))
+    so_far = F.sum(cents(F.col("net_mrr_change"))).over(W.orderBy("week_start"))
+    return weekly.withColumn("net_mrr_change", cents(net) / F.lit(100)).withColumn(
+        "ending_mrr", so_far / F.lit(100)
     )
 
 

@@ -165,7 +165,7 @@ CTES: dict[str, str] = {
                CAST(sum(total_credits_used) AS BIGINT) AS credits_used_all_time
         FROM daily GROUP BY 1""",
     "cash": """
-        SELECT customer_id, sum(amount_paid_usd) AS lifetime_revenue_usd, count(*) AS invoices_paid
+        SELECT customer_id, round(sum(amount_paid_usd), 2) AS lifetime_revenue_usd, count(*) AS invoices_paid
         FROM invoices WHERE payment_status = 'paid' AND amount_paid_usd > 0 GROUP BY 1""",
     "main_contact": """
         SELECT email, email_domain, first_name || ' ' || last_name AS contact_name FROM contacts
@@ -605,7 +605,7 @@ _BODIES: dict[str, str] = {
     "match_type_coverage": "SELECT match_type, count(*) AS accounts FROM account GROUP BY 1",
     "orphan_billing": """
         SELECT customer_id, CAST(sum(s) AS BIGINT) AS subscriptions, CAST(sum(i) AS BIGINT) AS invoices,
-               sum(usd) AS invoiced_usd
+               round(sum(usd), 2) AS invoiced_usd
         FROM (SELECT customer_id, 1 AS s, 0 AS i, 0.0 AS usd FROM subs
               UNION ALL SELECT customer_id, 0, 1, amount_due_usd FROM invoices)
         WHERE customer_id NOT IN (SELECT customer_id FROM billing) GROUP BY 1""",
@@ -692,7 +692,7 @@ _BODIES: dict[str, str] = {
         FROM overview WHERE health_status <> 'not_scored'""",
     "failed_payment_signal": """
         SELECT s.hubspot_company_id, s.plan_name, count(i.invoice_id) AS unpaid_invoices,
-               coalesce(sum(i.amount_due_usd), 0.0) AS unpaid_usd, count(i.invoice_id) > 0 AS has_failed_payment
+               round(coalesce(sum(i.amount_due_usd), 0.0), 2) AS unpaid_usd, count(i.invoice_id) > 0 AS has_failed_payment
         FROM account_sub s LEFT JOIN invoices i
           ON i.customer_id = s.customer_id AND i.payment_status = 'open' AND i.amount_due_usd > 0
         WHERE s.is_active AND s.plan_name <> 'free' GROUP BY 1, 2""",

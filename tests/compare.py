@@ -21,11 +21,11 @@ def plain(value):
     if isinstance(value, float):
         if math.isnan(value):
             return None
-        return float(f"{value:.9g}")
+        return value
     if isinstance(value, bool):
         return value
     if isinstance(value, int):
-        return float(f"{float(value):.9g}")
+        return float(value)
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None).isoformat()
     if isinstance(value, dt.date):
