@@ -147,5 +147,10 @@ def new_pql_deals(
     )
 
 
-def deal_sync_counts(decisions: DataFrame) -> DataFrame:
-    return decisions.groupBy("action").agg(F.count("*").alias("deals"))
+def deal_sync_counts(payload: DataFrame, decisions: DataFrame) -> DataFrame:
+    """How many companies are updated, and how many deals are made or exist already."""
+    updates = payload.agg(F.count("*").alias("records"))
+    deals = decisions.groupBy(F.concat(F.lit("deal "), "action").alias("action"))
+    return updates.select(F.lit("company updated").alias("action"), "records").unionByName(
+        deals.agg(F.count("*").alias("records"))
+    )

@@ -130,5 +130,5 @@ def run_day(
     )
     publish("new_deals", activation.new_pql_deals(models.leads, deal_accounts))
     decisions = activation.deal_decisions(models.leads, deal_accounts)
-    publish("deal_sync_counts", activation.deal_sync_counts(decisions))
+    publish("deal_sync_counts", activation.deal_sync_counts(payload, decisions))
     return result

@@ -576,8 +576,9 @@ _BODIES: dict[str, str] = {
                + CAST(employees >= 250 AS INTEGER)) AS DOUBLE) AS deal_value_usd FROM companies""",
     "deal_sync_counts": """
         SELECT CASE WHEN hubspot_company_id IN (SELECT deal_company FROM deals WHERE deal_company IS NOT NULL)
-                    THEN 'already existed' ELSE 'created' END AS action, count(*) AS deals
-        FROM leads GROUP BY 1""",
+                    THEN 'deal already existed' ELSE 'deal created' END AS action, count(*) AS records
+        FROM leads GROUP BY 1
+        UNION ALL SELECT 'company updated', count(*) FROM overview""",
     "null_profile": _profile(),
     "key_uniqueness": """
         SELECT 'account_subscription' AS table_name, hubspot_company_id AS key_value, count(*) AS copies

@@ -515,8 +515,11 @@ def deal_value_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def deal_sync_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decided = activation.deal_decisions(models(spark, sf_dir).leads, _deal_accounts(spark, sf_dir))
-    return activation.deal_sync_counts(decided)
+    m = for_overview(spark, sf_dir)
+    decided = activation.deal_decisions(m.leads, _deal_accounts(spark, sf_dir))
+    return activation.deal_sync_counts(
+        activation.company_property_payload(m.overview, SYNCED_AT), decided
+    )
 
 
 # --- quality and validation
@@ -556,12 +559,13 @@ def key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def name_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Companies and invoices' payers by market segment: names that many rows share."""
-    segments = src.table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("company_name"))
-    priorities = src.table(spark, sf_dir, "customer").select(
-        F.expr("if(c_acctbal > 0, c_mktsegment, c_name)").alias("customer_name")
+    """Names that many share: the market segment of each customer in place of its own name,
+    and on the billing side that of customers with a positive balance."""
+    customer = src.table(spark, sf_dir, "customer")
+    return quality.name_collisions(
+        customer.select(F.col("c_mktsegment").alias("company_name")),
+        customer.select(F.expr("if(c_acctbal > 0, c_mktsegment, c_name)").alias("customer_name")),
     )
-    return quality.name_collisions(segments, priorities)
 
 
 @query

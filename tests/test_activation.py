@@ -76,8 +76,8 @@ def test_deals(spark):
     assert (first.dealname, first.dealstage, first.p_credit_usage_pct, first.p_active_users) == (
         "N1 - Enterprise (PQL)", "appointmentscheduled", "", "3",
     )
-    counts = activation.deal_sync_counts(activation.deal_decisions(leads(spark), known))
-    assert rows(counts) == [("already existed", 1), ("created", 5)]
+    counts = activation.deal_sync_counts(spark.range(7), activation.deal_decisions(leads(spark), known))
+    assert rows(counts) == [("company updated", 7), ("deal already existed", 1), ("deal created", 5)]
 
 
 def test_pressure(spark):
