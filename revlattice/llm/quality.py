@@ -24,7 +24,7 @@ from revlattice.session import store
 STATISTICS = [
     "log_words", "log_bytes", "word_length", "word_length_spread", "distinct_words", "top_word", "same_as_next",
     "upper", "digits", "sentence_marks", "other_marks", "not_ascii", "words_with_marks", "words_of_marks",
-    "distinct_lines", "words_per_line", "packed", "byte_entropy", "words_all_upper", "distinct_of_pairs",
+    "distinct_lines", "words_per_line", "packed", "byte_entropy", "words_without_lower",
 ]
 
 _UPPER = np.zeros(256, bool)
@@ -33,6 +33,9 @@ _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
 _SENTENCE = np.zeros(256, bool)
 _SENTENCE[[ord(c) for c in ".,;:?'\"-"]] = True
+_ALL_MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+_ALL_BUT_MARKS = bytes(b for b in range(33, 256) if b not in _ALL_MARKS)
+_NOT_LOWER = bytes(range(33, 97)) + bytes(range(123, 127))
 _MARK = np.array([33 <= b < 127 and not chr(b).isalnum() for b in range(256)]) & ~_SENTENCE
 
 
@@ -48,10 +51,7 @@ def statistics(text: str | None) -> list[float]:
     of_bytes = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
     share = of_bytes[of_bytes > 0] / size
     lines = [x for x in raw.split(b"\n") if x.strip()]
-    ascii_words = [w for w in counts if w.isascii()]
-    marked = sum(c for w, c in counts.items() if w.isascii() and not w.isalnum())
-    bare = sum(counts[w] for w in ascii_words if not any(map(str.isalnum, w.decode())))
-    upper = sum(c for w, c in counts.items() if len(w) > 1 and w.isupper())
+    without = [len(raw.translate(None, gone).split()) for gone in (_ALL_BUT_MARKS, _ALL_MARKS, _NOT_LOWER)]
     return [
         float(np.log1p(n)),
         float(np.log1p(size)),
@@ -65,14 +65,13 @@ def statistics(text: str | None) -> list[float]:
         float(of_bytes[_SENTENCE].sum()) / size,
         float(of_bytes[_MARK].sum()) / size,
         float(of_bytes[128:].sum()) / size,
-        marked / n,
-        bare / n,
+        without[0] / n,
+        1 - without[1] / n,
         len(set(lines)) / len(lines),
         float(np.log1p(n / len(lines))),
         len(zlib.compress(raw, 1)) / (size + 20),
         float(-(share * np.log2(share)).sum()),
-        upper / n,
-        len(set(zip(words, words[1:], strict=False))) / n,
+        1 - without[2] / n,
     ]
 
 
