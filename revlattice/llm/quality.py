@@ -24,7 +24,7 @@ from revlattice.session import store
 STATISTICS = [
     "log_words", "log_bytes", "word_length", "word_length_spread", "distinct_words", "top_word", "same_as_next",
     "upper", "digits", "sentence_marks", "other_marks", "not_ascii", "words_with_marks", "words_of_marks",
-    "distinct_lines", "words_per_line", "packed", "byte_entropy", "words_without_lower",
+    "distinct_lines", "words_per_line", "packed", "byte_entropy", "words_without_lower", "distinct_pairs",
 ]
 
 _UPPER = np.zeros(256, bool)
@@ -72,6 +72,7 @@ def statistics(text: str | None) -> list[float]:
         len(zlib.compress(raw, 1)) / (size + 20),
         float(-(share * np.log2(share)).sum()),
         1 - without[2] / n,
+        len(set(zip(words, words[1:], strict=False))) / n,
     ]
 
 

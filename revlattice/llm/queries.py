@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlattice.llm import mixing, quality, simhash, tiling, token_orc
+from revlattice.llm import embedding_dedup, mixing, quality, simhash, tiling, token_orc, warc
 from revlattice.session import fresh_folder
 
 
@@ -29,6 +29,16 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "text", "source", "mix.copy", "mix.place")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_embeddings(table(spark, sf_dir, "embeddings"), min_cosine=0.98)
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_folder(spark, "warc")
+    index = warc.write_warc(table(spark, sf_dir, "pages"), path, min_revisit_bytes=0)
+    return warc.read_back(index, path)
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,9 +54,15 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_orc": op1_token_orc,
     "op2_mix_sources": op2_mix_sources,
+    "op3_embedding_dedup": op3_embedding_dedup,
+    "op5_warc": op5_warc,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_simhash": op7_simhash,
     "op9_decontaminate": op9_decontaminate,
 }
 
-ORACLE = {"op2_mix_sources": mixing.MIX_SQL}
+ORACLE = {
+    "op2_mix_sources": mixing.MIX_SQL,
+    "op3_embedding_dedup": embedding_dedup.NEAR_SQL,
+    "op5_warc": warc.WARC_SQL,
+}
