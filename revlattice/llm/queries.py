@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlattice.llm import embedding_dedup, mixing, quality, simhash, tiling, token_orc, warc
+from revlattice.llm import embedding_dedup, html_text, licenses, mixing, quality, secrets, simhash, tiling, token_orc, warc
 from revlattice.session import fresh_folder
 
 
@@ -33,6 +33,10 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_embeddings(table(spark, sf_dir, "embeddings"), min_cosine=0.98)
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_folder(spark, "warc")
     index = warc.write_warc(table(spark, sf_dir, "pages"), path, min_revisit_bytes=0)
@@ -47,22 +51,34 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=4, max_distance=4)
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_orc": op1_token_orc,
     "op2_mix_sources": op2_mix_sources,
     "op3_embedding_dedup": op3_embedding_dedup,
+    "op4_html_text": op4_html_text,
     "op5_warc": op5_warc,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_simhash": op7_simhash,
+    "op8_secrets": op8_secrets,
     "op9_decontaminate": op9_decontaminate,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLE = {
     "op2_mix_sources": mixing.MIX_SQL,
     "op3_embedding_dedup": embedding_dedup.NEAR_SQL,
     "op5_warc": warc.WARC_SQL,
+    "op10_licenses": licenses.LICENSE_SQL,
 }
