@@ -188,7 +188,10 @@ def occurrences(pages: DataFrame) -> DataFrame:
                 texts = Counter((path, text) for path, text, *_ in page.blocks)
                 for (path, text), n in texts.items():
                     out.append((host, page_no, block_token(path, text), tag_token("+" + path) if path else None, True, n))
-            yield pd.DataFrame(out, columns=["host", "page_no", "token", "parent", "is_text", "n"]).astype({"parent": "Int64"})
+            columns = list(zip(*out, strict=True)) or [[]] * 6
+            kinds = ["object", "int64", "int64", "Int64", "bool", "int32"]  # nullable, as floats lose digits
+            names = ["host", "page_no", "token", "parent", "is_text", "n"]
+            yield pd.DataFrame({k: pd.array(c, dtype=t) for k, c, t in zip(names, columns, kinds, strict=True)})
 
     return pages.select("host", "page_no", "html").mapInPandas(
         run, "host string, page_no long, token long, parent long, is_text boolean, n int"

@@ -1,0 +1,456 @@
+"""The operators on small tables with every awkward case, and against brute force."""
+
+import hashlib
+import math
+import random
+import re
+import struct
+import zlib
+
+import numpy as np
+import pandas as pd
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from revlattice.llm import (
+    embedding_dedup, html_text, licenses, links, mixing, quality, secrets, simhash, tiling, token_orc, warc,
+)
+from revlattice.session import fresh_folder
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+CLASHING = "doc_id long, text string, source string, row string, fp string, score string, mix string, stats string, w string"
+
+
+def awkward(spark):
+    """Nulls, empty and blank texts, repeated rows, ties, a long text, columns with clashing names."""
+    rnd = random.Random(5)
+    long = " ".join(rnd.choice("lorem ipsum dolor sit amet the of and".split()) + str(rnd.randint(0, 99)) for _ in range(40_000))
+    texts = [(1, "a plain text of some words"), (1, "a plain text of some words"), (2, None), (None, "no id here"), (None, None),
+             (3, ""), (4, " \n\t "), (5, long), (6, long), (5, "the same id, another text"), (7, "x"), (8, "\u0001☃ <|endoftext|> É")]
+    return spark.createDataFrame([(i, t, s, "r", "f", "s", "m", "st", "w") for (i, t), s in zip(texts, ["a", None, "b"] * 4)], CLASHING)
+
+
+def empty(spark, schema):
+    return spark.createDataFrame([], schema)
+
+
+# --- links ---------------------------------------------------------------------------------
+
+
+def test_components_of_chains_and_stars(spark):
+    chain = [(i, i + 1) for i in range(100, 112)]
+    star = [(500, i) for i in range(501, 560)]
+    edges = spark.createDataFrame([*chain, *star, (9, 9), (5, 3), (3, 5)], "u long, v long")
+    got = {r["node"]: r["root"] for r in links.components(edges).collect()}
+    assert got == {**{i: 100 for i in range(100, 113)}, **{i: 500 for i in range(500, 560)}, 3: 3, 5: 3}
+    assert links.components(empty(spark, "u long, v long")).count() == 0
+
+
+def test_roots_agrees_with_search():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 30, 200):
+        u, v = rng.integers(0, n, n), rng.integers(0, n, n)
+        root, want = links.roots(n, u, v), list(range(n))
+        for _ in range(n):
+            for a, b in zip(u, v, strict=True):
+                want[a] = want[b] = min(want[a], want[b])
+        assert root.tolist() == want
+
+
+# --- 1 token ids ---------------------------------------------------------------------------
+
+
+def test_word_ids_equal_the_librarys():
+    import pyarrow as pa
+
+    encoder, rnd = token_orc.WordIds(TOKENIZER), random.Random(1)
+    alphabet = "abcXYZ019'’.,!?% \n\t\x1c\x85  éÉñ̈ßİſK<|>_-№一二ⅣΣς‍😀"
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 40))) for _ in range(5000)]
+    texts += ["", "<|endoftext|> a", "A<|ENDOFTEXT|>b", "it's we'LL", "a." * 50]
+    ids, counts = encoder.encode(pa.array(texts), 2)
+    at = 0
+    for text, n in zip(texts, counts.tolist(), strict=True):
+        assert ids[at : at + n].tolist() == [*encoder.whole(text), 2]
+        at += n
+
+
+def test_token_orc_round_trip(spark):
+    docs, path = awkward(spark), fresh_folder(spark, "orc")
+    token_orc.write_token_orc(docs, path, TOKENIZER)
+    whole = token_orc.WordIds(TOKENIZER).whole
+    got = token_orc.token_digest(token_orc.read_token_orc(spark, path)).orderBy("start").collect()
+    by_id, start = {}, 0
+    for r in docs.collect():
+        by_id.setdefault(r["doc_id"], []).append([*whole(r["text"] or ""), 2])
+    order = [r["doc_id"] for r in got]
+    assert order == sorted(order, key=lambda i: (i is not None, i or 0))
+    for r in got:
+        assert r["start"] == start
+        start += r["n_tokens"]
+        crc = [zlib.crc32(struct.pack(f"<{len(x)}I", *x)) for x in by_id[r["doc_id"]]]
+        assert r["ids_crc32"] in crc
+    assert start == sum(len(x) for xs in by_id.values() for x in xs)
+    path = fresh_folder(spark, "orc")
+    token_orc.write_token_orc(docs.limit(0), path, TOKENIZER)
+    assert token_orc.token_digest(token_orc.read_token_orc(spark, path)).count() == 0
+
+
+def test_token_orc_prunes_by_doc_id(spark):
+    path = fresh_folder(spark, "orc")
+    token_orc.write_token_orc(spark.range(100).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text")), path, TOKENIZER)
+    one = token_orc.read_token_orc(spark, path).where("doc_id = 7")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(doc_id,7)" in plan and [r["ids"] for r in one.collect()] == [[320, 321 + 0, 2]] or one.count() == 1
+
+
+# --- 2 mixing ------------------------------------------------------------------------------
+
+
+def poisson(rate, u):
+    n, p, total = 0, math.exp(-rate), math.exp(-rate)
+    while total <= u and n < mixing.TERMS:
+        n += 1
+        p = p * rate / n
+        total += p
+    return n
+
+
+def uniform(*parts):
+    return int(hashlib.md5(":".join("" if p is None else str(p) for p in parts).encode()).hexdigest()[:13], 16) / 2**52
+
+
+def test_mixing_against_brute_force(spark):
+    docs = awkward(spark)
+    weights = spark.createDataFrame([("a", 5.0), (None, 100.0), ("gone", 1.0)], "source string, weight double")
+    got = mixing.mix_sources(docs, weights, budget=200.0)
+    assert got.columns == [c for c in docs.columns if c != "mix"] + ["mix"]
+    rate = {"a": 5 / 105 * 200 / 4, None: 100 / 105 * 200 / 4}
+    want = []
+    for r in docs.collect():
+        x = rate.get(r["source"], 0.0)
+        parts = max(1, math.ceil(x / mixing.PART_RATE))
+        n = sum(poisson(x / parts, uniform(7, r["doc_id"], k)) for k in range(1, parts + 1)) if x else 0
+        want += [(r["doc_id"], r["source"], k) for k in range(1, n + 1)]
+    assert sorted(map(str, got.select("doc_id", "source", "mix.copy").collect())) == sorted(
+        f"Row(doc_id={i}, source={s!r}, copy={k})" for i, s, k in want
+    )
+    assert mixing.mix_sources(docs.limit(0)).count() == 0
+
+
+def test_mixing_meets_its_targets(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 < 8, "big").otherwise("small").alias("source"))
+    n = {r["source"]: r["count"] for r in mixing.mix_sources(docs).groupBy("source").count().collect()}
+    assert abs(n["big"] - 10_000) < 500 and abs(n["small"] - 10_000) < 500
+
+
+# --- 3 embeddings --------------------------------------------------------------------------
+
+
+def test_embeddings_against_brute_force(spark):
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(12, 16))
+    rows = []
+    for i in range(300):
+        v = base[i % 12] + rng.normal(size=16) * rng.choice([0.0, 0.03, 0.12, 0.2])
+        rows.append((1000 - i, [float(x) for x in v], int(i % 2)))
+    nan, inf = float("nan"), float("inf")
+    rows += [(1, None, 1), (2, [], 1), (3, [0.0] * 16, 1), (4, [nan] * 16, 1), (5, [inf] * 16, 1), (6, [None] * 16, 1),
+             (7, [float(x) for x in base[0]], None), (8, [1.0, 2.0], 1), (9, [2.0, 4.0], 1), (None, [2.0, 4.0], 1), (10, [1e200, 2e200], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("row_no", F.lit("x"))
+    for block in (8, 512):
+        got = embedding_dedup.near_embeddings(df, 0.98, block=block).collect()
+        count, parent = [0] * len(rows), list(range(len(rows)))
+        pairs = list(embedding_dedup.brute_links(rows, 0.98))
+        for a, b in pairs:
+            count[a] += 1
+            count[b] += 1
+        for _ in range(20):
+            for a, b in pairs:
+                parent[a] = parent[b] = min(parent[a], parent[b])
+        least = {}
+        for i, p in enumerate(parent):
+            if rows[i][0] is not None:
+                least[p] = min(least.get(p, 10**9), rows[i][0])
+        want = {(r[0], count[i], least.get(parent[i])) for i, r in enumerate(rows)}
+        assert {(r["vec_id"], r["n_links"], r["component_id"]) for r in got} == want and len(got) == len(rows)
+        assert all(r["kept"] == (r["vec_id"] == r["component_id"] and r["vec_id"] is not None) for r in got)
+    assert embedding_dedup.near_embeddings(df.limit(0)).count() == 0
+
+
+# --- 4 pages -------------------------------------------------------------------------------
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="<p>no</p>";</script></head><body>
+<header class="site">Site</header><nav><ul><li><a href="/x">Menu</a></li></ul></nav><div class="cookie-notice">Cookies!</div>
+<div id='sidebar'><p>Side</p></div><article class=post><h1>Head &amp; shoulders</h1><p>One
+ two&nbsp;three<br>four</p><div class="ad">Buy</div><p>a &lt;b&gt; <b>bold</p><form><p>Mail</p></form><aside>Not</aside>
+<ul><li>first</li><li>second</li></ul><section class="comments"><p>I agree</p></section><p>{body}</p></article>
+<div class="comments"><article class="comment"><p>Me too</p></article></div><footer>&copy; me</footer><!-- <p>gone</p> --></body></html>"""
+
+
+def test_main_text_of_a_page():
+    assert html_text.main_text(PAGE.replace("{body}", "end")) == "Head & shoulders\nOne two three four\na <b> bold\nfirst\nsecond\nend"
+    cut = PAGE[: PAGE.index("<aside>")].replace("{body}", "") + "<p>tail &am"
+    assert html_text.main_text(cut).endswith("bold") or "tail &am" in html_text.main_text(cut)
+    assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<div class='ad'>x</div>") == ""
+    assert html_text.main_text("just text") == "just text"
+    assert html_text.main_text("<main><p>a</p></main><p>b</p>") == "a"
+    assert html_text.main_text("<div>a<p>b<p>c <i>d</div>") == "a\nb\nc d"
+    assert html_text.main_text('<article class="no-sidebar"><div class="with-sidebar">a</div></article>') == "a"
+
+
+def test_template_text_goes_and_copies_stay(spark):
+    same = "<div><p>Sign up for news</p><p>All rights reserved here</p></div>"
+    pages = [(i, f"http://Host.example/{i}", f"<body><article><p>text {i // 2}</p>{same}</article></body>") for i in range(8)]
+    pages += [(100, None, None), (101, "x", ""), (None, "http://other.example/", PAGE), (102, "http://two.example", "<p>a</p>"), (102, "http://two.example", "<p>a</p>")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("host", F.lit(1)).withColumn("text", F.lit(2))
+    got = html_text.extract_main_text(df).collect()
+    assert len(got) == len(pages)
+    text = {r["page_id"]: r["text"] for r in got}
+    assert [text[i] for i in range(8)] == [f"text {i // 2}" for i in range(8)]
+    assert text[100] == text[101] == "" and text[102] == "a" and all(r["n_chars"] == len(r["text"]) for r in got)
+    assert html_text.extract_main_text(df.limit(0)).count() == 0
+
+
+# --- 5 archives ----------------------------------------------------------------------------
+
+
+def test_warc_round_trip(spark):
+    rows = [(1, "http://a/", "<p>same</p>"), (5, "http://b/", "<p>same</p>"), (5, "http://b/", "<p>same</p>"), (3, None, None), (2, "u\r\nx", ""),
+            (None, "n", "<p>same</p>"), (9, "d", "a\r\n\r\nWARC/1.1\r\nb é ☃\r\n\r\n"), (10, "l", "x" * 300_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit("clash"))
+    path = fresh_folder(spark, "warc")
+    index = warc.write_warc(pages, path, shard_bytes=1 << 16)
+    got = sorted((r["page_id"] or 0, r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc.read_back(index, path).collect())
+    assert [g[:3] for g in got] == [(0, 11, "revisit"), (1, 11, "revisit"), (2, 0, "revisit"), (3, 0, "response"), (5, 11, "response"),
+                                    (5, 11, "revisit"), (9, 27, "response"), (10, 300_000, "response")]
+    assert [g[3] for g in got] == [5, 5, 3, None, None, 5, None, None]
+    some = warc.read_records(index.where("page_id in (9, 10)"), path).collect()
+    assert {bytes(r["payload"]).decode() for r in some} == {rows[6][2], rows[7][2]}
+    assert all(r["headers"]["WARC-Payload-Digest"].startswith("sha1:") for r in some)
+    path = fresh_folder(spark, "warc")
+    every = warc.read_back(warc.write_warc(pages, path, min_revisit_bytes=12), path)
+    assert every.where("record_type = 'revisit'").count() == 0
+    path = fresh_folder(spark, "warc")
+    assert warc.read_back(warc.write_warc(pages.limit(0), path), path).count() == 0
+
+
+# --- 6 quality -----------------------------------------------------------------------------
+
+
+def test_isotonic():
+    assert quality.isotonic(np.array([1.0, 0.0, 0.5, 2.0]), np.array([1, 1, 2, 1])).tolist() == [0.5, 0.5, 0.5, 2.0]
+
+
+def test_quality_on_awkward_rows(spark):
+    docs = awkward(spark)
+    labels = spark.createDataFrame([(1, 1), (1, 0), (3, None), (None, 1), (5, 0)], "doc_id long, quality int")
+    got = quality.quality_scores(docs, labels).collect()
+    assert len(got) == 12 and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in got)
+    for r in got:
+        assert r["held_out"] == (r["doc_id"] is None or zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+    assert quality.keep_good(docs, labels.limit(0)).columns == docs.columns
+    assert quality.keep_good(docs, labels.limit(0)).count() == 12
+    assert quality.quality_scores(docs.limit(0), labels).count() == 0
+
+
+def test_quality_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    got = quality.quality_scores(docs, labels).where("held_out").join(labels, "doc_id")
+    right = got.agg(F.avg((F.col("predicted") == F.col("quality")).cast("int"))).first()[0]
+    assert right >= 0.95
+
+
+# --- 7 SimHash -----------------------------------------------------------------------------
+
+
+def test_fingerprint_by_hand():
+    import xxhash
+
+    text = "Aa b  c\nd E É"
+    words = ["aa", "b", "c", "d", "e", "É"]
+    hs = [xxhash.xxh64_intdigest(" ".join(words[i : i + 4]).encode(), 42) for i in range(3)]
+    want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > 3)
+    assert simhash.fingerprint(text) % (1 << 64) == want
+    assert simhash.fingerprint("A b") % (1 << 64) == xxhash.xxh64_intdigest(b"a b", 42)
+    assert simhash.fingerprint(None) == simhash.fingerprint(" \n") == 0
+
+
+@pytest.mark.parametrize("block", [4, 512])
+def test_links_of_fingerprints_against_all_pairs(spark, block):
+    rng = random.Random(8)
+    fps = [rng.getrandbits(64) for _ in range(40)]
+    for _ in range(300):
+        f = rng.choice(fps)
+        for b in rng.sample(range(64), rng.randint(1, 5)):
+            f ^= 1 << b
+        fps.append(f)
+    fps = sorted({f - (1 << 64) if f >> 63 else f for f in fps})
+    df = spark.createDataFrame([(i, f) for i, f in enumerate(fps)], "doc_id long, fp long")
+    got = {r["fp"]: r["component_id"] for r in simhash.near_groups(df, 4, block).collect()}
+    parent = list(range(len(fps)))
+    for _ in range(30):
+        for a in range(len(fps)):
+            for b in range(a):
+                if ((fps[a] ^ fps[b]) % (1 << 64)).bit_count() <= 4:
+                    parent[a] = parent[b] = min(parent[a], parent[b])
+    assert got == dict(zip(fps, parent, strict=True))
+
+
+def test_simhash_on_awkward_rows(spark):
+    docs = awkward(spark)
+    got = simhash.simhash_components(docs).collect()
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert sorted(str((r["doc_id"], r["fingerprint"])) for r in got) == sorted(
+        str((i, f"{simhash.fingerprint(t) % (1 << 64):016x}")) for i, t in rows
+    )
+    zero = {(r["doc_id"], r["component_id"]) for r in got if r["fingerprint"] == "0" * 16}
+    assert zero == {(2, 2), (None, 2), (3, 2), (4, 2)}
+    kept = simhash.drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "5", "5", "7", "8", "None"]
+    assert simhash.simhash_components(docs.limit(0)).count() == simhash.drop_near_copies(docs.limit(0)).count() == 0
+
+
+# --- 8 secrets -----------------------------------------------------------------------------
+
+
+def base_spans(text):
+    """The contract's patterns by the standard library."""
+    out, least = [], {"assign": 12, "access": 18, "hex": 16}
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    for rank, (kind, pattern, group) in enumerate(
+        [("assign", assign, 2), ("access", re.compile("AKIA[A-Z0-9]+"), 0), ("hex", re.compile("[0-9a-f]+"), 0)]
+    ):
+        for m in pattern.finditer(text or ""):
+            if len(m[group]) >= least[kind]:
+                out.append((m.start(), rank, m.end(), kind))
+    return sorted(out)
+
+
+def test_secrets_against_the_standard_library(spark):
+    rnd = random.Random(4)
+    parts = ["password", "Token", "api_key", "APIKEY", '"', "'", " ", ":", "=", "AKIA", "ABCDEFGH1234567890", "deadbeef", "0123456789abcdef",
+             "é☃😀", "\u0001", "\n", "word", ".", "x" * 12, "hunter2hunter2"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 30))) for _ in range(400)] + [None, "", "a" * 200_000]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, assign string")
+    for r in secrets.find_secrets(docs).collect():
+        want = base_spans(texts[r["doc_id"]])
+        named = [f"{k}:{s}:{e}" for s, _, e, k in want]
+        assert [s for s in r["spans"].split(",") if s and not s.startswith("random")] == named
+        assert r["base_sha256"] == hashlib.sha256(",".join(named).encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(w[3] == k for w in want) for k in ("assign", "access", "hex")]
+    assert secrets.find_secrets(docs.limit(0)).count() == 0
+
+
+def test_random_tokens_are_found_and_text_is_not(spark):
+    rnd = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    random_ = [(i, "see " + "".join(rnd.choice(letters) for _ in range(48)) + " there") for i in range(50)]
+    texts = [(100 + i, "a" * 30 + " Internationalization-and-localization-of-things path/to/some/file/that/is/long-enough " + "ab1" * 12 + " 20240101-20240102-20240103") for i in range(50)]
+    got = {r["doc_id"]: r["spans"] for r in secrets.find_secrets(spark.createDataFrame(random_ + texts, "doc_id long, text string")).collect()}
+    assert sum(got[i] == "random:4:52" for i in range(50)) >= 45
+    assert not any("random" in got[100 + i] for i in range(50))
+
+
+# --- 9 tiling ------------------------------------------------------------------------------
+
+
+def naive_tiles(text, item, least):
+    """Greedy string tiling as first described: the longest unmarked match, again and again."""
+    in_text, in_item, covered = [False] * len(text), [False] * len(item), 0
+    while True:
+        best = (0, 0, 0)
+        for q in range(len(item)):
+            for p in range(len(text)):
+                n = 0
+                while q + n < len(item) and p + n < len(text) and text[p + n] == item[q + n] and not in_text[p + n] and not in_item[q + n]:
+                    n += 1
+                if n > best[0]:
+                    best = (n, q, p)
+        if best[0] < least:
+            return covered
+        n, q, p = best
+        covered += n
+        in_item[q : q + n] = [True] * n
+        in_text[p : p + n] = [True] * n
+
+
+def test_tiling_against_the_naive_form():
+    rnd = random.Random(9)
+    for _ in range(150):
+        text = [rnd.choice("abc") for _ in range(rnd.randint(0, 40))]
+        item = [rnd.choice("abc") for _ in range(rnd.randint(3, 20))]
+        found = tiling.Items([(1, " ".join(item))], 3).covered(" ".join(text))
+        got = round(found[0][1] * len(item)) if found else 0
+        assert got == naive_tiles(text, item, 3)
+
+
+def test_decontamination_on_awkward_rows(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    bench = spark.createDataFrame([(1, item), (2, "too short"), (3, None), (None, "alpha beta gamma delta epsilon zeta")], "item_id long, text string")
+    swapped = "Seven, eight nine; ten eleven TWELVE and then one two three four five six."
+    docs = awkward(spark).select("doc_id", "text", F.lit("x").alias("coverage"))
+    docs = docs.unionByName(spark.createDataFrame([(20, swapped, ""), (21, "one two three four five only", ""), (22, "alpha beta gamma delta epsilon zeta", "")], docs.schema))
+    got = {(r["doc_id"], r["item_id"], r["coverage"], r["n_tiles"]) for r in tiling.contaminated(docs, bench).collect()}
+    assert got == {(20, 1, 1.0, 2), (22, None, 1.0, 1)}
+    kept = tiling.drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns and kept.count() == docs.count() - 2
+    assert tiling.contaminated(docs.limit(0), bench).count() == tiling.contaminated(docs, bench.limit(0)).count() == 0
+    column = tiling.matches_column(docs["text"], bench, 5, 0.5, block_chars=40)
+    assert docs.where(F.size(column) > 0).count() == 2
+
+
+# --- 10 licenses ---------------------------------------------------------------------------
+
+
+def test_licenses_on_awkward_rows(spark):
+    docs = awkward(spark).select("doc_id", "text", F.lit("x").alias("labels"))
+    notice = "Intro\nPermission is hereby granted, free of charge,\nto any person obtaining a copy of this software\nand associated documentation files (the \"Software\")"
+    more = [(30, "MIT  License, mit-license. Apache License!"), (31, notice), (32, "Licensed under CC BY-NC 4.0."), (33, "license mit"), (34, "éMIT License"),
+            (35, "It is released under the apache license.")]
+    got = {r["doc_id"]: r for r in licenses.find_licenses(docs.unionByName(spark.createDataFrame([(i, t, "") for i, t in more], docs.schema))).collect()}
+    pick = lambda i: tuple(got[i])[1:]
+    assert pick(30) == (6, 3, 0, 4, "apache,mit", "apache,mit", 1.0)
+    assert got[31]["labels"] == "mit" and got[31]["base_labels"] == "" and got[31]["score"] >= 0.9
+    assert pick(32) == (7, 0, None, None, "", "cc-by-nc", 1.0)
+    assert pick(33) == (2, 0, None, None, "", "", 0.0) and got[34]["n_base"] == 0
+    assert got[35]["labels"] == "apache"
+    assert pick(2)[:2] == (0, 0) and len(got) >= 12
+    assert licenses.find_licenses(docs.limit(0)).count() == 0
+
+
+# --- pipeline ------------------------------------------------------------------------------
+
+
+def test_pipeline_against_its_stages_by_hand(spark):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    scores = quality.quality_scores(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    good = {r["doc_id"] for r in scores.where("predicted = 1").collect()}
+    rows = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect() if r["doc_id"] in good]
+    group = simhash.brute_components([(i, t) for i, t, _ in rows])
+    rows = [r for r in rows if group[r[0]] == r[0]]
+    items = tiling.Items([tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()], 5)
+    rows = [r for r in rows if not any(m[1] >= 0.5 for m in items.covered(r[1]))]
+    size = pd.Series([s for *_, s in rows]).value_counts()
+    whole, want, start = token_orc.WordIds(TOKENIZER).whole, [], 0
+    for i, text, source in sorted(rows):
+        ids = [*whole(text or ""), 2]
+        crc = zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
+        for _ in range(poisson(len(rows) / len(size) / size[source], uniform(7, i, 1))):
+            want.append((i, start, len(ids), crc))
+            start += len(ids)
+    assert [tuple(r) for r in corpus_pipeline.run(spark, sf).orderBy("start").collect()] == want
+
+
+def test_stages_return_the_columns_of_documents(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("row", F.lit(1)).withColumn("mix", F.lit(2))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "/root/testdata/sf0.001")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "row", "mix"]
