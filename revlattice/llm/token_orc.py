@@ -9,6 +9,7 @@ from __future__ import annotations
 import itertools
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,31 +44,40 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.known: dict[bytes, list[int]] = {b"": []}
+        # Ids as the bytes of 32-bit integers: small, and quick to join.
+        self.known: dict[bytes, bytes] = {b"": b""}
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def words(self, words: list[bytes]) -> list[list[int]]:
+    def words(self, words: list[bytes]) -> list[bytes]:
         """The ids of each of these distinct words."""
         if len(self.known) > KEPT_WORDS:
-            self.known = {b"": []}
-        known, parts, new = self.known, [], {}
+            self.known = {b"": b""}
+        get, out, missing, new = self.known.get, [], [], {}
         for word in words:
-            head = word.rstrip(self.MARKS)
-            if head != word and not (head and (head[-1:].isalnum())):
+            ids = get(word)
+            if ids is None:
                 head = word
-            tail = word[len(head) :]
-            parts.append((head, tail))
-            if head not in known:
-                new[head] = None
-            if tail not in known:
-                new[tail] = None
+                if word[-1] in self.MARKS:
+                    head = word.rstrip(self.MARKS)
+                    if not head[-1:].isalnum():
+                        head = word
+                tail = word[len(head) :]
+                first, last = get(head), get(tail)
+                if first is None or last is None:
+                    missing.append((len(out), head, tail))
+                    new[head] = new[tail] = None
+                else:
+                    ids = first + last
+            out.append(ids)
         if new:
-            texts = [w.decode("utf-8") for w in new]
-            done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            known.update(zip(new, (e.ids for e in done), strict=True))
-        return [known[head] + known[tail] if tail else known[head] for head, tail in parts]
+            unknown = [w for w in new if w not in self.known]
+            done = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in unknown], add_special_tokens=False)
+            self.known.update(zip(unknown, (array("i", e.ids).tobytes() for e in done), strict=True))
+            for at, head, tail in missing:
+                out[at] = self.known[head] + self.known[tail]
+        return out
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, how many each has), the end id after each text."""
@@ -77,9 +87,9 @@ class WordIds:
         per_text = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = split.flatten().dictionary_encode()
         codes = coded.indices.to_numpy()
-        ids = self.words([w.as_buffer().to_pybytes() if w.is_valid else b"" for w in coded.dictionary])
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(size.sum()))
+        ids = self.words(coded.dictionary.cast(pa.binary()).to_pylist())
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), np.int32)
         begin = np.cumsum(size) - size
         # The end id is one more word, after the words of each text.
         flat, size, begin = np.append(flat, np.int32(end_id)), np.append(size, 1), np.append(begin, len(flat))
