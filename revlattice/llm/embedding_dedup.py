@@ -112,9 +112,8 @@ def close_links(rows: DataFrame, min_cosine: float, block: int) -> DataFrame:
 
     tabled = rows.where("keys is not null").select("*", F.posexplode("keys").alias("table", "cell"))
     bucket = F.xxhash64("table", "cell", "label", F.size("embedding"))
-    # First the short keys alone; vectors follow only into buckets that others share.
     members = tabled.select("row_no", "label", "embedding", "keys", "table", bucket.alias("bucket"))
-    dealt = links.in_blocks(members, "bucket", "row_no", block)
+    dealt = links.in_blocks(members, "bucket", "row_no", block, drop_single=True)
     return links.by_group(dealt, "bucket", near, "node long, links long, root long")
 
 

@@ -19,19 +19,22 @@ from revlattice.session import store
 BLOCK = 512
 
 
-def in_blocks(members: DataFrame, key: str, by: str, block: int = BLOCK) -> DataFrame:
-    """`members` of buckets of two rows or more, once for each pair of blocks they are in.
+def in_blocks(members: DataFrame, key: str, by: str, block: int = BLOCK, drop_single: bool = False) -> DataFrame:
+    """`members`, once for each pair of blocks of their bucket that they are in.
 
     Adds `bucket_i`, `bucket_j` (the pair of blocks) and `bucket_b` (the row's own block, by a
-    hash of column `by`). A bucket of n rows is sent ceil(n / block) times; buckets of up to
-    `block` rows once.
+    hash of column `by`). Only buckets of more than `block` rows are cut; one of n rows is sent
+    ceil(n / block) times. `drop_single` leaves out rows that are alone in their bucket, which
+    costs a shuffle of whole rows and pays where rows are long and mostly alone.
     """
-    sizes = members.groupBy(key).agg(F.count("*").alias("bucket_n")).where("bucket_n > 1")
-    blocks = F.ceil(F.col("bucket_n") / block)
-    dealt = (
-        members.join(sizes, key)
-        .withColumn("bucket_b", F.pmod(F.xxhash64(by), blocks).cast("int"))
-        .withColumn("bucket_o", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
+    sizes = members.groupBy(key).agg(F.count("*").alias("bucket_n"))
+    if drop_single:
+        sized = members.join(sizes.where("bucket_n > 1"), key)
+    else:
+        sized = members.join(sizes.where(F.col("bucket_n") > block), key, "left")
+    blocks = F.ceil(F.coalesce("bucket_n", F.lit(1)) / block)
+    dealt = sized.withColumn("bucket_b", F.pmod(F.xxhash64(by), blocks).cast("int")).withColumn(
+        "bucket_o", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int")))
     )
     return dealt.select(
         *members.columns,
