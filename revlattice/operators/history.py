@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -156,6 +157,17 @@ def read_history(spark: SparkSession, root: str, run_label: str, schema: str) ->
     return stored.where(latest_open | closed_so_far).drop("run", "is_open")
 
 
+def latest_run_before(spark: SparkSession, root: str, run_label: str) -> str | None:
+    """The greatest stored run label below `run_label`; reads file footers only."""
+    try:
+        stored = spark.read.schema("run string, is_open boolean").parquet(root)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return stored.where(F.col("run") < run_label).agg(F.max("run")).first()[0]
+
+
 def run_snapshot(
     current: DataFrame,
     root: str,
@@ -163,14 +175,21 @@ def run_snapshot(
     run_at: dt.datetime | str,
     previous_run: str | None = None,
 ) -> DataFrame:
-    """One stored snapshot run; run labels must sort in run order. Returns the history."""
+    """One stored snapshot run; run labels must sort in run order. Returns the history.
+
+    It goes on from the latest stored run before `run_label`. `previous_run` need not be given;
+    if it is, it must be that run.
+    """
     spark = current.sparkSession
     empty = empty_history(current)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in empty.schema.fields)
-    if previous_run is None:
+    before = latest_run_before(spark, root, run_label)
+    if previous_run is not None and previous_run != before:
+        raise ValueError(f"the latest run before {run_label} is {before}, not {previous_run}")
+    if before is None:
         open_versions = empty
     else:
-        open_versions = read_history(spark, root, previous_run, schema).where(
+        open_versions = read_history(spark, root, before, schema).where(
             F.col(VALID_TO).isNull()
         )
     write_snapshot_run(snapshot_step(open_versions, current, run_at), root, run_label)

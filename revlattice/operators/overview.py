@@ -114,6 +114,9 @@ OVERVIEW_COLUMNS = [
 ]
 
 
+WORST_FIRST = ["red", "yellow", "green"]
+
+
 def _accounts_with_subscription(identity: DataFrame, account_subscriptions: DataFrame) -> DataFrame:
     who = identity.select(
         "hubspot_company_id",
@@ -121,6 +124,7 @@ def _accounts_with_subscription(identity: DataFrame, account_subscriptions: Data
         "company_domain",
         "total_employees",
         F.col("match_type").alias("billing_match_type"),
+        F.col("customer_id").alias("payer"),
     )
     held = account_subscriptions.select(
         F.col("hubspot_company_id").alias("account"),
@@ -136,12 +140,18 @@ def _accounts_with_subscription(identity: DataFrame, account_subscriptions: Data
         "seat_limit",
         "monthly_credits",
     )
-    # Every account id also occurs in `held`, so only accounts without an id can stay
-    # unmatched; an inner join can be split on both sides.
+    # Every account id also occurs in `held` with the same customer, so only accounts without an
+    # id can stay unmatched; an inner join can be split on both sides. Both sides have a row per
+    # customer, hence the second key.
     return (
-        who.join(held, F.col("hubspot_company_id") == F.col("account"))
-        .drop("account")
-        .unionByName(who.where(F.col("hubspot_company_id").isNull()), allowMissingColumns=True)
+        who.join(
+            held,
+            (F.col("hubspot_company_id") == F.col("account")) & F.col("payer").eqNullSafe(F.col("customer_id")),
+        )
+        .drop("account", "payer")
+        .unionByName(
+            who.where(F.col("hubspot_company_id").isNull()).drop("payer"), allowMissingColumns=True
+        )
     )
 
 
@@ -157,8 +167,10 @@ def account_overview(
     refreshed_at: dt.datetime | str | None = None,
 ) -> DataFrame:
     """One wide row per account, all inputs reduced to their key before they are joined."""
-    scored = health.select(F.col("hubspot_company_id").alias("scored"), "health_status")
-    lead = leads.select(F.col("hubspot_company_id").alias("lead"), "signal_count")
+    # An account with several subscriptions counts as its worst one, and as its strongest lead.
+    worst = F.min_by("health_status", F.array_position(F.array(*map(F.lit, WORST_FIRST)), F.col("health_status")))
+    scored = health.groupBy(F.col("hubspot_company_id").alias("scored")).agg(worst.alias("health_status"))
+    lead = leads.groupBy(F.col("hubspot_company_id").alias("lead")).agg(F.max("signal_count").alias("signal_count"))
     contact = primary_contact(contacts).withColumnRenamed("email", "contact_email")
     account = F.col("hubspot_company_id")
 

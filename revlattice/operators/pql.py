@@ -24,17 +24,21 @@ def pql_signals(
 ) -> DataFrame:
     """Every candidate with its three 0/1 signals, their count and the credit share."""
     large = identity.where(F.col("total_employees") >= MIN_EMPLOYEES).select(
-        "hubspot_company_id", "company_name", "company_domain", "total_employees"
+        "hubspot_company_id", "company_name", "company_domain", "total_employees", "customer_id"
     )
     growable = account_subscriptions.where(
         F.col("plan_name").isin(*PLANS_TO_GROW) & F.col("is_active")
     ).select(
         F.col("hubspot_company_id").alias("account"),
+        F.col("customer_id").alias("payer"),
         "plan_name",
         "monthly_credits",
         "monthly_amount_usd",
     )
-    candidates = large.join(growable, F.col("hubspot_company_id") == F.col("account")).drop("account")
+    # Both sides have a row per customer of the company: on the company alone they would pair
+    # every customer with every other.
+    own = (F.col("hubspot_company_id") == F.col("account")) & F.col("customer_id").eqNullSafe(F.col("payer"))
+    candidates = large.join(growable, own).drop("account", "customer_id", "payer")
     used = attach_unique(
         candidates,
         "hubspot_company_id",

@@ -160,6 +160,7 @@ def stg_invoices(raw: DataFrame) -> DataFrame:
 
 
 def stg_usage_events(raw: DataFrame) -> DataFrame:
+    """Events with lower-case names; the log's partition column comes along where there is one."""
     return raw.select(
         "event_id",
         "event_type",
@@ -168,4 +169,5 @@ def stg_usage_events(raw: DataFrame) -> DataFrame:
         "credits_used",
         "occurred_at",
         "ingested_at",
+        *[c for c in raw.columns if c == "occurred_date"],
     )

@@ -125,11 +125,17 @@ def usage_windows(daily_usage: DataFrame, as_of: AsOf = None) -> DataFrame:
     )
 
 
+def since(events: DataFrame, day: Column) -> DataFrame:
+    """Events from a UTC day on; of the usage log only those date partitions are read."""
+    dated = "occurred_date" in events.columns
+    return events.where((F.col("occurred_date") if dated else F.to_date("occurred_at")) >= day)
+
+
 def active_users_exact_14d(events: DataFrame, identity: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Extension: distinct users over the whole window, from the events themselves."""
     users = (
-        events.where(F.col("account_domain").isNotNull())
-        .where(F.to_date("occurred_at") >= days_before(as_of, 14))
+        since(events, days_before(as_of, 14))
+        .where(F.col("account_domain").isNotNull())
         .groupBy("account_domain")
         .agg(F.count_distinct("user_email").alias("active_users_14d_exact"))
     )
@@ -149,7 +155,8 @@ def account_usage_state(
     now = F.current_timestamp() if as_of_moment is None else as_of_moment
     named = events.where(F.col("account_domain").isNotNull())
     usage = (
-        named.where(F.col("occurred_at") >= now - F.expr("INTERVAL 30 DAYS"))
+        since(named, F.to_date(now - F.expr("INTERVAL 30 DAYS")))
+        .where(F.col("occurred_at") >= now - F.expr("INTERVAL 30 DAYS"))
         .groupBy("account_domain")
         .agg(
             F.sum("credits_used").alias("credits_30d"),

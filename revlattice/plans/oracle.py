@@ -373,11 +373,11 @@ CTES["runs"] = """
 CTES["deleted_history"] = _islands("states_a", "runs", _FIRST)
 CTES["four_runs"] = """
         SELECT seen_on, lead(seen_on) OVER (ORDER BY seen_on) AS next_run, row_number() OVER (ORDER BY seen_on) AS run_no
-        FROM (VALUES (TIMESTAMP '1996-06-30'), (TIMESTAMP '1997-12-31'),
-                     (TIMESTAMP '1999-06-30'), (TIMESTAMP '2001-08-31')) v(seen_on)"""
+        FROM (SELECT CAST(min(state_at)::DATE + CAST(date_diff('day', min(state_at)::DATE, max(state_at)::DATE) * i // 4 AS INTEGER) AS TIMESTAMP)
+                     AS seen_on FROM states_a, range(1, 5) r(i) GROUP BY i)"""
 CTES["snapshots"] = """
         SELECT s.* EXCLUDE (state_at), r.seen_on AS state_at
-        FROM four_runs r JOIN states_a s ON s.state_at <= r.seen_on AND s.state_at > r.seen_on - INTERVAL 6 MONTH
+        FROM four_runs r JOIN states_a s ON s.state_at <= r.seen_on AND substr(subscription_id, 5)::BIGINT % 11 <> r.run_no
         QUALIFY row_number() OVER (PARTITION BY r.seen_on, subscription_id ORDER BY s.state_at DESC) = 1"""
 CTES["stored_history"] = _islands("snapshots", "four_runs", _FIRST)
 CTES["answer_key"] = f"""

@@ -6,6 +6,7 @@ can be compared.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -131,7 +132,7 @@ def append_usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_folder(spark, "usage-log")
     first = events.where("ingested_at < timestamp'2024-01-20 00:00:00'")
     second = events.where("ingested_at >= timestamp'2024-01-18 00:00:00'")
-    usage_log.append_usage_events(first, path, first_load=True)
+    usage_log.append_usage_events(first, path)
     usage_log.append_usage_events(second, path)
     usage_log.append_usage_events(second, path)
     return (
@@ -259,29 +260,30 @@ def _versions(spark: SparkSession, sf_dir: str, reactivations: bool) -> DataFram
     return history.scd2_from_daily_states(states, detect_deletes=False)
 
 
-SNAPSHOT_RUNS = ["1996-06-30", "1997-12-31", "1999-06-30", "2001-08-31"]
+SNAPSHOT_RUNS = 4
 
 
 @query
 def scd2_snapshot_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four stored runs. A run sees each customer's latest state of the 6 months before it,
-    so subscriptions change, vanish and return between runs."""
+    """Stored runs, spread evenly over the time of the states, the last one at their end. A run
+    sees the latest state of every subscription up to it; one in eleven is missing from each run
+    and back in the next, so subscriptions change, vanish and return."""
     states = src.history_states(spark, sf_dir, reactivations=True)
     root = fresh_folder(spark, "snapshots")
-    previous = None
-    for label in SNAPSHOT_RUNS:
+    first, last = states.agg(F.min("state_at"), F.max("state_at")).first()
+    number = F.substring("subscription_id", 5, 20).cast("long")
+    result = history.empty_history(states.drop("state_at"))
+    for i in range(1, SNAPSHOT_RUNS + 1 if first else 0):
+        label = str((first + (last - first).days * i // SNAPSHOT_RUNS * dt.timedelta(days=1)).date())
         at = F.lit(label).cast("timestamp")
-        seen = states.where(
-            (F.col("state_at") <= at) & (F.col("state_at") > at - F.expr("INTERVAL 6 MONTHS"))
-        )
+        seen = states.where((F.col("state_at") <= at) & (number % 11 != i))
         columns = [c for c in states.columns if c not in ("subscription_id", "state_at")]
         current = (
             seen.groupBy("subscription_id")
             .agg(F.max_by(F.struct(*columns), "state_at").alias("s"))
             .select("subscription_id", "s.*")
         )
-        result = history.run_snapshot(current, root, label, f"{label} 00:00:00", previous)
-        previous = label
+        result = history.run_snapshot(current, root, label, f"{label} 00:00:00")
     return result
 
 
@@ -672,8 +674,8 @@ def incremental_daily_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
         events.where(arrived >= cuts[1]),
     ]
     log, daily = f"{root}/events", f"{root}/daily"
-    for number, batch in enumerate([*batches, batches[-1]]):
-        incremental.incremental_daily_usage(batch, log, daily, first_load=number == 0)
+    for batch in [*batches, batches[-1]]:
+        incremental.incremental_daily_usage(batch, log, daily)
     return usage.attribute_usage(incremental.read_domain_usage(spark, daily), who)
 
 

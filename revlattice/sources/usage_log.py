@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EVENT_COLUMNS = [
@@ -31,9 +31,22 @@ def _dated(events: DataFrame) -> DataFrame:
 
 
 def touched_days(events: DataFrame) -> list:
-    """The distinct event dates of a batch: at most one value per calendar day."""
-    days = events.select(F.to_date("occurred_at").alias("d")).where("d IS NOT NULL").distinct()
-    return sorted(row.d for row in days.collect())
+    """The distinct event dates of a batch, None for events without a time: at most one value
+    per calendar day."""
+    days = [row.d for row in events.select(F.to_date("occurred_at").alias("d")).distinct().collect()]
+    return sorted(d for d in days if d is not None) + [None] * (None in days)
+
+
+def on_days(days: list, column: str = "occurred_date") -> Column:
+    """Whether a row is of one of the days of `touched_days`."""
+    found = F.col(column).isin([d for d in days if d is not None])
+    return (found | F.col(column).isNull()) if None in days else found
+
+
+def _event_key() -> Column:
+    """What tells events apart: the id, or without one everything that is known of the event."""
+    content = F.md5(F.to_json(F.struct(*EVENT_COLUMNS)))
+    return F.coalesce(F.concat(F.lit("id:"), "event_id"), F.concat(F.lit("content:"), content))
 
 
 def load_usage_backfill(events: DataFrame, table_path: str) -> None:
@@ -51,36 +64,44 @@ def load_usage_backfill(events: DataFrame, table_path: str) -> None:
     )
 
 
-def append_usage_events(events: DataFrame, table_path: str, first_load: bool = False) -> list:
+def append_usage_events(events: DataFrame, table_path: str, days: list | None = None) -> list:
     """Append a batch and return the event dates it touched.
 
+    `days` are its `touched_days` where the caller has them already.
+
     Safe to run again with the same batch: events already in the touched date partitions
-    are left out, and only those partitions are read for that. `first_load` says that the
-    table is known to be empty.
+    are left out, and only those partitions are read for that. Of rows that share an event id
+    the one ingested first stays. Events without an id are told apart by all their columns.
     """
-    days = touched_days(events)
-    batch = _dated(events).dropDuplicates(["event_id"])
-    present = None if first_load else _present_ids(events.sparkSession, table_path, days)
+    days = touched_days(events) if days is None else days
+    dated = _dated(events)
+    first = F.struct("ingested_at", F.to_json(F.struct(*EVENT_COLUMNS)))
+    batch = (
+        dated.groupBy(_event_key().alias("event_key"))
+        .agg(F.min_by(F.struct(*dated.columns), first).alias("event"))
+        .select("event_key", "event.*")
+    )
+    present = _present_keys(events.sparkSession, table_path, days)
     if present is not None:
-        batch = batch.join(present, "event_id", "left_anti")
+        batch = batch.join(present, "event_key", "left_anti")
     # Late events touch several dates: without rebalancing every task would write a small
     # file to each of them.
     (
-        batch.hint("rebalance", "occurred_date")
+        batch.drop("event_key")
+        .hint("rebalance", "occurred_date")
         .write.mode("append")
         .partitionBy("occurred_date")
         .parquet(table_path)
     )
-    return days
+    return [d for d in days if d is not None]
 
 
-def _present_ids(spark: SparkSession, table_path: str, days: list) -> DataFrame | None:
-    """Event ids of the given dates, and of events without a date; None without a table."""
+def _present_keys(spark: SparkSession, table_path: str, days: list) -> DataFrame | None:
+    """Keys of the events of the given dates, and of those without a date; None without a table."""
     try:
         log = read_usage_log(spark, table_path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    dated = F.col("occurred_date")
-    return log.where(dated.isin(days) | dated.isNull()).select("event_id")
+    return log.where(on_days([*days, None])).select(_event_key().alias("event_key"))

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from revlattice.operators.staging import stg_usage_events
 from revlattice.operators.usage import domain_daily_usage, event_counts
-from revlattice.sources.usage_log import append_usage_events, read_usage_log
+from revlattice.sources.usage_log import append_usage_events, on_days, read_usage_log, touched_days
 
 # Fixed value: how late an event can be, two days and ten hours.
 LATEST_ARRIVAL = "58 hours"
@@ -28,7 +28,7 @@ def refresh_days(spark: SparkSession, days: list, events_path: str, daily_path:
     """Recompute the given event dates from the whole log and replace just their partitions."""
     if not days:
         return
-    touched = read_usage_log(spark, events_path).where(F.col("occurred_date").isin(days))
+    touched = read_usage_log(spark, events_path).where(on_days(days))
     # Rebalancing by date gives files of a good size: few per day, large days split.
     (
         domain_daily_usage(stg_usage_events(touched))
@@ -41,15 +41,16 @@ def refresh_days(spark: SparkSession, days: list, events_path: str, daily_path:
 
 
 def incremental_daily_usage(
-    batch: DataFrame, events_path: str, daily_path: str, first_load: bool = False
+    batch: DataFrame, events_path: str, daily_path: str
 ) -> None:
     """Append one batch of arrivals and bring the daily facts per domain up to date.
 
-    Event dates decide what is recomputed, however late an event is, and a batch may be
-    repeated: afterwards the facts equal a full recomputation. They are kept per domain
+    Event dates decide what is recomputed, however late an event is; events without a time
+    are a date of their own. A batch may be repeated: afterwards the facts equal a full recomputation. They are kept per domain
     and attributed to accounts when read, so a later match also gets the past days.
     """
-    days = append_usage_events(batch, events_path, first_load)
+    days = touched_days(batch)
+    append_usage_events(batch, events_path, days)
     refresh_days(batch.sparkSession, days, events_path, daily_path)
 
 
