@@ -454,3 +454,13 @@ def test_stages_return_the_columns_of_documents(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, "/root/testdata/sf0.001")
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "row", "mix"]
+
+
+@pytest.mark.parametrize("name", ["op2_mix_sources", "op3_embedding_dedup", "op5_warc", "op10_licenses"])
+def test_queries_against_their_sql(spark, name):
+    from revlattice.llm.queries import ORACLE, QUERIES
+    from tests.compare import compare, duck
+
+    sf = "/root/testdata/sf0.001"
+    problem, _ = compare(QUERIES[name](spark, sf), duck(sf), ORACLE[name])
+    assert problem is None, problem
