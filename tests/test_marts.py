@@ -75,7 +75,7 @@ def test_lead_rules(spark):
         "silent": (500, "pro", True, 10, None, 0, 0, 0),
     }
     who = [(a, a, f"{a}.com", c[0], "c", "direct") for a, c in cases.items()]
-    subs = [sub(a, plan=c[1], active=c[2], credits=c[3]) for a, c in cases.items()]
+    subs = [sub(a, customer="c", plan=c[1], active=c[2], credits=c[3]) for a, c in cases.items()]
     daily = [used(a, RECENT, c[4], c[5], c[6]) for a, c in cases.items() if c[4] is not None]
     args = spark.createDataFrame(who, IDENTITY), *frames(spark, subs, daily), TODAY
     signals = dict(rows(pql.pql_signals(*args), "hubspot_company_id", "signal_count"))
@@ -156,14 +156,14 @@ def test_overview_columns(wide):
     assert by["dormant"].credits_used_all_time == 9 and by["dormant"].days_since_last_active == 244
 
 
-def test_repeated_accounts_multiply_rows(spark):
+def test_an_account_with_two_subscriptions_has_a_row_for_each(spark):
     who = spark.createDataFrame([("1", "N", "1.com", 9, "c1", "direct")], IDENTITY)
-    subscriptions, usage = frames(spark, [sub("1", n=1), sub("1", n=2)], [used("1", RECENT, 3)])
+    subscriptions, usage = frames(spark, [sub("1", n=1, customer="c1"), sub("1", n=2, customer="c1")], [used("1", RECENT, 3)])
     scored = health.account_health(subscriptions, usage, TODAY)
     leads = pql.product_qualified_leads(who, subscriptions, usage, TODAY)
     empty = spark.createDataFrame([], INVOICE), spark.createDataFrame([], CONTACT)
     out = overview.account_overview(who, subscriptions, usage, scored, leads, *empty, TODAY)
-    assert out.count() == 4  # two subscriptions, each beside two health rows
+    assert out.count() == 2  # the two health rows are reduced to the account's worst
 
 
 def test_extension_flags(wide):
