@@ -22,7 +22,9 @@ RECORD_END = "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 #: Ranges less than GAP apart are read together, up to READ bytes at a time.
 GAP, READ = 64 << 10, 8 << 20
-INDEX_COLUMNS = ["row_no", "page_id", "url", "record_type", "digest", "payload_bytes", "refers_to", "refers_row", "shard", "offset", "length"]
+#: What tells pages apart; rows that share all of it are copies, numbered from 1.
+KEY = ["shard", "digest", "payload_bytes", "page_id", "url"]
+INDEX_COLUMNS = [*KEY, "copy", "record_type", "refers_to", "offset", "length"]
 
 
 def base32_sha1(data: Column) -> Column:
@@ -32,83 +34,111 @@ def base32_sha1(data: Column) -> Column:
     return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def records(pages: DataFrame, min_revisit_bytes: int = 0, shard_bytes: int = 64 << 20) -> DataFrame:
-    """One row per row of `pages` (page_id, url, html): INDEX_COLUMNS, and `record`, its bytes
-    as text without RECORD_END.
-
-    Of rows with equal payloads of at least `min_revisit_bytes` the one with the largest page_id
-    (of equal ones, the last row) is the response; the others revisit it. Null html is an empty
-    payload, a null url an empty one, a null page_id loses to any other. Other columns are
-    ignored. Records are dealt to shards of about `shard_bytes` by their row number.
-    """
-    rows = store(
+def keyed(pages: DataFrame) -> DataFrame:
+    """`pages` (page_id, url, html) with payload, payload_bytes and digest."""
+    return (
         pages.select(
-            F.monotonically_increasing_id().alias("row_no"),
             "page_id",
             F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", " ").alias("url"),
             F.coalesce("html", F.lit("")).alias("payload"),
         )
         .withColumn("payload_bytes", F.octet_length("payload").cast("long"))
-        .withColumn("digest", base32_sha1(F.encode("payload", "UTF-8"))),
-        "warc-rows",
+        .withColumn("digest", base32_sha1(F.encode("payload", "UTF-8")))
     )
-    key = ["digest", "payload_bytes"]
-    latest = F.max(F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", "row_no")).alias("latest")
-    # One short row per payload; a payload of very many rows is aggregated before it is sent,
-    # and AQE can split its rows in the join.
-    first = rows.where(F.col("payload_bytes") >= min_revisit_bytes).groupBy(*key).agg(latest)
-    brief = rows.select("row_no", *key)
-    roles = brief.join(first, key, "left").select(
-        "row_no", F.col("latest.page_id").alias("of_page"), F.col("latest.row_no").alias("of_row")
-    )
-    revisit = F.col("of_row").isNotNull() & (F.col("of_row") != F.col("row_no"))
-    size = rows.agg(F.sum(F.col("payload_bytes") + 400)).first()[0] or 0
+
+
+def plan_records(pages: DataFrame, min_revisit_bytes: int = 0, shard_bytes: int = 64 << 20) -> DataFrame:
+    """What each record will be, without payloads: KEY, copies, and of_page, of_url (the
+    response among rows with equal payloads; null if the payload is too small to be revisited).
+
+    Of rows with equal payloads of at least `min_revisit_bytes` the one with the largest page_id
+    (of equal ones, the largest url) is the response, its first copy at that; the others revisit
+    it. A null page_id loses to any other. Shards hold about `shard_bytes`.
+    """
+    same = ["digest", "payload_bytes"]
+    brief = store(keyed(pages).groupBy(*same, "page_id", "url").agg(F.count("*").alias("copies")), "warc-brief")
+    size = brief.agg(F.sum((F.col("payload_bytes") + 400) * F.col("copies"))).first()[0] or 0
+    latest = F.max(F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", "url")).alias("latest")
+    # One short row per payload; AQE can split the rows of a payload that very many pages share.
+    first = brief.where(F.col("payload_bytes") >= min_revisit_bytes).groupBy(*same).agg(latest)
     n_shards = max(1, -(-size // shard_bytes))
-    body = F.when(revisit, "").otherwise(F.col("payload"))
+    planned = brief.join(first, same, "left").withColumn("shard", _shard(F.lit(n_shards)))
+    return planned.select(
+        *KEY, "copies", F.col("latest.page_id").alias("of_page"), F.col("latest.url").alias("of_url"),
+        F.lit(n_shards).alias("n_shards"),
+    )
+
+
+def _shard(n: Column) -> Column:
+    return F.pmod(F.xxhash64("digest", "page_id", "url"), n).cast("int")
+
+
+def with_heads(rows: DataFrame) -> DataFrame:
+    """Rows of KEY, copy, of_page and of_url with record_type, refers_to and `head`, the record
+    up to its payload."""
+    own = F.col("of_page").eqNullSafe(F.col("page_id")) & (F.col("of_url") == F.col("url")) & (F.col("copy") == 1)
+    typed = rows.withColumn("record_type", F.when(F.col("of_url").isNull() | own, "response").otherwise("revisit"))
+    revisit = F.col("record_type") == "revisit"
     page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
-    named = (
-        rows.join(roles, "row_no")
-        .withColumn("record_type", F.when(revisit, "revisit").otherwise("response"))
-        .withColumn("refers_to", F.when(revisit, F.col("of_page")))
-        .withColumn("refers_row", F.when(revisit, F.col("of_row")))
-        .withColumn("shard", F.pmod(F.xxhash64("row_no"), F.lit(n_shards)).cast("int"))
-    )
+    target = F.coalesce(F.col("of_page").cast("string"), F.lit(""))
     head = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "), "record_type",
         F.lit("\r\nWARC-Target-URI: "), "url",
-        F.lit(f"\r\nWARC-Date: {DATE}\r\nWARC-Record-ID: <urn:row:"), F.col("row_no").cast("string"),
-        F.lit(">\r\nWARC-Page-ID: "), page,
+        F.lit(f"\r\nWARC-Date: {DATE}\r\nWARC-Record-ID: "), _record_id(page, F.col("url"), F.col("copy")),
+        F.lit("\r\nWARC-Page-ID: "), page,
         F.lit("\r\nWARC-Payload-Digest: sha1:"), "digest",
         F.when(revisit, F.concat(
             F.lit("\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-            F.lit("\r\nWARC-Refers-To: <urn:row:"), F.col("refers_row").cast("string"), F.lit(">"),
+            F.lit("\r\nWARC-Refers-To: "), _record_id(target, F.col("of_url"), F.lit(1)),
         )).otherwise(""),
         F.lit("\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
-        F.octet_length(body).cast("string"), F.lit("\r\n\r\n"),
+        F.when(revisit, F.lit(0)).otherwise(F.col("payload_bytes")).cast("string"), F.lit("\r\n\r\n"),
     )
-    whole = named.withColumn("record", F.concat(head, body))
-    length = F.octet_length("record") + len(RECORD_END)
-    return whole.withColumn("length", length.cast("long"))
+    return typed.withColumn("refers_to", F.when(revisit, F.col("of_page"))).withColumn("head", head)
+
+
+def _record_id(page: Column, url: Column, copy: Column) -> Column:
+    name = F.sha1(F.concat_ws("\n", F.col("digest"), page, url, copy.cast("string")).cast("binary"))
+    return F.concat(F.lit("<urn:sha1:"), name, F.lit(">"))
 
 
-def write_warc(pages: DataFrame, path: str, **options) -> DataFrame:
-    """Write archives below `path`/archive and their index to `path`/index; returns the index.
+def write_warc(pages: DataFrame, path: str, min_revisit_bytes: int = 0, shard_bytes: int = 64 << 20) -> DataFrame:
+    """Write archives of the rows of `pages` (page_id, url, html) below `path`/archive and their
+    index to `path`/index; returns the index. See `plan_records` for responses and revisits.
 
-    A shard is one file, `shard=N/part-...`; `offset` and `length` are places in it. The index
-    is made from the records' lengths, before the archives are written from the same rows.
+    The index comes first: it needs lengths alone. A shard is one file, `shard=N/part-...`,
+    whose records stand in the order of KEY and copy; `offset` and `length` are places in it.
+    Payloads are shuffled once, together with what was planned for them. Null html is an empty
+    payload, a null url an empty one. Other columns are ignored.
     """
     spark = pages.sparkSession
-    rows = store(records(pages, **options), "warc-records")
-    # A shard's bytes are bounded by `shard_bytes`, so its window is as well.
-    before = Window.partitionBy("shard").orderBy("row_no").rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum("length").over(before), F.lit(0))
-    rows.drop("payload", "record").withColumn("offset", offset).select(*INDEX_COLUMNS).write.parquet(f"{path}/index")
-    n_shards = (rows.agg(F.max("shard")).first()[0] or 0) + 1
+    planned = store(plan_records(pages, min_revisit_bytes, shard_bytes), "warc-plan")
+    order = [F.col(c) for c in KEY[1:]]
+    copies = planned.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    heads = with_heads(copies)
+    body = F.when(F.col("record_type") == "revisit", F.lit(0)).otherwise(F.col("payload_bytes"))
+    sized = heads.withColumn("length", F.octet_length("head") + body + len(RECORD_END))
+    # A shard's bytes are bounded by `shard_bytes`, and so are the rows of its window.
+    before = Window.partitionBy("shard").orderBy(*order, "copy").rowsBetween(Window.unboundedPreceding, -1)
+    sized.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))).select(*INDEX_COLUMNS).write.parquet(f"{path}/index")
+
+    n_shards = planned.agg(F.max("n_shards")).first()[0] or 1
+    rows = keyed(pages).withColumn("shard", _shard(F.lit(n_shards)))
+    both = rows.unionByName(planned.drop("copies", "n_shards"), allowMissingColumns=True).repartition(n_shards, "shard")
+    # What was planned for a key comes before its pages (nulls first) and is handed down to them.
+    same = Window.partitionBy(*KEY).orderBy(F.col("payload").isNotNull())
+    told = both.withColumns(
+        {
+            "copy": F.row_number().over(same) - 1,
+            "of_page": F.first("of_page").over(same),
+            "of_url": F.first("of_url").over(same),
+        }
+    ).where("payload is not null")
+    record = F.concat("head", F.when(F.col("record_type") == "revisit", "").otherwise(F.col("payload")))
     (
-        rows.select("shard", "row_no", "record")
-        .repartition(n_shards, "shard")
-        .sortWithinPartitions("shard", "row_no")
-        .select("record", "shard")
+        with_heads(told.withColumn("copy", F.col("copy").cast("long")))
+        .sortWithinPartitions("shard", *order, "copy")
+        .select(record.alias("record"), "shard")
         .write.partitionBy("shard").option("lineSep", RECORD_END).text(f"{path}/archive")
     )
     return read_index(spark, path)
@@ -121,17 +151,18 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 def archive_files(spark: SparkSession, path: str) -> DataFrame:
     """(shard, file) of the archives below `path`, listed by Spark."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/archive")
-    return files.select("shard", F.col("path").alias("file"))
+    shard = F.regexp_extract("path", r"shard=(\d+)", 1).cast("int")
+    return files.select(shard.alias("shard"), F.col("path").alias("file"))
 
 
 def read_records(index: DataFrame, path: str) -> DataFrame:
-    """The records of the rows of `index` (any selection): row_no, headers (map), payload.
+    """The records of the rows of `index` (any selection): headers (map), payload.
 
     Ranges are dealt to tasks by file and READ-sized stretch, sorted, and read together where
     they are close. Revisit records have an empty payload.
     """
     spark = index.sparkSession
-    chosen = index.join(archive_files(spark, path), "shard").select("row_no", "file", "offset", "length")
+    chosen = index.join(archive_files(spark, path), "shard").select("file", "offset", "length")
     chosen = chosen.withColumn("stretch", F.floor(F.col("offset") / READ))
     dealt = chosen.repartition("file", "stretch").sortWithinPartitions("file", "offset")
 
@@ -145,11 +176,9 @@ def read_records(index: DataFrame, path: str) -> DataFrame:
                     parse_record(data[o - start : o - start + n])
                     for o, n in zip(some["offset"], some["length"], strict=True)
                 ]
-                yield pd.DataFrame(
-                    {"row_no": some["row_no"], "headers": [h for h, _ in parsed], "payload": [p for _, p in parsed]}
-                )
+                yield pd.DataFrame({"headers": [h for h, _ in parsed], "payload": [p for _, p in parsed]})
 
-    return dealt.mapInPandas(read, "row_no long, headers map<string,string>, payload binary")
+    return dealt.mapInPandas(read, "headers map<string,string>, payload binary")
 
 
 def _coalesced(batch: pd.DataFrame) -> Iterator[tuple[str, int, int]]:
@@ -194,13 +223,12 @@ def read_back(index: DataFrame, path: str) -> DataFrame:
     def digest(payloads: pd.Series) -> pd.Series:
         return payloads.map(lambda p: b32encode(hashlib.sha1(p).digest()).decode())
 
-    row = lambda name: F.regexp_extract(F.col("headers")[name], r"<urn:row:(\d+)>", 1).cast("long")
     brief = store(
         got.select(
-            row("WARC-Record-ID").alias("row_no"),
+            F.col("headers")["WARC-Record-ID"].alias("record_id"),
             F.col("headers")["WARC-Type"].alias("record_type"),
             F.when(F.col("headers")["WARC-Page-ID"] != "", F.col("headers")["WARC-Page-ID"]).cast("long").alias("page_id"),
-            F.when(F.col("headers")["WARC-Refers-To"].isNotNull(), row("WARC-Refers-To")).alias("refers_row"),
+            F.col("headers")["WARC-Refers-To"].alias("refers_id"),
             F.octet_length("payload").cast("long").alias("payload_bytes"),
             digest("payload").alias("payload_digest"),
         ),
@@ -208,10 +236,10 @@ def read_back(index: DataFrame, path: str) -> DataFrame:
     )
     response = brief.where("record_type = 'response'").select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to"))
     target = brief.where("record_type = 'response'").select(
-        F.col("row_no").alias("refers_row"), F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest"
+        F.col("record_id").alias("refers_id"), F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest"
     )
-    revisits = brief.where("record_type = 'revisit'").select("page_id", "record_type", "refers_row")
-    again = revisits.join(target, "refers_row").select(*response.columns)
+    revisits = brief.where("record_type = 'revisit'").select("page_id", "record_type", "refers_id")
+    again = revisits.join(target, "refers_id").select(*response.columns)
     return response.unionByName(again)
 
 
