@@ -28,14 +28,14 @@ def projections(dimensions: int, tables: int, per_table: int, width: float, seed
 
 
 def bucket_keys(unit: np.ndarray, tables: int, per_table: int, width: float, seed: int) -> np.ndarray:
-    """A 64-bit key per vector (row) and table."""
+    """A 32-bit key per vector (row) and table; a clash of cells only costs comparisons."""
     a, b = projections(unit.shape[1], tables, per_table, width, seed)
     cells = np.floor((unit @ a + b) / width).astype(np.int64).reshape(len(unit), tables, per_table)
     mix = np.random.default_rng(seed + 1).integers(1, 2**63 - 1, per_table, dtype=np.int64) | 1
     with np.errstate(over="ignore"):
         key = (cells * mix).sum(axis=2)
         key ^= key >> 29
-        return key * np.int64(0x1CE4E5B9BF58476D)
+        return ((key * np.int64(0x1CE4E5B9BF58476D)) >> 32).astype(np.int32)
 
 
 def signatures(vectors: DataFrame, tables: int, per_table: int, width: float, seed: int) -> DataFrame:
@@ -45,7 +45,7 @@ def signatures(vectors: DataFrame, tables: int, per_table: int, width: float, se
     component, or without a label.
     """
 
-    @F.pandas_udf("array<long>")
+    @F.pandas_udf("array<int>")
     def keys(embedding: pd.Series) -> pd.Series:
         out = pd.Series([None] * len(embedding), dtype=object)
         by_size: dict[int, list[int]] = {}
@@ -83,6 +83,7 @@ def close_links(rows: DataFrame, min_cosine: float, block: int) -> DataFrame:
         table, n = part["table"].to_numpy(), part.num_rows
         keys = _matrix(part["keys"])
         sizes = np.diff(part["embedding"].offsets.to_numpy())
+        label = part["label"].dictionary_encode().indices.to_numpy()
         width = int(sizes.max()) if n else 0
         # Vectors of other lengths never share a cosine; their places beyond the end stay zero.
         x = np.zeros((n, width))
@@ -98,7 +99,9 @@ def close_links(rows: DataFrame, min_cosine: float, block: int) -> DataFrame:
                 u, v = u[hit], v[hit]
                 # Joined by an earlier table: counted there.
                 before = ((keys[u] == keys[v]) & (np.arange(keys.shape[1]) < table[u][:, None])).any(axis=1)
-                u, v = u[~before & (sizes[u] == sizes[v])], v[~before & (sizes[u] == sizes[v])]
+                # Buckets are hashes: other labels or lengths may clash with a bucket.
+                new = ~before & (sizes[u] == sizes[v]) & (label[u] == label[v])
+                u, v = u[new], v[new]
                 us.append(u)
                 vs.append(v)
                 count += np.bincount(u, minlength=n) + np.bincount(v, minlength=n)
@@ -110,10 +113,13 @@ def close_links(rows: DataFrame, min_cosine: float, block: int) -> DataFrame:
             columns = [np.empty(0, np.int64)] * 3
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["node", "links", "root"])
 
-    tabled = rows.where("keys is not null").select("*", F.posexplode("keys").alias("table", "cell"))
-    bucket = F.xxhash64("table", "cell", "label", F.size("embedding"))
-    members = tabled.select("row_no", "label", "embedding", "keys", "table", bucket.alias("bucket"))
-    dealt = links.in_blocks(members, "bucket", "row_no", block, drop_single=True)
+    # Buckets are counted and cut on short rows; vectors follow only where there is company.
+    signed = rows.where("keys is not null")
+    bucket = F.xxhash64("table", "cell", "label", "size")
+    members = signed.select("row_no", "label", F.size("embedding").alias("size"), F.posexplode("keys").alias("table", "cell"))
+    short = members.select("row_no", "table", bucket.alias("bucket"))
+    dealt = links.in_blocks(short, "bucket", "row_no", block, drop_single=True)
+    dealt = dealt.join(signed.select("row_no", "label", "embedding", "keys"), "row_no")
     return links.by_group(dealt, "bucket", near, "node long, links long, root long")
 
 
