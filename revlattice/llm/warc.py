@@ -3,30 +3,59 @@
 An index with file, offset, length, URL and digest of every record is computed before the
 archives are written; reading goes through it: byte ranges of the selected records are sorted,
 neighbours are read at once. Payloads that occur again are revisit records.
+
+Archives are gzip files: a record is a member for its head, one for its payload and one for
+what ends it. Payloads are packed where they are scanned, so that they are shuffled packed and
+their lengths are known to the index beforehand.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
+import zlib
 from base64 import b32encode
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType
 
 from revlattice.session import store
 
-#: What ends every record; the writer puts it between rows.
 RECORD_END = "\r\n\r\n"
+LEVEL = 6
 DATE = "2024-01-01T00:00:00Z"
 #: Ranges less than GAP apart are read together, up to READ bytes at a time.
-GAP, READ = 64 << 10, 8 << 20
+GAP, READ = 64 << 10, 2 << 20
 #: What tells pages apart; rows that share all of it are copies, numbered from 1.
 KEY = ["shard", "digest", "payload_bytes", "page_id", "url"]
 INDEX_COLUMNS = [*KEY, "copy", "record_type", "refers_to", "offset", "length"]
 
 
+def packed(data: bytes) -> bytes:
+    """`data` as a gzip member without a time, the same on every machine; nothing for nothing."""
+    if not data:
+        return b""
+    member = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
+    return member.compress(data) + member.flush()
+
+
+#: What ends every record in the files; the writer puts it between rows.
+MEMBER_END = packed(RECORD_END.encode())
+
+
+@F.pandas_udf(BinaryType())
+def pack(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: packed(t.encode()))
+
+
+@F.pandas_udf(LongType())
+def packed_length(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: len(packed(t.encode()))).astype("int64")
+
+
 def base32_sha1(data: Column) -> Column:
     """Upper-case base32 of the SHA-1, 20 bits (five hex digits, four base32 digits) at a time."""
     digits = F.sha1(data)
@@ -48,15 +77,17 @@ def keyed(pages: DataFrame) -> DataFrame:
 
 
 def plan_records(pages: DataFrame, min_revisit_bytes: int = 0, shard_bytes: int = 64 << 20) -> DataFrame:
-    """What each record will be, without payloads: KEY, copies, and of_page, of_url (the
-    response among rows with equal payloads; null if the payload is too small to be revisited).
+    """What each record will be, without payloads: KEY, copies, packed_bytes, and of_page, of_url
+    (the response among rows with equal payloads; null if the payload is too small to be revisited).
 
     Of rows with equal payloads of at least `min_revisit_bytes` the one with the largest page_id
     (of equal ones, the largest url) is the response, its first copy at that; the others revisit
-    it. A null page_id loses to any other. Shards hold about `shard_bytes`.
+    it. A null page_id loses to any other. Shards hold about `shard_bytes`, unpacked.
     """
     same = ["digest", "payload_bytes"]
-    brief = store(keyed(pages).groupBy(*same, "page_id", "url").agg(F.count("*").alias("copies")), "warc-brief")
+    rows = keyed(pages).withColumn("packed_bytes", packed_length("payload")).drop("payload")
+    each = rows.groupBy(*same, "page_id", "url").agg(F.count("*").alias("copies"), F.max("packed_bytes").alias("packed_bytes"))
+    brief = store(each, "warc-brief")
     size = brief.agg(F.sum((F.col("payload_bytes") + 400) * F.col("copies"))).first()[0] or 0
     latest = F.max(F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", "url")).alias("latest")
     # One short row per payload; AQE can split the rows of a payload that very many pages share.
@@ -64,7 +95,7 @@ def plan_records(pages: DataFrame, min_revisit_bytes: int = 0, shard_bytes: int
     n_shards = max(1, -(-size // shard_bytes))
     planned = brief.join(first, same, "left").withColumn("shard", _shard(F.lit(n_shards)))
     return planned.select(
-        *KEY, "copies", F.col("latest.page_id").alias("of_page"), F.col("latest.url").alias("of_url"),
+        *KEY, "copies", "packed_bytes", F.col("latest.page_id").alias("of_page"), F.col("latest.url").alias("of_url"),
         F.lit(n_shards).alias("n_shards"),
     )
 
@@ -108,7 +139,7 @@ def write_warc(pages: DataFrame, path: str, min_revisit_bytes: int = 0, shard_by
 
     The index comes first: it needs lengths alone. A shard is one file, `shard=N/part-...`,
     whose records stand in the order of KEY and copy; `offset` and `length` are places in it.
-    Payloads are shuffled once, together with what was planned for them. Null html is an empty
+    Payloads are shuffled once, packed, together with what was planned for them. Null html is an empty
     payload, a null url an empty one. Other columns are ignored.
     """
     spark = pages.sparkSession
@@ -116,15 +147,15 @@ def write_warc(pages: DataFrame, path: str, min_revisit_bytes: int = 0, shard_by
     order = [F.col(c) for c in KEY[1:]]
     copies = planned.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     heads = with_heads(copies)
-    body = F.when(F.col("record_type") == "revisit", F.lit(0)).otherwise(F.col("payload_bytes"))
-    sized = heads.withColumn("length", F.octet_length("head") + body + len(RECORD_END))
+    body = F.when(F.col("record_type") == "revisit", F.lit(0)).otherwise(F.col("packed_bytes"))
+    sized = heads.withColumn("length", packed_length("head") + body + len(MEMBER_END))
     # A shard's bytes are bounded by `shard_bytes`, and so are the rows of its window.
     before = Window.partitionBy("shard").orderBy(*order, "copy").rowsBetween(Window.unboundedPreceding, -1)
     sized.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))).select(*INDEX_COLUMNS).write.parquet(f"{path}/index")
 
     n_shards = planned.agg(F.max("n_shards")).first()[0] or 1
-    rows = keyed(pages).withColumn("shard", _shard(F.lit(n_shards)))
-    both = rows.unionByName(planned.drop("copies", "n_shards"), allowMissingColumns=True).repartition(n_shards, "shard")
+    rows = keyed(pages).withColumn("shard", _shard(F.lit(n_shards))).withColumn("payload", pack("payload"))
+    both = rows.unionByName(planned.drop("copies", "packed_bytes", "n_shards"), allowMissingColumns=True).repartition(n_shards, "shard")
     # What was planned for a key comes before its pages (nulls first) and is handed down to them.
     same = Window.partitionBy(*KEY).orderBy(F.col("payload").isNotNull())
     told = both.withColumns(
@@ -134,12 +165,14 @@ def write_warc(pages: DataFrame, path: str, min_revisit_bytes: int = 0, shard_by
             "of_url": F.first("of_url").over(same),
         }
     ).where("payload is not null")
-    record = F.concat("head", F.when(F.col("record_type") == "revisit", "").otherwise(F.col("payload")))
+    body = F.when(F.col("record_type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
     (
         with_heads(told.withColumn("copy", F.col("copy").cast("long")))
         .sortWithinPartitions("shard", *order, "copy")
-        .select(record.alias("record"), "shard")
-        .write.partitionBy("shard").option("lineSep", RECORD_END).text(f"{path}/archive")
+        # The text writer puts out a string's bytes as they are.
+        .select(F.concat(pack("head"), body).cast("string").alias("record"), "shard")
+        .write.partitionBy("shard").option("encoding", "ISO-8859-1").option("lineSep", MEMBER_END.decode("latin-1"))
+        .text(f"{path}/archive")
     )
     return read_index(spark, path)
 
@@ -173,7 +206,7 @@ def read_records(index: DataFrame, path: str) -> DataFrame:
                 start = int(some["offset"].iloc[0])
                 data = _read_range(file, start, int(some["offset"].iloc[-1] + some["length"].iloc[-1]) - start)
                 parsed = [
-                    parse_record(data[o - start : o - start + n])
+                    parse_record(gzip.decompress(data[o - start : o - start + n]))
                     for o, n in zip(some["offset"], some["length"], strict=True)
                 ]
                 yield pd.DataFrame({"headers": [h for h, _ in parsed], "payload": [p for _, p in parsed]})
@@ -204,7 +237,7 @@ def _read_range(file: str, offset: int, length: int) -> bytes:
 
 
 def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
-    """(headers, payload) of one record's bytes; raises if they are not a whole record."""
+    """(headers, payload) of one record's unpacked bytes; raises if they are not a whole record."""
     head, _, rest = data.partition(b"\r\n\r\n")
     version, *lines = head.decode("utf-8").split("\r\n")
     headers = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines)

@@ -1,5 +1,6 @@
 """The operators on small tables with every awkward case, and against brute force."""
 
+import gzip
 import hashlib
 import math
 import random
@@ -228,6 +229,11 @@ def test_warc_round_trip(spark):
     some = warc.read_records(index.where("page_id in (9, 10)"), path).collect()
     assert {bytes(r["payload"]).decode() for r in some} == {rows[6][2], rows[7][2]}
     assert all(r["headers"]["WARC-Payload-Digest"].startswith("sha1:") for r in some)
+    # Any gzip reader unpacks an archive to plain WARC records, end to end.
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/archive").collect()
+    whole = b"".join(gzip.decompress(bytes(r["content"])) for r in files)
+    assert whole.count(b"WARC-Record-ID: ") == 8 and whole.startswith(b"WARC/1.1\r\n") and whole.endswith(b"\r\n\r\n")
+    assert sum(r["length"] for r in files) == index.agg(F.sum("length")).first()[0]
     path = fresh_folder(spark, "warc")
     every = warc.read_back(warc.write_warc(pages, path, min_revisit_bytes=12), path)
     assert every.where("record_type = 'revisit'").count() == 0
