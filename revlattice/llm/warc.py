@@ -29,6 +29,8 @@ LEVEL = 6
 DATE = "2024-01-01T00:00:00Z"
 #: Ranges less than GAP apart are read together, up to READ bytes at a time.
 GAP, READ = 64 << 10, 2 << 20
+#: Bytes that a task reads.
+TASK = 32 << 20
 #: What tells pages apart; rows that share all of it are copies, numbered from 1.
 KEY = ["shard", "digest", "payload_bytes", "page_id", "url"]
 INDEX_COLUMNS = [*KEY, "copy", "record_type", "refers_to", "offset", "length"]
@@ -197,7 +199,9 @@ def read_records(index: DataFrame, path: str) -> DataFrame:
     spark = index.sparkSession
     chosen = index.join(archive_files(spark, path), "shard").select("file", "offset", "length")
     chosen = chosen.withColumn("stretch", F.floor(F.col("offset") / READ))
-    dealt = chosen.repartition("file", "stretch").sortWithinPartitions("file", "offset")
+    # By bytes to read, not by the size of the short rows that name them.
+    total = chosen.agg(F.sum("length")).first()[0] or 0
+    dealt = chosen.repartition(max(1, -(-total // TASK)), "file", "stretch").sortWithinPartitions("file", "offset")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
