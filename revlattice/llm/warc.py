@@ -157,7 +157,7 @@ def write_warc(pages: DataFrame, path: str, min_revisit_bytes: int = 0, shard_by
 
     n_shards = planned.agg(F.max("n_shards")).first()[0] or 1
     rows = keyed(pages).withColumn("shard", _shard(F.lit(n_shards))).withColumn("payload", pack("payload"))
-    both = rows.unionByName(planned.drop("copies", "packed_bytes", "n_shards"), allowMissingColumns=True).repartition(n_shards, "shard")
+    both = rows.unionByName(planned.drop("copies", "packed_bytes", "n_shards"), allowMissingColumns=True).repartitionById(n_shards, "shard")
     # What was planned for a key comes before its pages (nulls first) and is handed down to them.
     same = Window.partitionBy(*KEY).orderBy(F.col("payload").isNotNull())
     told = both.withColumns(
