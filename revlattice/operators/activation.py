@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from revlattice.functions.skew import keep_unmatched
 from revlattice.functions.values import blank_if_missing
+from revlattice.session import store
 
 # CRM property names carry a prefix, so that fields written by this job stand out.
 PROPERTY_PREFIX = "revlattice_"
@@ -43,6 +44,8 @@ def company_property_payload(
 ) -> DataFrame:
     """(id, properties): one update per overview row, every value as text, missing as ''."""
     stamp = F.current_timestamp() if synced_at is None else F.lit(synced_at).cast("timestamp")
+    # The text says +00:00, whatever zone the session has.
+    stamp = F.to_utc_timestamp(stamp, F.current_timezone())
     properties = [
         _text(overview, source).alias(prefix + name) for name, source in PROPERTY_SOURCES.items()
     ]
@@ -57,20 +60,22 @@ def company_property_payload(
     )
 
 
-def payload_batches(payload: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
+def payload_batches(payload: DataFrame, batch_size: int = BATCH_SIZE, bucket_digits: int = 3) -> DataFrame:
     """(batch_no, size, inputs): all updates, numbered through and cut into full batches.
 
-    Numbering needs no global sort. Rows fall into 4096 hash buckets; a bucket's offset is
-    the size of those before it (a running sum over at most 4096 rows), and the position
-    inside a bucket is added. Equal updates are counted first and numbered as copies, so
-    a company that occurs very often is spread over all buckets.
+    Numbering needs no global sort. Rows fall into 16 ** `bucket_digits` hash buckets (4096;
+    raise it where a bucket is too much for a task); a bucket's offset is the size of those
+    before it (a running sum over one row per bucket), and the position inside a bucket is
+    added. Equal updates are counted first and numbered as copies, so a company that occurs
+    very often is spread over all buckets. The rows are stored, as they are counted and numbered.
     """
     copies = payload.groupBy("id", "properties").agg(F.count("*").alias("n"))
     rows = copies.select(
-        "id", "properties", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy")
+        "id", "properties", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy")
     ).withColumn(
-        "bucket", F.substring(F.md5(F.concat("id", F.to_json("properties"), "copy")), 1, 3)
+        "bucket", F.substring(F.md5(F.concat("id", F.to_json("properties"), "copy")), 1, bucket_digits)
     )
+    rows = store(rows, "payload-rows")
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("in_bucket"))
     before = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(
@@ -147,6 +152,20 @@ def new_pql_deals(
     )
 
 
+def deal_associations(new_deals: DataFrame, prefix: str = PROPERTY_PREFIX) -> DataFrame:
+    """Which company each deal of `new_pql_deals` is to be linked with in the CRM.
+
+    A new deal has no id yet; it is known by its name and the company id that it carries.
+    """
+    company = F.col(prefix + "company_id")
+    return new_deals.where(company.isNotNull()).select(
+        F.lit("deals").alias("from_object_type"),
+        "dealname",
+        F.lit("companies").alias("to_object_type"),
+        company.alias("to_object_id"),
+    )
+
+
 def deal_sync_counts(payload: DataFrame, decisions: DataFrame) -> DataFrame:
     """How many companies are updated, and how many deals are made or exist already."""
     updates = payload.agg(F.count("*").alias("records"))

@@ -7,6 +7,18 @@ from pyspark.sql import functions as F
 
 from revlattice.functions.dates import AsOf, as_day, days_before, days_between
 from revlattice.functions.values import sum_usd
+from revlattice.operators.usage import usage_chart_30d
+
+# What the account page shows, by section.
+DETAIL_SECTIONS = {
+    "header": ["company_name", "health_status", "plan_name", "current_mrr_usd", "account_segment"],
+    "contact": ["contact_name", "contact_email"],
+    "limits": ["seat_limit", "seat_usage_pct", "monthly_credits", "credit_usage_pct"],
+    "sales": ["is_pql", "pql_signal_count"],
+    "usage": ["credits_used_14d", "active_users_14d", "sessions_14d", "last_active_date", "days_since_last_active"],
+    "revenue": ["monthly_amount_usd", "annual_run_rate_usd", "lifetime_revenue_usd", "invoices_paid", "tenure_days"],
+    "company": ["company_domain", "total_employees", "customer_id", "billing_match_type"],
+}
 
 
 def kpi_cards(overview: DataFrame) -> DataFrame:
@@ -73,3 +85,32 @@ def account_filter(
         "last_active_date",
         days_between(as_day(as_of), F.col("last_active_date")).alias("days_since_last_active"),
     )
+
+
+def account_detail(
+    overview: DataFrame,
+    daily_usage: DataFrame,
+    as_of: AsOf = None,
+    account_id: str | None = None,
+    days: int = 30,
+) -> DataFrame:
+    """The account page: a struct per section, and the daily series as an array of at most `days`.
+
+    With `account_id` only that account is read, of both inputs; the filter reaches their scans.
+    An account with several overview rows has a row for each.
+    """
+    found, used = overview, daily_usage
+    if account_id is not None:
+        found, used = (df.where(F.col("hubspot_company_id") == account_id) for df in (found, used))
+    day = F.struct("usage_date", "credits", "prompt_runs", "sessions", "is_partial")
+    series = (
+        usage_chart_30d(used, found, as_of, days, mark_partial=True)
+        .groupBy(F.col("hubspot_company_id").alias("charted"))
+        .agg(F.array_sort(F.collect_list(day)).alias("daily"))
+    )
+    sections = [F.struct(*columns).alias(name) for name, columns in DETAIL_SECTIONS.items()]
+    return (
+        found.select("hubspot_company_id", *sections)
+        .join(series, F.col("hubspot_company_id") == F.col("charted"), "left")
+        .drop("charted")
+    )

@@ -191,10 +191,12 @@ def account_usage_state(
 
 
 def usage_chart_30d(
-    daily_usage: DataFrame, accounts: DataFrame, as_of: AsOf = None, days: int = 30
+    daily_usage: DataFrame, accounts: DataFrame, as_of: AsOf = None, days: int = 30, mark_partial: bool = False
 ) -> DataFrame:
     """Dense daily series per account: the `days` days up to and including `as_of`.
 
+    With `mark_partial` a column `is_partial` tells the day `as_of` itself, which is not over.
+
     An account's days travel as one map of at most `days` entries, so accounts are
     shuffled once each and the zero days are only made afterwards.
     """
@@ -226,4 +228,5 @@ def usage_chart_30d(
         "hubspot_company_id",
         "usage_date",
         *[F.coalesce(that_day[c], F.lit(0)).alias(c) for c in ("credits", "prompt_runs", "sessions")],
+        *([(F.col("usage_date") == today).alias("is_partial")] if mark_partial else []),
     )

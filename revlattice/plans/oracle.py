@@ -571,6 +571,10 @@ _BODIES: dict[str, str] = {
                coalesce(CAST(credit_usage_pct AS VARCHAR), '') AS revlattice_credit_usage_pct,
                CAST(active_users AS VARCHAR) AS revlattice_active_users
         FROM leads WHERE hubspot_company_id NOT IN (SELECT deal_company FROM deals WHERE deal_company IS NOT NULL)""",
+    "deal_associations": """
+        SELECT 'deals' AS from_object_type, company_name || ' - Enterprise (PQL)' AS dealname,
+               'companies' AS to_object_type, hubspot_company_id AS to_object_id
+        FROM leads WHERE hubspot_company_id NOT IN (SELECT deal_company FROM deals WHERE deal_company IS NOT NULL)""",
     "deal_value_estimate": """
         SELECT company_id, employees, CAST(12000 + 6000 * (CAST(employees >= 100 AS INTEGER)
                + CAST(employees >= 250 AS INTEGER)) AS DOUBLE) AS deal_value_usd FROM companies""",
@@ -646,7 +650,6 @@ _BODIES: dict[str, str] = {
         FROM (SELECT hubspot_company_id, {DAY} - CAST(n AS INTEGER) AS usage_date FROM account, range(30) r(n)) g
         LEFT JOIN daily d USING (hubspot_company_id, usage_date)""",
     "incremental_daily_usage": _all("daily"),
-    # A day is final once the last event is 58 hours past its end.
     "streaming_daily_usage": """
         SELECT account_domain, CAST(occurred_at AS DATE) AS usage_date,
                CAST(sum(credits_used) AS BIGINT) AS total_credits_used,
@@ -657,9 +660,24 @@ _BODIES: dict[str, str] = {
                count(*) FILTER (event_type = 'project_published') AS projects_published,
                count(*) AS total_events
         FROM usage_log
-        WHERE account_domain IS NOT NULL
-          AND CAST(occurred_at AS DATE) + INTERVAL 1 DAY <= (SELECT max(occurred_at) FROM usage_log) - INTERVAL 58 HOUR
-        GROUP BY 1, 2""",
+        WHERE account_domain IS NOT NULL GROUP BY 1, 2""",
+    "account_detail": f"""
+        SELECT * FROM (WITH days AS (
+            SELECT g.hubspot_company_id, g.usage_date, coalesce(d.total_credits_used, 0) AS credits,
+                   coalesce(d.prompt_runs, 0) AS prompt_runs, coalesce(d.sessions, 0) AS sessions
+            FROM (SELECT DISTINCT hubspot_company_id, {DAY} - CAST(n AS INTEGER) AS usage_date FROM account, range(30) r(n)) g
+            LEFT JOIN daily d USING (hubspot_company_id, usage_date)),
+        series AS (
+            SELECT hubspot_company_id, '[' || string_agg('{{"usage_date":"' || usage_date || '","credits":' || credits
+                   || ',"prompt_runs":' || prompt_runs || ',"sessions":' || sessions || ',"is_partial":'
+                   || CASE WHEN usage_date = {DAY} THEN 'true' ELSE 'false' END || '}}', ',' ORDER BY usage_date) || ']' AS daily
+            FROM days GROUP BY 1)
+        SELECT hubspot_company_id, company_name, health_status, plan_name, current_mrr_usd, account_segment,
+               contact_name, contact_email, seat_limit, seat_usage_pct, monthly_credits, credit_usage_pct,
+               is_pql, pql_signal_count, credits_used_14d, active_users_14d, sessions_14d, last_active_date,
+               days_since_last_active, monthly_amount_usd, annual_run_rate_usd, lifetime_revenue_usd, invoices_paid,
+               tenure_days, company_domain, total_employees, customer_id, billing_match_type, daily
+        FROM overview LEFT JOIN series USING (hubspot_company_id))""",
     "identity_normalised_name": _all("account"),
     "health_low_usage_rule": """
         SELECT hubspot_company_id, plan_name, health_status, credits_used_30d, monthly_credits,

@@ -162,17 +162,19 @@ def seed_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def materialise_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staging as a view, a mart as a table; read back by their published names."""
+    """Staging as a view, a mart as a table; read back by their published names. The mart's schema
+    is this run's own, so that no table of the session's catalog is replaced."""
     m = models(spark, sf_dir)
     layers.materialise_layer(m.companies, " Staging ", "stg_companies", "")
     marts = fresh_folder(spark, "tables")
     health_mart = models(spark, sf_dir).health
-    layers.materialise_layer(health_mart, "marts", "mart_account_health", marts)
+    schema = f"marts_{marts.rpartition('-')[2]}"
+    layers.materialise_layer(health_mart, "marts", "mart_account_health", marts, schema=schema)
     return spark.sql(
-        """
+        f"""
         SELECT c.company_id, c.company_name, h.health_status
         FROM staging_stg_companies c
-        JOIN marts.mart_account_health h ON h.hubspot_company_id = c.company_id
+        JOIN {schema}.mart_account_health h ON h.hubspot_company_id = c.company_id
         """
     )
 
@@ -505,6 +507,12 @@ def new_pql_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activation.new_pql_deals(models(spark, sf_dir).leads, _deal_accounts(spark, sf_dir))
 
 
+@query
+def deal_associations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fresh = activation.new_pql_deals(models(spark, sf_dir).leads, _deal_accounts(spark, sf_dir))
+    return activation.deal_associations(fresh)
+
+
 @query
 def deal_value_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     companies = staging.stg_companies(src.raw_companies(spark, sf_dir))
@@ -657,6 +665,18 @@ def usage_chart_30d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage.usage_chart_30d(m.daily_usage, m.identity, TODAY)
 
 
+@query
+def account_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page of every account."""
+    m = models(spark, sf_dir, (*SHARED_BY_OVERVIEW, "overview"))
+    pages = reads.account_detail(m.overview, m.daily_usage, TODAY)
+    return pages.select(
+        "hubspot_company_id",
+        *[f"{section}.{c}" for section, columns in reads.DETAIL_SECTIONS.items() for c in columns],
+        F.to_json("daily").alias("daily"),
+    )
+
+
 # --- incremental and streaming
 
 
@@ -681,16 +701,18 @@ def incremental_daily_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def streaming_daily_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event table read as a stream; days that are final by its end."""
+    """The event table, a file or a folder, read as a stream: its final days and the open ones."""
     schema = src.table(spark, sf_dir, "events").schema
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # A pattern, as a stream takes a plain path for a folder and the table may be one file.
+    rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/[e]vents.parquet")
     arrivals = staging.stg_usage_events(src.usage_events_from(rows))
     root = fresh_folder(spark, "stream")
     running = incremental.write_daily_stream(
         incremental.streaming_daily_usage(arrivals), f"{root}/days", f"{root}/state", available_now=True
     )
     running.awaitTermination()
-    return spark.read.parquet(f"{root}/days")
+    events = staging.stg_usage_events(src.raw_usage_events(spark, sf_dir))
+    return incremental.with_open_days(spark.read.parquet(f"{root}/days"), events)
 
 
 # --- extensions

@@ -15,15 +15,17 @@ def layer_name(name: str | None, default: str) -> str:
 
 
 def materialise_layer(
-    df: DataFrame, layer: str, name: str, root: str, default: str = "staging"
+    df: DataFrame, layer: str, name: str, root: str, default: str = "staging", schema: str | None = None
 ) -> DataFrame:
     """Publish a model under its layer and return it as readers will see it.
 
-    Views are session views `<layer>_<name>`; tables are `<layer>.<name>`, stored under `root`.
+    Views are session views `<schema>_<name>`; tables are `<schema>.<name>`, stored under `root`,
+    and replace a table of that name. The schema is the layer's own unless `schema` names another.
     """
     spark = df.sparkSession
-    schema = layer_name(layer, default)
-    if LAYER_KIND[schema] == "view":
+    kind = LAYER_KIND[layer_name(layer, default)]
+    schema = layer_name(schema, layer_name(layer, default))
+    if kind == "view":
         df.createOrReplaceTempView(f"{schema}_{name}")
         return spark.table(f"{schema}_{name}")
     location = f"{root.rstrip('/')}/{schema}"

@@ -43,9 +43,9 @@ def on_days(days: list, column: str = "occurred_date") -> Column:
     return (found | F.col(column).isNull()) if None in days else found
 
 
-def _event_key() -> Column:
+def event_key(columns: list[str] = EVENT_COLUMNS) -> Column:
     """What tells events apart: the id, or without one everything that is known of the event."""
-    content = F.md5(F.to_json(F.struct(*EVENT_COLUMNS)))
+    content = F.md5(F.to_json(F.struct(*columns)))
     return F.coalesce(F.concat(F.lit("id:"), "event_id"), F.concat(F.lit("content:"), content))
 
 
@@ -77,7 +77,7 @@ def append_usage_events(events: DataFrame, table_path: str, days: list | None =
     dated = _dated(events)
     first = F.struct("ingested_at", F.to_json(F.struct(*EVENT_COLUMNS)))
     batch = (
-        dated.groupBy(_event_key().alias("event_key"))
+        dated.groupBy(event_key().alias("event_key"))
         .agg(F.min_by(F.struct(*dated.columns), first).alias("event"))
         .select("event_key", "event.*")
     )
@@ -104,4 +104,4 @@ def _present_keys(spark: SparkSession, table_path: str, days: list) -> DataFrame
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return log.where(on_days([*days, None])).select(_event_key().alias("event_key"))
+    return log.where(on_days([*days, None])).select(event_key().alias("event_key"))

@@ -8,10 +8,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from revlattice.operators.staging import stg_usage_events
 from revlattice.operators.usage import domain_daily_usage, event_counts
-from revlattice.sources.usage_log import append_usage_events, on_days, read_usage_log, touched_days
+from revlattice.sources.usage_log import append_usage_events, event_key, on_days, read_usage_log, touched_days
 
 # Fixed value: how late an event can be, two days and ten hours.
 LATEST_ARRIVAL = "58 hours"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 DAILY_SCHEMA = (
     "account_domain string, total_credits_used bigint, active_users bigint, sessions bigint, "
@@ -80,14 +81,38 @@ def follow_arrivals(
 def streaming_daily_usage(arrivals: DataFrame, lateness: str = LATEST_ARRIVAL) -> DataFrame:
     """Daily facts per domain as a stream: a day is final once `lateness` has passed.
 
-    Repeated events are dropped within that time. Distinct users are not available to a
-    streaming aggregate; `incremental_daily_usage` has them exactly.
+    Repeated events are dropped within that time; those without an id are told apart by all
+    their columns. Distinct users are not available to a streaming aggregate;
+    `incremental_daily_usage` has them exactly. `with_open_days` adds the days not yet final.
     """
-    return (
-        arrivals.withColumn("occurred_at", F.col("occurred_at").cast("timestamp"))
+    once = (
+        _timed(arrivals)
         .withWatermark("occurred_at", lateness)
-        .dropDuplicatesWithinWatermark(["event_id"])
-        .where(F.col("account_domain").isNotNull())
+        .dropDuplicatesWithinWatermark(["event_key"])
+    )
+    return _per_day(once)
+
+
+def with_open_days(final: DataFrame, events: DataFrame, lateness: str = LATEST_ARRIVAL) -> DataFrame:
+    """`final`, what the stream has put out by its end, and the days it still held open, from
+    `events`, all that it has read. Only events of the open days are aggregated."""
+    timed = _timed(events)
+    mark = timed.agg(F.max("occurred_at").alias("latest")).select(F.expr(f"latest - interval {lateness}")).first()[0]
+    if mark is None:
+        return final
+    still_open = F.date_add(F.to_date("occurred_at"), 1).cast("timestamp") > F.lit(mark)
+    return final.unionByName(_per_day(timed.where(still_open).dropDuplicates(["event_key"])))
+
+
+def _timed(events: DataFrame) -> DataFrame:
+    return events.withColumn("event_key", event_key(events.columns)).withColumn(
+        "occurred_at", F.col("occurred_at").cast("timestamp")
+    )
+
+
+def _per_day(events: DataFrame) -> DataFrame:
+    return (
+        events.where(F.col("account_domain").isNotNull())
         .groupBy(F.window("occurred_at", "1 day").alias("day"), "account_domain")
         .agg(
             F.sum("credits_used").alias("total_credits_used"),
@@ -111,7 +136,9 @@ def streaming_daily_usage(arrivals: DataFrame, lateness: str = LATEST_ARRIVAL) -
 def write_daily_stream(
     daily: DataFrame, path: str, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
-    """Append finished days to a parquet folder."""
+    """Append finished days to a parquet folder. State is kept in RocksDB, not on the heap."""
+    spark, provider = daily.sparkSession, "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider, None)
     writer = (
         daily.writeStream.outputMode("append")
         .format("parquet")
@@ -120,4 +147,12 @@ def write_daily_stream(
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    # A query takes the session's settings when it starts.
+    spark.conf.set(provider, STATE_STORE)
+    try:
+        return writer.start()
+    finally:
+        if before is None:
+            spark.conf.unset(provider)
+        else:
+            spark.conf.set(provider, before)

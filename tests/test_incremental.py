@@ -113,3 +113,31 @@ def test_streaming_days_wait_for_late_events(spark, tmp_path):
     assert rows(out, "account_domain", F.col("usage_date").cast("string"), "total_credits_used", "total_events") == [
         ("a.com", "2024-01-01", 2, 2)
     ]
+
+
+def test_stream_with_open_days_is_whole(spark, tmp_path):
+    """Final days from the stream, open ones from the log: ids once, rows without an id kept, and
+    equal to one pass over all events. The source is a folder of files."""
+    from pyspark.sql import functions as F
+
+    from revlattice.session import apply_rules
+    from revlattice.streaming import incremental
+
+    apply_rules(spark)
+    columns = "event_id string, event_type string, account_domain string, user_email string, credits_used bigint, occurred_at timestamp"
+    sql = """SELECT * FROM VALUES ('1', 'prompt_run', 'a.com', 'u', 5, '2024-01-01 10:00:00'), ('1', 'prompt_run', 'a.com', 'u', 5, '2024-01-01 10:00:00'),
+        (null, 'prompt_run', 'a.com', 'u', 7, '2024-01-01 11:00:00'), (null, 'prompt_run', 'a.com', 'v', 2, '2024-01-01 11:00:00'),
+        ('2', 'session_started', 'b.com', 'u', 1, '2024-01-09 10:00:00'), ('3', 'session_started', 'b.com', 'u', 1, '2024-01-10 10:00:00'),
+        ('3', 'session_started', 'b.com', 'u', 1, '2024-01-10 10:00:00')"""
+    rows = spark.sql(sql).toDF("event_id", "event_type", "account_domain", "user_email", "credits_used", "occurred_at")
+    rows = rows.selectExpr("event_id", "event_type", "account_domain", "user_email", "cast(credits_used as bigint) credits_used", "cast(occurred_at as timestamp) occurred_at")
+    rows.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    stream = spark.readStream.schema(columns).parquet(str(tmp_path / "[e]vents.parquet"))
+    incremental.write_daily_stream(
+        incremental.streaming_daily_usage(stream), str(tmp_path / "days"), str(tmp_path / "state"), available_now=True
+    ).awaitTermination()
+    final = spark.read.parquet(str(tmp_path / "days"))
+    assert [tuple(r) for r in final.select("account_domain", "total_credits_used").collect()] == [("a.com", 14)]
+    got = incremental.with_open_days(final, rows).select(F.col("usage_date").cast("string"), "account_domain", "total_credits_used")
+    assert sorted(map(tuple, got.collect())) == [("2024-01-01", "a.com", 14), ("2024-01-09", "b.com", 1), ("2024-01-10", "b.com", 1)]
+    assert incremental.with_open_days(final, rows.limit(0)).count() == 1
