@@ -70,6 +70,7 @@ def account_segment(accounts: DataFrame) -> DataFrame:
     return accounts.withColumn("account_segment", segment())
 
 
+# Columns of the overview.
 OVERVIEW_COLUMNS = [
     "hubspot_company_id",
     "company_name",

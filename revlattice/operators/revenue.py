@@ -10,6 +10,7 @@ from revlattice.functions.dates import AsOf, as_day, week_start
 from revlattice.functions.values import cents, sum_usd
 from revlattice.operators.history import KEY, VALID_FROM, VALID_TO
 
+# Kind of movement -> columns of its money and its count.
 MONEY = {
     "new": "new_mrr",
     "expansion": "expansion_mrr",
@@ -65,9 +66,8 @@ def _change_kind():
 
 
 def _change_amount():
-    """New and churned count the whole price, the other two the difference."""
-    new, old = F.col("monthly_amount_usd"), F.col("previous_amount")
-    return F.when((old == 0) | (new == 0), F.abs(new + old)).otherwise(F.abs(new - old))
+    """The difference; for new and churned, whose other price is 0, that is the whole price."""
+    return F.abs(F.col("monthly_amount_usd") - F.col("previous_amount"))
 
 
 def subscription_starts(versions: DataFrame) -> DataFrame:

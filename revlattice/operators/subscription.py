@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from revlattice.functions.skew import keep_unmatched
 
+# Columns of a subscription.
 SUBSCRIPTION = [
     "subscription_id",
     "price_id",

@@ -21,6 +21,7 @@ _fallback_root: dict[str, str] = {}
 
 
 def apply_rules(spark: SparkSession) -> SparkSession:
+    """Set RULES on the session, for good: its time zone is UTC from then on."""
     for key, value in RULES.items():
         spark.conf.set(key, value)
     return spark

@@ -31,6 +31,18 @@ def test_payload_is_all_text(spark):
     }
 
 
+def test_stamp_is_utc_in_any_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        df = activation.company_property_payload(
+            spark.createDataFrame([account("7")], OVERVIEW), "2024-01-31 06:00:00", prefix="p_"
+        )
+        assert df.select("properties.p_synced_at").first()[0] == "2024-01-30T21:00:00+00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 @pytest.mark.parametrize("n", [0, 1, 100, 101, 1234])
 def test_batches_are_full_and_complete(spark, n):
     payload = spark.range(n).select(F.col("id").cast("string").alias("id"), F.struct(F.lit("x").alias("a")).alias("properties"))
@@ -76,6 +88,8 @@ def test_deals(spark):
     assert (first.dealname, first.dealstage, first.p_credit_usage_pct, first.p_active_users) == (
         "N1 - Enterprise (PQL)", "appointmentscheduled", "", "3",
     )
+    links = activation.deal_associations(deals, prefix="p_")
+    assert rows(links)[0] == ("deals", "N1 - Enterprise (PQL)", "companies", "1") and links.count() == 5
     counts = activation.deal_sync_counts(spark.range(7), activation.deal_decisions(leads(spark), known))
     assert rows(counts) == [("company updated", 7), ("deal already existed", 1), ("deal created", 5)]
 

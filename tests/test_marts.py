@@ -185,3 +185,28 @@ def test_pages(wide):
     assert pick(search="LEAD") == ["lead"] and pick(search="%") == [] and pick(pql_only=True) == ["lead"]
     assert pick(segment="churned") == ["never", "stopped"] and pick(health="red") == ["lead", "red"]
     assert pick(plan="free", active_within_days=14) == ["active"]
+
+
+def test_account_detail_of_one_account(spark, tmp_path):
+    """Dense days with the last one marked; the account's id reaches the scans of both inputs."""
+    from pyspark.sql import functions as F
+
+    from revlattice.operators import reads
+    from revlattice.operators.overview import OVERVIEW_COLUMNS
+
+    wide = spark.sql("SELECT explode(array('1', '2', null)) AS hubspot_company_id").select(
+        "hubspot_company_id", *[F.lit("x").alias(c) for c in OVERVIEW_COLUMNS[1:]]
+    )
+    wide.write.parquet(str(tmp_path / "overview"))
+    used = spark.sql("SELECT '1' AS hubspot_company_id, date'2024-01-30' AS usage_date, 5L AS total_credits_used, 2L AS prompt_runs, 1L AS sessions")
+    used.write.parquet(str(tmp_path / "daily"))
+    overview, daily = (spark.read.parquet(str(tmp_path / n)) for n in ("overview", "daily"))
+    one = reads.account_detail(overview, daily, "2024-01-31", account_id="1", days=3)
+    (got,) = one.collect()
+    assert [(str(d.usage_date), d.credits, d.is_partial) for d in got.daily] == [
+        ("2024-01-29", 0, False), ("2024-01-30", 5, False), ("2024-01-31", 0, True),
+    ]
+    assert (got.header.plan_name, got.company.company_domain) == ("x", "x")
+    assert one._jdf.queryExecution().executedPlan().toString().count("EqualTo(hubspot_company_id,1)") >= 2
+    every = {r.hubspot_company_id: r.daily for r in reads.account_detail(overview, daily, "2024-01-31").collect()}
+    assert len(every["2"]) == 30 and every[None] is None and len(every) == 3
