@@ -9,6 +9,7 @@ coverage, whatever the order of the passages.
 from __future__ import annotations
 
 import heapq
+import unicodedata
 from itertools import repeat
 
 import numpy as np
@@ -19,14 +20,32 @@ from pyspark.sql import functions as F
 #: Characters of benchmark text that are sent to the executors at a time.
 BLOCK_CHARS = 32 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
-_LOWER = bytes(
-    b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
-)
+# ASCII texts, lower-cased, with spaces for all but letters and digits.
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+# Characters that are not seen and part no words: soft hyphen, joiners, variation selectors.
+_UNSEEN = {0xAD, 0x34F, 0x200C, 0x200D, 0x2060, 0xFEFF, *range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0)}
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Lower-cased (A-Z) runs of ASCII letters, digits and all characters beyond ASCII."""
-    return (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
+class _Letters(dict):
+    """What becomes of a character: letters, digits and marks stay, all others are spaces."""
+
+    def __missing__(self, code: int) -> int | None:
+        kept = chr(code).isalnum() or unicodedata.category(chr(code))[0] == "M"
+        self[code] = None if code in _UNSEEN else code if kept else 32
+        return self[code]
+
+
+_LETTERS = _Letters()
+
+
+def words_of(text: str | None) -> list[str]:
+    """Runs of letters and digits, with the marks on them, case-folded and in NFC."""
+    text = text or ""
+    if text.isascii():
+        return text.encode().translate(_LOWER).decode().split()
+    folded = unicodedata.normalize("NFD", text).casefold().translate(_LETTERS)
+    # Marks without a letter before them are no words.
+    return [w for w in unicodedata.normalize("NFC", folded).split() if w[0].isalnum()]
 
 
 def rolling(ids: np.ndarray, n: int) -> np.ndarray:
@@ -46,7 +65,7 @@ class Items:
 
     def __init__(self, rows: list[tuple], min_tile: int):
         self.min_tile = min_tile
-        self.vocabulary: dict[bytes, int] = {}
+        self.vocabulary: dict[str, int] = {}
         self.ids, self.names = [], []
         hashes, item, at = [], [], []
         for name, text in rows:

@@ -6,6 +6,7 @@ import math
 import random
 import re
 import struct
+import unicodedata
 import zlib
 
 import numpy as np
@@ -408,6 +409,18 @@ def test_decontamination_on_awkward_rows(spark):
     assert docs.where(F.size(column) > 0).count() == 2
 
 
+def test_words_in_any_case_and_normal_form(spark):
+    item = "La ciónmiírr über straße “naïve” ὀδυσσεύς don’t—x\u00ada"
+    want = ["la", "ciónmiírr", "über", "strasse", "naïve", "ὀδυσσεύσ", "don", "t", "xa"]
+    assert tiling.words_of(item) == tiling.words_of(item.upper()) == want
+    assert tiling.words_of(unicodedata.normalize("NFD", item.upper())) == want
+    assert tiling.words_of("कि_ताब x\u0302y \u0301 ☃\ufe0f A_b") == ["कि", "ताब", "x\u0302y", "a", "b"]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    texts = [f"Vorher {item.upper()} nachher", "«" + item.replace(" ", "\u00a0") + "»", unicodedata.normalize("NFD", item)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {(r["doc_id"], r["coverage"]) for r in tiling.contaminated(docs, bench).collect()} == {(0, 1.0), (1, 1.0), (2, 1.0)}
+
+
 # --- 10 licenses ---------------------------------------------------------------------------
 
 
