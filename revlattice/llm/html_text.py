@@ -1,8 +1,8 @@
 """Main text of web pages through templates deduced from equivalence classes.
 
 Tokens of a page are its container tags and its text blocks, told apart by their place in the
-tree. Tokens of a host with equal occurrence vectors (how often each occurs on every page) form
-a class; classes of two tokens or more on enough pages, nested in a container that is template
+tree. Tokens of a host with equal occurrence vectors (how often each occurs on the pages of every
+article) form a class; classes of two tokens or more on enough pages, nested in a container that is template
 itself, make the host's template. What is left are slots; those of the article are its text.
 """
 
@@ -155,14 +155,13 @@ def tag_token(path: str) -> int:
     return xxhash.xxh64_intdigest(path.encode("utf-8", "surrogatepass"), 1) - (1 << 63)
 
 
-def main_text(html: str | None, fixed: frozenset[int] | set[int] = frozenset()) -> str:
-    """The slots that make up the article: its blocks, one to a line.
+def main_blocks(page: Page) -> list[tuple[str, str]]:
+    """(path, text) of the blocks of a page's article.
 
-    `fixed` are tokens of text blocks that the host's template holds. Where a page has an
-    article element, its main text is there; else in the main element; else anywhere but in
-    asides and blocks that are mostly links.
+    Where a page has an article element, its main text is there; else in the main element; else
+    anywhere but in asides and blocks that are mostly links.
     """
-    blocks = [b for b in Page(html or "").blocks if not b[3]]
+    blocks = [b for b in page.blocks if not b[3]]
     for kind in ("article", "main"):
         inside = [b for b in blocks if b[4] == kind]
         if inside:
@@ -170,54 +169,73 @@ def main_text(html: str | None, fixed: frozenset[int] | set[int] = frozenset())
             break
     else:
         blocks = [b for b in blocks if b[2] * 2 <= len(b[1])]
-    return "\n".join(text for path, text, *_ in blocks if not fixed or block_token(path, text) not in fixed)
+    return [(path, text) for path, text, *_ in blocks]
+
+
+def main_text(html: str | None, fixed: frozenset[int] | set[int] = frozenset()) -> str:
+    """The slots that make up the article: its blocks, one to a line.
+
+    `fixed` are tokens of text blocks that the host's template holds. An article of nothing else
+    is no template and stays whole.
+    """
+    blocks = main_blocks(Page(html or ""))
+    slots = [b for b in blocks if block_token(*b) not in fixed] if fixed else blocks
+    return "\n".join(text for _, text in slots or blocks)
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
-    """Per page and token: host, page_no, token, parent (token of the container around it),
-    is_text, n."""
+    """Per page and token: host, article (hash of the page's article), token, parent (token of
+    the container around it), is_text, n; and a row per page without a token."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out: list[tuple] = []
-            for host, page_no, html in zip(batch["host"], batch["page_no"], batch["html"], strict=True):
+            for host, html in zip(batch["host"], batch["html"], strict=True):
                 page = Page(html or "")
+                article = block_token("", "\n".join(text for _, text in main_blocks(page)))
+                out.append((host, article, None, None, False, 1))
                 for path, n in page.tags.items():
                     around = path[1:].rpartition("/")[0]
-                    out.append((host, page_no, tag_token(path), tag_token("+" + around) if around else None, False, n))
+                    out.append((host, article, tag_token(path), tag_token("+" + around) if around else None, False, n))
                 texts = Counter((path, text) for path, text, *_ in page.blocks)
                 for (path, text), n in texts.items():
-                    out.append((host, page_no, block_token(path, text), tag_token("+" + path) if path else None, True, n))
+                    out.append((host, article, block_token(path, text), tag_token("+" + path) if path else None, True, n))
             columns = list(zip(*out, strict=True)) or [[]] * 6
-            kinds = ["object", "int64", "int64", "Int64", "bool", "int32"]  # nullable, as floats lose digits
-            names = ["host", "page_no", "token", "parent", "is_text", "n"]
+            kinds = ["object", "int64", "Int64", "Int64", "bool", "int32"]  # nullable, as floats lose digits
+            names = ["host", "article", "token", "parent", "is_text", "n"]
             yield pd.DataFrame({k: pd.array(c, dtype=t) for k, c, t in zip(names, columns, kinds, strict=True)})
 
-    return pages.select("host", "page_no", "html").mapInPandas(
-        run, "host string, page_no long, token long, parent long, is_text boolean, n int"
+    return pages.select("host", "html").mapInPandas(
+        run, "host string, article long, token long, parent long, is_text boolean, n int"
     )
 
 
 def templates(pages: DataFrame, min_pages: int = 5, min_share: float = 0.5) -> DataFrame:
     """Per host its template's text blocks: host, fixed (array of tokens).
 
+    Pages of a host with equal articles (mirrors, reposts) are copies of one page and stand in
+    an occurrence vector once. A class is valid on at least `min_pages` pages that hold the
+    share `min_share` of the host's different articles, or of `min_pages` if those are fewer.
+
     An occurrence vector is folded to a hash that adds up over pages in any order, so a host
     with very many pages is aggregated before it is shuffled and never sits in one task.
     """
-    vector = F.bit_xor(F.xxhash64("page_no", "n"))
-    seen = occurrences(pages).groupBy("host", "token", "parent", "is_text").agg(
-        vector.alias("vector"), F.count("*").alias("n_pages")
-    )
+    key = ["host", "token", "parent", "is_text"]
+    once = occurrences(pages).groupBy(*key, "article").agg(F.max("n").alias("n"), F.count("*").alias("copies"))
+    vector = F.bit_xor(F.xxhash64("article", "n"))
+    seen = once.groupBy(*key).agg(vector.alias("vector"), F.count("*").alias("n_articles"), F.sum("copies").alias("n_pages"))
     seen = store(seen, "html-tokens")
-    sizes = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
-    classes = seen.groupBy("host", "vector", "n_pages").agg(F.count("*").alias("tokens"))
+    sizes = seen.where("token is null").select("host", F.greatest("n_articles", F.lit(min_pages)).alias("least"))
+    same = ["host", "vector", "n_articles"]
+    seen = seen.where("token is not null")
+    classes = seen.groupBy(*same).agg(F.count("*").alias("tokens"), F.min("n_pages").alias("n_pages"))
     valid = classes.where((F.col("tokens") >= 2) & (F.col("n_pages") >= min_pages)).join(sizes, "host")
-    valid = valid.where(F.col("n_pages") >= min_share * F.col("host_pages")).select("host", "vector", "n_pages")
-    members = seen.join(valid, ["host", "vector", "n_pages"], "left_semi")
+    valid = valid.where(F.col("n_articles") >= min_share * F.col("least")).select(*same)
+    members = seen.join(valid, same, "left_semi")
     # Nesting: the container around a fixed block is template as well.
     around = members.where("not is_text").select("host", F.col("token").alias("parent"))
     fixed = members.where("is_text").join(around, ["host", "parent"], "left_semi")
-    # At most (blocks of a page / min_share) tokens a host.
+    # At most (blocks of an article's pages / min_share) tokens a host.
     return fixed.groupBy("host").agg(F.collect_set("token").alias("fixed"))
 
 
@@ -232,9 +250,7 @@ def extract_main_text(pages: DataFrame, min_pages: int = 5, min_share: float = 0
     a host with fewer than `min_pages` pages has no template; tags alone decide there. Repeated
     rows come out as often as they come in; null ids are carried along; other columns ignored.
     """
-    rows = pages.select(
-        F.monotonically_increasing_id().alias("page_no"), "page_id", "url", host_of(F.col("url")).alias("host"), "html"
-    )
+    rows = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
     known = store(templates(rows, min_pages, min_share), "html-templates")
 
     @F.pandas_udf("string")

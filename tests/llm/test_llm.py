@@ -214,6 +214,20 @@ def test_template_text_goes_and_copies_stay(spark):
     assert html_text.extract_main_text(df.limit(0)).count() == 0
 
 
+def test_copies_of_an_article_are_no_template(spark):
+    page = "<html><body><article><h1>{0}</h1><p>Of {0}.</p>{1}</article><footer>me</footer></body></html>"
+    chrome = "<div><p>Sign up</p><p>Rights reserved</p></div>"
+    pages = [("http://mirror.example", "same" if i < 6 else f"other {i}", "") for i in range(10)]
+    pages += [("http://all.example", "whole host", "")] * 7 + [("no host", "somewhere", "")] * 6
+    pages += [("http://two.example", f"half {i % 2}", "") for i in range(10)]
+    pages += [("http://chrome.example", f"on {max(i, 5)}", chrome) for i in range(10)]
+    rows = [(i, f"{u}/?session={i}", page.format(t, x)) for i, (u, t, x) in enumerate(pages)]
+    got = html_text.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {i: f"{t}\nOf {t}." for i, (_, t, _) in enumerate(pages)}
+    block = html_text.block_token("/article", "all")
+    assert html_text.main_text("<article>all</article>", {block}) == "all"
+
+
 # --- 5 archives ----------------------------------------------------------------------------
 
 
