@@ -1,9 +1,10 @@
-"""Main text of web pages through templates deduced from equivalence classes.
+"""Main text of web pages by tags and names, less their hosts' templates.
 
 Tokens of a page are its container tags and its text blocks, told apart by their place in the
 tree. Tokens of a host with equal occurrence vectors (how often each occurs on the pages of every
 article) form a class; classes of two tokens or more on enough pages, nested in a container that is template
-itself, make the host's template. What is left are slots; those of the article are its text.
+itself, make the host's template. Which blocks are the article's is decided by fixed lists of tags
+and names (`main_blocks`), not by the classes; what the template leaves of them is the text.
 """
 
 from __future__ import annotations
