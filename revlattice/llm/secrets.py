@@ -1,7 +1,7 @@
 """Secrets in texts: three patterns, and a battery of randomness tests.
 
-Besides strings that look like assignments, access keys or hex digests, long tokens are tested
-for randomness in the encoding that they seem to be in: chi-squared uniformity over its
+Besides strings that look like assignments, access keys or hex digests, tokens, and the segments of
+paths, are tested for randomness in the encoding that they seem to be in: chi-squared uniformity over its
 alphabet, runs, and serial correlation. A token that passes counts as a secret only if text
 would hardly look so even at its length; false discoveries are controlled over all documents.
 Built-in expressions only.
@@ -9,6 +9,8 @@ Built-in expressions only.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,8 +22,9 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 KINDS = ["assign", "access", "hex", "random"]
-#: Candidates for the tests.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+#: Characters of the candidates for the tests. "=" is no part of them but for padding at the end,
+#: so that a name before it is cut off.
+INNER = "[A-Za-z0-9+/_-]"
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Encodings in the order in which they are tried: name, pattern, alphabet. Tokens of letters
 #: of one case alone, or of digits alone, are words and numbers.
@@ -40,6 +43,8 @@ ENCODINGS = [
 TEXT_EXCESS = 0.045
 #: Steps of log10(p) that the false-discovery control tells apart, and the last of them.
 STEPS, LAST_STEP = 20, 400
+#: Lengths beyond this are tested at any rate.
+LONGEST = 4096
 _MARK, _STAND_IN = "\u0001", "\u0002"
 
 
@@ -69,6 +74,49 @@ def normal_below(z: Column) -> Column:
     return 1 / (1 + F.exp(-1.5976 * z - 0.07056 * z * z * z))
 
 
+def shortest(symbols: int, rate: float) -> int:
+    """The least length at which a token over so many symbols can be a discovery at `rate`: shorter
+    ones may come from text with a greater chance than that, however evenly they are spread."""
+    for n in range(2, LONGEST):
+        each, more = divmod(n, symbols)
+        squares = more * (each + 1) ** 2 + (symbols - more) * each**2
+        far = (n - 1) * symbols * TEXT_EXCESS
+        z = max(-12.0, (squares * symbols / n - n - (symbols - 1) - far) / math.sqrt(2 * (symbols - 1) + 4 * far))
+        if 1 / (1 + math.exp(-1.5976 * z - 0.07056 * z**3)) <= rate:
+            return n
+    return LONGEST
+
+
+def shortest_of(rate: float) -> dict[str, int]:
+    return {name: shortest(len(symbols), rate) for name, _, symbols in ENCODINGS if symbols}
+
+
+def candidate_pattern(least: int) -> str:
+    """Whole runs of INNER of at least this length, words and numbers aside, with their padding."""
+    words = "|".join(pattern[1:-1] for name, pattern, _ in ENCODINGS if name == "word")
+    return rf"(?<!{INNER})(?!(?:{words})(?!{INNER})){INNER}{{{least},}}(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?"
+
+
+def with_segments(candidates: Column) -> Column:
+    """Candidates (start, end, token, part), and the segments between slashes of each that has
+    any (part is true), which are tested on their own as well."""
+
+    def segments(c: Column) -> Column:
+        kind = "array<struct<start:int,end:int,token:string,part:boolean>>"
+        zero = F.struct(c["start"].alias("at"), F.array().cast(kind).alias("found"))
+
+        def step(state: Column, piece: Column) -> Column:
+            end = state["at"] + F.char_length(piece)
+            one = F.struct(state["at"].alias("start"), end.alias("end"), piece.alias("token"), F.lit(True).alias("part"))
+            return F.struct((end + 1).alias("at"), F.concat(state["found"], F.array(one)).alias("found"))
+
+        whole = F.array(F.struct(c["start"].alias("start"), c["end"].alias("end"), c["token"].alias("token"), F.lit(False).alias("part")))
+        split = F.aggregate(F.split(c["token"], "/", -1), zero, step, lambda s: s["found"])
+        return F.when(F.contains(c["token"], F.lit("/")), F.concat(whole, split)).otherwise(whole)
+
+    return F.flatten(F.transform(candidates, segments))
+
+
 def encoding(token: Column) -> Column:
     out = F
     for name, pattern, _ in ENCODINGS:
@@ -76,18 +124,20 @@ def encoding(token: Column) -> Column:
     return out.otherwise("mixed")
 
 
-def tested(candidate: Column) -> Column:
-    """(start, end, encoding, passes, step) of a candidate: whether it passes for random, and
-    in which step of log10(p) the chance lies that text of its length looks as uniform."""
+def tested(candidate: Column, least: dict[str, int]) -> Column:
+    """(start, end, part, encoding, passes, step) of a candidate: whether it passes for random, and
+    in which step of log10(p) the chance lies that text of its length looks as uniform. Null if
+    its encoding is unknown, or if it is shorter than `least` of its encoding."""
     core = F.regexp_replace(candidate["token"], "=+$", "")
     name = encoding(core)
-    alphabet = F
+    alphabet, enough = F, F
     for known, _, symbols in ENCODINGS:
         alphabet = alphabet.when(name == known, symbols)
-    alphabet = alphabet.otherwise("")
+        enough = enough.when(name == known, F.lit(least.get(known, LONGEST)))
+    alphabet, enough = alphabet.otherwise(""), enough.otherwise(F.lit(LONGEST))
     # Named once, so that each is worked out once.
     base = F.array(F.struct(core.alias("core"), name.alias("name"), alphabet.alias("alphabet"), F.char_length(core).cast("double").alias("n"),
-                            F.char_length(alphabet).cast("double").alias("a")))
+                            F.char_length(alphabet).cast("double").alias("a"), enough.alias("least")))
 
     def symbols(x: Column) -> Column:
         places = F.transform(F.filter(F.split(x["core"], ""), lambda c: c != ""), lambda c: F.position(c, x["alphabet"]))
@@ -125,16 +175,18 @@ def tested(candidate: Column) -> Column:
         text_like = normal_below((x["chi"] - df - far) / F.sqrt(2 * df + 4 * far))
         step = F.least(F.lit(LAST_STEP), F.floor(-F.log10(text_like) * STEPS).cast("int"))
         return F.struct(
-            candidate["start"].alias("start"), candidate["end"].alias("end"), x["name"].alias("encoding"),
+            candidate["start"].alias("start"), candidate["end"].alias("end"), candidate["part"].alias("part"), x["name"].alias("encoding"),
             F.coalesce(passes, F.lit(False)).alias("passes"), F.coalesce(step, F.lit(0)).alias("step"),
         )
 
-    known = F.filter(base, lambda x: (x["alphabet"] != "") & (x["n"] >= 2))
+    known = F.filter(base, lambda x: (x["alphabet"] != "") & (x["n"] >= x["least"]))
     return F.get(F.transform(F.transform(F.transform(known, symbols), sums), judged), 0)
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, rate: float) -> DataFrame:
     """Per row of `docs`: doc_id, the base spans of each kind, and the tested candidates."""
+    least = shortest_of(rate)
+    candidate = candidate_pattern(min(least.values()))
     text = F.translate(F.coalesce("text", F.lit("")), _MARK, _STAND_IN)
     held = docs.select("doc_id", text.alias("t"))
     found = held.select(
@@ -143,9 +195,9 @@ def scan(docs: DataFrame) -> DataFrame:
         matches(F.col("t"), ACCESS, lambda m: F.char_length(m) >= LEAST["access"]).alias("access"),
         # Shorter runs are whole matches as well, so that asking for the length finds the same.
         matches(F.col("t"), HEX[:-1] + "{%d,}" % LEAST["hex"], lambda m: F.lit(True)).alias("hex"),
-        matches(F.col("t"), CANDIDATE, lambda m: F.lit(True)).alias("candidates"),
+        with_segments(matches(F.col("t"), candidate, lambda m: F.lit(True))).alias("candidates"),
     )
-    judged = F.filter(F.transform("candidates", tested), lambda c: c.isNotNull())
+    judged = F.filter(F.transform("candidates", lambda c: tested(c, least)), lambda c: c.isNotNull())
     return found.select("doc_id", "assign", "access", "hex", judged.alias("candidates"))
 
 
@@ -174,7 +226,7 @@ def find_secrets(docs: DataFrame, false_discovery_rate: float = 0.01) -> DataFra
     has kind `random`. Null and empty texts have no spans. Repeated rows come out as often as
     they come in; null ids are carried along; other columns are ignored.
     """
-    scanned = store(scan(docs), "secrets-scan")
+    scanned = store(scan(docs, false_discovery_rate), "secrets-scan")
     steps = discovery_steps(scanned, false_discovery_rate)
     enough = F.lit(False)
     kept = "candidates"
@@ -184,6 +236,10 @@ def find_secrets(docs: DataFrame, false_discovery_rate: float = 0.01) -> DataFra
     else:
         kept = F.filter("candidates", lambda c: enough)
 
+    # A segment of a path is not told once more where the whole path counts.
+    inside = lambda c, w: ~w["part"] & (w["start"] <= c["start"]) & (w["end"] >= c["end"])
+    alone = F.filter("kept", lambda c: ~(c["part"] & F.exists(F.col("kept"), lambda w: inside(c, w))))
+
     def marked(spans, rank: int) -> Column:
         return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("kind"), s["end"].alias("end")))
 
@@ -194,9 +250,9 @@ def find_secrets(docs: DataFrame, false_discovery_rate: float = 0.01) -> DataFra
         )
 
     base = F.concat(*[marked(k, i) for i, k in enumerate(KINDS[:3])])
-    return scanned.select(
+    return scanned.withColumn("kept", kept).select(
         "doc_id",
         *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]],
         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
-        joined(F.concat(base, marked(kept, 3))).alias("spans"),
+        joined(F.concat(base, marked(alone, 3))).alias("spans"),
     )

@@ -375,6 +375,21 @@ def test_random_tokens_are_found_and_text_is_not(spark):
     assert not any("random" in got[100 + i] for i in range(50))
 
 
+def test_random_tokens_after_names_and_in_paths(spark):
+    rnd = random.Random(7)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    some = lambda n: "".join(rnd.choice(letters) for _ in range(n))
+    heads = ["client_key=", "AUTH=", "at https://h.example/dir-x/file_y/", "see "]
+    texts = [(i, heads[i % 4] + some(16 if i % 4 == 3 else 40) + " there") for i in range(200)]
+    texts += [(1000 + i, "Internationalization=and_localization some/path-to/the_files/of_words-only 2024-01-31/report_final") for i in range(50)]
+    got = {r["doc_id"]: r["spans"] for r in secrets.find_secrets(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    for k, head in enumerate(heads):
+        want = f"random:{len(head)}:{len(head) + (16 if k == 3 else 40)}"
+        # Of 16 characters the control lets fewer pass.
+        assert sum(got[i] == want for i in range(k, 200, 4)) >= (25 if k == 3 else 45)
+    assert not any(got[1000 + i] for i in range(50))
+
+
 # --- 9 tiling ------------------------------------------------------------------------------
 
 
