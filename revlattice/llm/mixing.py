@@ -3,7 +3,8 @@
 A source's documents are repeated so that the source's share of the mix is its weight. The
 number of copies of a document is drawn from a Poisson distribution with the source's rate by
 inverting the distribution at a uniform number hashed from seed and document, so it does not
-depend on partitions or retries. Copies are then shuffled globally.
+depend on partitions or retries. Documents are told apart by their id; those that have none, or
+share theirs, by their content, and equal rows by numbers. Copies are then shuffled globally.
 """
 
 from __future__ import annotations
@@ -11,11 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revlattice.session import store
+
 #: Larger rates are drawn as a sum of draws of at most this rate, which add up to a Poisson
 #: number of the whole rate.
 PART_RATE = 16.0
 #: Terms of the distribution at PART_RATE after which its sum is 1 in double precision.
 TERMS = 80
+#: Equal rows that are numbered together, and numbered rows to a task.
+BLOCK, TASK_ROWS = 1 << 10, 1 << 16
 
 
 def uniform(*parts: Column) -> Column:
@@ -59,31 +64,58 @@ def rates(docs: DataFrame, weights: DataFrame | None = None, budget: float | Non
     )
 
 
+def named(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, columns called _0, _1, ..., with `of` (the source) and `name`, what draws
+    hang on: the doc_id, or the content and a number among equal rows where rows of a source share
+    it (null included)."""
+    held = [f"_{i}" for i in range(len(docs.columns))]
+    rows = docs.select(*[docs[f"`{c}`"].alias(h) for c, h in zip(docs.columns, held, strict=True)],
+                       docs["source"].alias("of"), docs["doc_id"].alias("id"))
+    shared = rows.groupBy(F.col("id").alias("shared_id"), F.col("of").alias("shared_by")).agg(F.count("*").alias("n"))
+    shared = store(shared.where("n > 1"), "mix-shared")
+    n_shared = shared.agg(F.sum("n")).first()[0]
+    by_id = [*held, "of", F.col("id").cast("string").alias("name")]
+    if not n_shared:
+        return rows.select(*by_id)
+    same = F.col("id").eqNullSafe(F.col("shared_id")) & F.col("of").eqNullSafe(F.col("shared_by"))
+    lone = rows.join(shared, same, "left_anti").select(*by_id)
+    content = F.md5(F.to_json(F.struct(*held), {"ignoreNullFields": "false"}).cast("binary"))
+    # Equal rows are counted before they are shuffled, and made again in blocks.
+    counted = rows.join(shared, same, "left_semi").groupBy(content.alias("content")).agg(
+        *[F.first(c).alias(c) for c in [*held, "of"]], F.count("*").alias("n")
+    )
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / BLOCK)))
+    blocks = counted.select("*", block.alias("block")).repartition(-(-n_shared // TASK_ROWS), "content", "block")
+    number = F.explode(F.sequence(F.col("block") * BLOCK + 1, F.least("n", (F.col("block") + 1) * BLOCK)))
+    twins = blocks.select("*", number.alias("number"))
+    return lone.unionByName(twins.select(*held, "of", F.concat_ws(":", "content", "number").alias("name")))
+
+
 def mix_sources(
     docs: DataFrame, weights: DataFrame | None = None, budget: float | None = None, seed: int = 7
 ) -> DataFrame:
     """Copies of the rows of `docs` (doc_id, source, ...) in a global random order.
 
     All columns of `docs` come back, and a struct `mix`: `copy` (from 1) and `place`, the
-    uniform number by which rows are dealt to partitions and sorted in them. Equal rows draw
-    the same number, as draws hang on doc_id alone. See `rates` for weights; an empty table
+    uniform number by which rows are dealt to partitions and sorted in them. Draws hang on
+    `named`, so rows of a source without ids, and equal rows, draw numbers of their own; rows of
+    different sources with one doc_id draw the same. See `rates` for weights; an empty table
     gives an empty mix. A column of `docs` called `mix` gives way to the new one.
     """
-    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
-    packed = docs.select(row)
     # One short row per source. Spark broadcasts it if it is measured small, else both sides
     # are shuffled and AQE splits a hot source.
-    drawn = packed.join(rates(docs, weights, budget), F.col("row.source").eqNullSafe(F.col("rate_of")))
+    drawn = named(docs).join(rates(docs, weights, budget), F.col("of").eqNullSafe(F.col("rate_of")))
 
     def one(part: Column) -> Column:
-        u = uniform(F.lit(seed), F.col("row.doc_id"), part)
+        u = uniform(F.lit(seed), F.col("name"), part)
         return F.aggregate("cdf", F.lit(0), lambda n, c: n + F.when(c <= u, 1).otherwise(0))
 
     copies = F.aggregate(F.sequence(F.lit(1), F.col("n_parts")), F.lit(0), lambda n, part: n + one(part))
-    repeated = drawn.select("row", copies.alias("copies")).where("copies > 0")
-    each = repeated.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
-    placed = each.withColumn("place", uniform(F.lit(seed), F.col("row.doc_id"), F.lit("copy"), F.col("copy")))
-    names = [F.col("row")[c].alias(c) for c in docs.columns if c != "mix"]
+    held = {f"_{i}": c for i, c in enumerate(docs.columns)}
+    repeated = drawn.select(*held, "name", copies.alias("copies")).where("copies > 0")
+    each = repeated.select(*held, "name", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    placed = each.withColumn("place", uniform(F.lit(seed), F.col("name"), F.lit("copy"), F.col("copy")))
+    names = [F.col(h).alias(c) for h, c in held.items() if c != "mix"]
     return (
         placed.repartition("place")
         .sortWithinPartitions("place")

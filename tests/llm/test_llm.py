@@ -146,6 +146,28 @@ def test_mixing_meets_its_targets(spark):
     assert abs(n["big"] - 10_000) < 500 and abs(n["small"] - 10_000) < 500
 
 
+def test_mixing_rows_without_ids_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 100)
+    monkeypatch.setattr(mixing, "TASK_ROWS", 500)
+    n = spark.range(4000)
+    kinds = {"other": "cast(null as long)", "equal": "cast(null as long)", "shared": "5L", "own": "id"}
+    text = {"equal": F.lit("again")}
+    docs = None
+    for source, doc_id in kinds.items():
+        one = n.select(F.expr(doc_id).alias("doc_id"), text.get(source, F.concat(F.lit("text "), "id")).alias("text"), F.lit(source).alias("source"))
+        docs = docs.unionByName(one) if docs else one
+    weights = spark.createDataFrame([(s, 1.0) for s in kinds], "source string, weight double")
+    for budget in (8000, 32000):
+        got = mixing.mix_sources(docs, weights, budget=float(budget))
+        by = got.groupBy("source").agg(F.count("*").alias("n"), F.count_distinct("mix.place").alias("places"), F.count_distinct("text").alias("texts")).collect()
+        assert len(by) == 4
+        for r in by:
+            assert abs(r["n"] - budget / 4) < 0.1 * budget / 4 and r["places"] == r["n"]
+            assert r["texts"] == 1 if r["source"] == "equal" else r["texts"] > 0.9 * 4000 * (1 - math.exp(-budget / 16000))
+        again = mixing.mix_sources(docs.repartition(7, F.rand(3)), weights, budget=float(budget))
+        assert got.exceptAll(again).count() == again.exceptAll(got).count() == 0
+
+
 # --- 3 embeddings --------------------------------------------------------------------------
 
 
