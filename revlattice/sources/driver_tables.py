@@ -3,7 +3,7 @@
 Each table becomes raw CRM and billing objects (as JSON text) and raw usage events, so the
 whole way from raw JSON to the marts runs on them. The conditions a real source shows
 (missing links, duplicate contacts, lost domains, late events) are planted by rules on the
-keys; every input row is used.
+keys; every input row is used but those of `customer` that billing lacks (see `raw_customers`).
 """
 
 from __future__ import annotations
