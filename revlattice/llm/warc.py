@@ -151,7 +151,7 @@ def write_warc(pages: DataFrame, path: str, min_revisit_bytes: int = 0, shard_by
     heads = with_heads(copies)
     body = F.when(F.col("record_type") == "revisit", F.lit(0)).otherwise(F.col("packed_bytes"))
     sized = heads.withColumn("length", packed_length("head") + body + len(MEMBER_END))
-    # A shard's bytes are bounded by `shard_bytes`, and so are the rows of its window.
+    # A shard, and the rows of its window, are about `shard_bytes`, but for copies: rows of one key share a shard.
     before = Window.partitionBy("shard").orderBy(*order, "copy").rowsBetween(Window.unboundedPreceding, -1)
     sized.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))).select(*INDEX_COLUMNS).write.parquet(f"{path}/index")
 
