@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlattice.llm import embedding_dedup, html_text, licenses, mixing, quality, secrets, simhash, tiling, token_orc, warc
+from revlattice.llm import embedding_dedup, fill_middle, html_text, licenses, mixing, order_minhash, prefix_trie, quality, secrets, simhash, tiling, token_orc, warc
 from revlattice.session import fresh_folder
 
 
@@ -63,6 +63,19 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.rebuilt(prefix_trie.turns_of(table(spark, sf_dir, "conversations")))
+    return prefix_trie.trie(turns)
+
+
 QUERIES = {
     "op1_token_orc": op1_token_orc,
     "op2_mix_sources": op2_mix_sources,
@@ -74,6 +87,9 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_decontaminate": op9_decontaminate,
     "op10_licenses": op10_licenses,
+    "op11_order_minhash": op11_order_minhash,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE = {
@@ -81,4 +97,6 @@ ORACLE = {
     "op3_embedding_dedup": embedding_dedup.NEAR_SQL,
     "op5_warc": warc.WARC_SQL,
     "op10_licenses": licenses.LICENSE_SQL,
+    "op12_fill_middle": fill_middle.FILL_SQL,
+    "op13_prefix_trie": prefix_trie.TRIE_SQL,
 }
