@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from revlattice.functions.dates import AsOf, as_day
+from revlattice.functions.ordered import with_next
 
 KEY = "subscription_id"
 VALID_FROM, VALID_TO = "dbt_valid_from", "dbt_valid_to"
@@ -204,17 +205,15 @@ def scd2_from_daily_states(
 ) -> DataFrame:
     """All versions in one pass from dated states, one per key and run.
 
-    With `detect_deletes` the distinct dates are the run calendar, and a key missing from
-    the run after its state is closed at that run; without, a state lasts until the next.
+    With `detect_deletes` the distinct times are the run calendar, and a key missing from
+    the run after its state is closed at that run; without, a state lasts until the next. The times may
+    be days or moments, and as many as there are states: the calendar is ordered in ranges.
     A key has at most one row per run, which bounds the window groups.
     """
     payload = [c for c in states.columns if c not in (KEY, state_at)]
     dated = states.where(F.col(KEY).isNotNull()).withColumn("at", _moment(F.col(state_at)))
     if detect_deletes:
-        # One row per run: small enough for a single ordered window.
-        calendar = (
-            dated.select("at").distinct().withColumn("next_run", F.lead("at").over(W.orderBy("at")))
-        )
+        calendar = with_next(dated.select("at").distinct(), "at").select("at", F.col("next.at").alias("next_run"))
         dated = dated.join(calendar, "at")
     per_key = W.partitionBy(KEY).orderBy("at")
 

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from revlattice.functions.values import domain_from_name, local_part_key, part_after_at, sum_usd
 
 
+def _profile_metrics(df: DataFrame) -> list[Column]:
+    return [F.count(F.lit(1)).alias("total_rows"), *[F.count(F.col(c)).alias(f"n_{c}") for c in df.columns]]
+
+
 def null_profile(df: DataFrame, table_name: str) -> DataFrame:
     """Rows and non-NULL values of every column: a wrong JSON path shows as 0."""
-    counted = df.agg(
-        F.count("*").alias("total_rows"), *[F.count(F.col(c)).alias(f"n_{c}") for c in df.columns]
-    )
+    counted = df.agg(*_profile_metrics(df))
     per_column = F.array(
         *[
             F.struct(F.lit(c).alias("column_name"), F.col(f"n_{c}").alias("non_null_rows"))
@@ -24,6 +28,42 @@ def null_profile(df: DataFrame, table_name: str) -> DataFrame:
     ).select("table_name", "column_name", "total_rows", "non_null_rows")
 
 
+class Watch:
+    """Checks that ride along with the writing of a model, in place of a scan of their own.
+
+    `over` marks the rows; write its result, with no shuffle after the mark, so that each row is
+    counted once even if a task is repeated. Then `profile` and `event_summary` have the rows of
+    `null_profile` and `unattributed_and_late_events`.
+    """
+
+    def __init__(self) -> None:
+        self.profiled: dict[str, tuple[Observation, list[str]]] = {}
+        self.events: Observation | None = None
+
+    def over(self, df: DataFrame, table_name: str) -> DataFrame:
+        seen = Observation(f"profile of {table_name} {uuid.uuid4().hex}")
+        self.profiled[table_name] = seen, df.columns
+        return df.observe(seen, *_profile_metrics(df))
+
+    def over_events(self, events: DataFrame) -> DataFrame:
+        self.events = Observation(f"events {uuid.uuid4().hex}")
+        return events.observe(self.events, *_event_metrics())
+
+    def profile(self, spark: SparkSession) -> DataFrame:
+        rows = [
+            (name, c, seen.get["total_rows"], seen.get[f"n_{c}"])
+            for name, (seen, columns) in self.profiled.items()
+            for c in columns
+        ]
+        return spark.createDataFrame(rows, "table_name string, column_name string, total_rows bigint, non_null_rows bigint")
+
+    def event_summary(self, spark: SparkSession) -> DataFrame:
+        kinds = "events bigint, without_domain bigint, late bigint, delay bigint"
+        got = self.events.get if self.events else {}
+        row = tuple(got.get(k.split()[0]) for k in kinds.split(", "))
+        return _event_shares(spark.createDataFrame([row] if self.events else [], kinds))
+
+
 def key_uniqueness(df: DataFrame, key: str, table_name: str) -> DataFrame:
     """Keys that break "one row per key"; an empty result is a pass."""
     return (
@@ -53,6 +93,12 @@ def name_collisions(companies: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
+def crowded_names(companies: DataFrame, customers: DataFrame, max_pairs: int) -> DataFrame:
+    """`name_collisions` of more than `max_pairs` pairs: names for which a match by name would give that
+    many rows. Ask before matching; an empty result is a pass."""
+    return name_collisions(companies, customers).where(F.col("pairs") > max_pairs)
+
+
 def revenue_reconciles(movements: DataFrame, overview: DataFrame, strict: bool = False) -> DataFrame:
     """A row if the latest ending MRR and the accounts' total differ; empty is a pass.
 
@@ -81,20 +127,30 @@ def _is_late() -> Column:
     return _delay() >= 86_400_000_000
 
 
-def unattributed_and_late_events(events: DataFrame) -> DataFrame:
-    total = F.count("*")
-    lost = F.count_if(F.col("account_domain").isNull())
-    late = F.count_if(_is_late())
-    return events.agg(
-        total.alias("events"),
-        lost.alias("without_domain"),
-        late.alias("late"),
-        F.round(F.try_divide(lost, total) * 100, 1).alias("without_domain_pct"),
-        F.round(F.try_divide(late, total) * 100, 1).alias("late_pct"),
-        F.max(F.floor(_delay() / 1_000_000)).alias("max_delay_seconds"),
+def _event_metrics() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("events"),
+        F.count_if(F.col("account_domain").isNull()).alias("without_domain"),
+        F.count_if(_is_late()).alias("late"),
+        F.max(F.floor(_delay() / 1_000_000)).alias("delay"),
+    ]
+
+
+def _event_shares(counted: DataFrame) -> DataFrame:
+    return counted.select(
+        "events",
+        "without_domain",
+        "late",
+        F.round(F.try_divide("without_domain", "events") * 100, 1).alias("without_domain_pct"),
+        F.round(F.try_divide("late", "events") * 100, 1).alias("late_pct"),
+        F.col("delay").alias("max_delay_seconds"),
     )
 
 
+def unattributed_and_late_events(events: DataFrame) -> DataFrame:
+    return _event_shares(events.agg(*_event_metrics()))
+
+
 def dq_unattributed_report(events: DataFrame) -> DataFrame:
     """Extension: events without an account, by day and type, instead of losing sight of them."""
     return (

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from revlattice.functions.dates import AsOf, as_day, week_start
 from revlattice.functions.values import cents, sum_usd
-from revlattice.operators.history import KEY, VALID_FROM, VALID_TO
+from revlattice.operators.history import KEY, VALID_FROM, VALID_TO, latest_run_before
+from revlattice.session import store
 
 # Kind of movement -> columns of its money and its count.
 MONEY = {
@@ -155,7 +159,11 @@ def weekly_movement_totals(history: DataFrame, as_of: AsOf = None) -> DataFrame:
     The totals, one per calendar week, become one map that the calendar looks its weeks up
     in, so the history is gone through once for both.
     """
-    totals = movement_totals(movements(subscription_versions_with_prev(history)))
+    return dense_weeks(movement_totals(movements(subscription_versions_with_prev(history))), as_of)
+
+
+def dense_weeks(totals: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """`movement_totals` on the calendar: every week from the first start's on, zero-filled."""
     names = [*MONEY.values(), *COUNTS.values()]
     entry = F.struct("week_start", F.struct(*names))
     whole = totals.agg(
@@ -173,6 +181,64 @@ def weekly_movement_totals(history: DataFrame, as_of: AsOf = None) -> DataFrame:
     )
 
 
+# Kept form, beside the stored snapshots at <root>: <root>-movements/run=<label> has what a run adds to
+# the weeks, <root>-gone/run=<label> the last version of every subscription not there after the run.
+_LAST_SEEN = ["monthly_amount_usd", "is_active"]
+_GONE_SCHEMA = f"{KEY} string, monthly_amount_usd double, is_active boolean"
+_WROTE_SCHEMA = f"{_GONE_SCHEMA}, created_at timestamp, canceled_at timestamp, {VALID_FROM} timestamp, is_open boolean"
+_TOTALS_SCHEMA = ", ".join(
+    ["week_start date", *[f"{c} double" for c in MONEY.values()], *[f"{c} bigint" for c in [*COUNTS.values(), "starts"]]]
+)
+
+
+def keep_movements(spark: SparkSession, root: str, run_label: str, run_at: dt.datetime | str) -> None:
+    """Add up the movements of one stored snapshot run (`run_snapshot`), from the versions that it wrote.
+
+    A version that the run opened follows the one it closed, or, for a subscription that was away,
+    the last one known of it. Movements of earlier runs do not change, so their totals stay.
+    May be repeated with its run; runs must be kept in order.
+    """
+    run = F.lit(run_at).cast("timestamp")
+    wrote = spark.read.schema(_WROTE_SCHEMA).parquet(f"{root}/run={run_label}")
+    columns = [KEY, *_LAST_SEEN, "created_at", "canceled_at", VALID_FROM]
+    opened = wrote.where(F.col("is_open") & (F.col(VALID_FROM) == run)).select(*columns)
+    closed = wrote.where(~F.col("is_open")).select(KEY, *_LAST_SEEN)
+    before = latest_run_before(spark, root, run_label)
+    away = spark.createDataFrame([], _GONE_SCHEMA)
+    if before is not None:
+        away = spark.read.schema(_GONE_SCHEMA).parquet(f"{root}-gone/run={before}")
+    # One row per subscription: it was either open before the run, or away.
+    last = closed.unionByName(away).select(
+        F.col(KEY).alias("old_key"), *[F.col(c).alias(f"old_{c}") for c in _LAST_SEEN]
+    )
+    paired = store(opened.join(last, F.col(KEY) == F.col("old_key"), "full_outer"), "run-movements")
+    gone = paired.where(F.col(KEY).isNull()).select(
+        F.col("old_key").alias(KEY), *[F.col(f"old_{c}").alias(c) for c in _LAST_SEEN]
+    )
+    gone.write.mode("overwrite").parquet(f"{root}-gone/run={run_label}")
+    versions = paired.where(F.col(KEY).isNotNull()).select(
+        *columns,
+        F.col("old_monthly_amount_usd").alias("previous_amount"),
+        F.col("old_is_active").alias("previous_is_active"),
+        F.when(F.col("old_key").isNull(), 1).otherwise(2).alias("rn"),
+    )
+    movement_totals(movements(versions)).write.mode("overwrite").parquet(f"{root}-movements/run={run_label}")
+
+
+def kept_revenue_movements(spark: SparkSession, root: str, run_label: str, as_of: AsOf = None) -> DataFrame:
+    """`revenue_movements` of the history after a run, from the kept totals: a row per run and week."""
+    try:
+        kept = spark.read.schema(f"{_TOTALS_SCHEMA}, run string").parquet(f"{root}-movements")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        kept = spark.createDataFrame([], f"{_TOTALS_SCHEMA}, run string")
+    totals = kept.where(F.col("run") <= run_label).groupBy("week_start").agg(
+        *[sum_usd(F.col(c)).alias(c) for c in MONEY.values()], *[F.sum(c).alias(c) for c in [*COUNTS.values(), "starts"]]
+    )
+    return ending_mrr_running(dense_weeks(totals, as_of))
+
+
 def ending_mrr_running(weekly: DataFrame) -> DataFrame:
     """Net change and cumulative MRR. One task, but over one row per calendar week only."""
     net = F.col("new_mrr") + F.col("expansion_mrr") - F.col("contraction_mrr") - F.col("churned_mrr")

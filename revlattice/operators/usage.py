@@ -145,6 +145,33 @@ def active_users_exact_14d(events: DataFrame, identity: DataFrame, as_of: AsOf =
     )
 
 
+def active_users_by_window(
+    user_sets: DataFrame, identity: DataFrame, as_of: AsOf = None, days: tuple[int, ...] = (7, 14, 30)
+) -> DataFrame:
+    """Distinct users of windows of any length, from daily sets of users; no event is read.
+
+    `user_sets` (account_domain, usage_date, bucket, users) are bitmaps, see `read_user_sets`. They are
+    merged within their bucket, so a domain of very many users is spread over its buckets.
+    A window begins as many days ago and has no end. Accounts without users in a window have no row.
+    """
+    users = [F.bitmap_count(F.bitmap_or_agg(F.when(within(as_of, n), F.col("users")))) for n in days]
+    merged = (
+        user_sets.where(within(as_of, max(days)))
+        .groupBy("account_domain", "bucket")
+        .agg(*[u.alias(f"w{n}") for n, u in zip(days, users, strict=True)])
+        .groupBy("account_domain")
+        .agg(*[F.sum(f"w{n}").alias(f"w{n}") for n in days])
+    )
+    counts = F.explode(F.array(*[F.struct(F.lit(n).alias("window_days"), F.col(f"w{n}").alias("active_users")) for n in days]))
+    owners = identity.select("hubspot_company_id", "company_domain").distinct()
+    return (
+        merged.select("account_domain", counts.alias("c"))
+        .where("c.active_users > 0")
+        .join(owners, F.col("account_domain") == F.col("company_domain"))
+        .select("hubspot_company_id", "account_domain", "c.window_days", "c.active_users")
+    )
+
+
 def account_usage_state(
     answer_key: DataFrame, events: DataFrame, as_of_moment: Column | None = None
 ) -> DataFrame:

@@ -3,9 +3,11 @@
 Folders below `root`, all on storage every executor reaches:
 
     raw_<object>/                      landed JSON objects, replaced by each extract
-    usage_log/occurred_date=<d>/       raw events, appended
-    domain_usage/usage_date=<d>/       daily facts per domain, touched days replaced
+    usage_log/                         raw events, in committed parts
+    domain_usage/                      daily facts per domain, in committed parts that add up
     snapshots/run=<label>/             subscription history, one folder per run
+    snapshots-movements/run=<label>/   what a run adds to the weeks' revenue movements
+    snapshots-gone/run=<label>/        last versions of subscriptions that are away
     published/run=<label>/<model>/     models and payloads of that run
 """
 
@@ -22,6 +24,12 @@ from revlattice.sources import landing, seeds
 from revlattice.streaming import incremental
 
 
+#: Staged models that a run stores, and profiles meanwhile.
+STAGED = ("companies", "customers", "subscriptions")
+#: Pairs that one name may give in a match by name before a run stops.
+MAX_NAME_PAIRS = 10_000
+
+
 class ChecksFailed(Exception):
     """Raised before anything is activated; names the checks with findings."""
 
@@ -57,10 +65,14 @@ def run_day(
     plans_path: str | None = None,
     run_at: str | None = None,
     allow_repeated_accounts: bool = False,
+    max_name_pairs: int | None = MAX_NAME_PAIRS,
 ) -> DayResult:
     """Run the day `as_of` (`yyyy-mm-dd`, also the run's label).
 
     Repeating a day with the same inputs replaces that day's results and adds nothing.
+    A name that many companies share with many customers matches each of them with each, so names
+    with more than `max_name_pairs` pairs stop the run before accounts are matched; they are counted, not
+    paired. With None such a name is matched in full, whatever it costs.
     Accounts that occur more than once multiply rows in the overview, so they stop the run
     before it is built unless `allow_repeated_accounts` is set. Other findings are reported
     in the result, and a revenue mismatch stops the run before the payloads.
@@ -70,12 +82,15 @@ def run_day(
     folder = f"{root}/published/run={as_of}"
     result = DayResult(folder)
 
+    watch = quality.Watch()
     if new_events is not None:
         incremental.incremental_daily_usage(
-            new_events, f"{root}/usage_log", f"{root}/domain_usage"
+            new_events, f"{root}/usage_log", f"{root}/domain_usage", watch.over_events
         )
 
     def publish(name: str, df: DataFrame) -> DataFrame:
+        if name in STAGED:
+            df = watch.over(df, f"stg_{name}")
         df.write.mode("overwrite").parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
@@ -84,9 +99,7 @@ def run_day(
         as_of,
         run_at,
         written=(
-            "companies",
-            "customers",
-            "subscriptions",
+            *STAGED,
             "identity",
             "daily_usage",
             "account_subscriptions",
@@ -96,8 +109,25 @@ def run_day(
         write=publish,
     )
 
+    def found(name: str, findings: DataFrame) -> bool:
+        if publish(f"check_{name}", findings).isEmpty():
+            return False
+        result.failed_checks.append(name)
+        return True
+
+    if max_name_pairs is not None and found(
+        "crowded_names", quality.crowded_names(models.companies, models.customers, max_name_pairs)
+    ):
+        raise ChecksFailed(f"{result.failed_checks}: see {folder}")
+
+    # Counted while they were written. Findings here are for people to read; they stop nothing.
+    for name in STAGED:
+        getattr(models, name)
+    publish("check_null_profile", watch.profile(spark))
+    publish("check_new_events", watch.event_summary(spark))
+
     # The snapshot comes first, so today's changes reach today's revenue.
-    versions = history.run_snapshot(
+    history.run_snapshot(
         history.snapshot_input(models.account_subscriptions),
         f"{root}/snapshots",
         as_of,
@@ -105,19 +135,14 @@ def run_day(
         previous_run,
     )
 
-    def found(name: str, findings: DataFrame) -> bool:
-        if publish(f"check_{name}", findings).isEmpty():
-            return False
-        result.failed_checks.append(name)
-        return True
-
     repeated = quality.key_uniqueness(
         models.account_subscriptions, "hubspot_company_id", "account_subscriptions"
     )
     if found("key_uniqueness", repeated) and not allow_repeated_accounts:
         raise ChecksFailed(f"{result.failed_checks}: see {folder}")
 
-    publish("revenue_movements", revenue.revenue_movements(versions, as_of))
+    revenue.keep_movements(spark, f"{root}/snapshots", as_of, run_at)
+    publish("revenue_movements", revenue.kept_revenue_movements(spark, f"{root}/snapshots", as_of, as_of))
     overview = publish("overview", models.overview)
     movements = spark.read.parquet(f"{folder}/revenue_movements")
     if found("revenue_reconciles", quality.revenue_reconciles(movements, overview)):

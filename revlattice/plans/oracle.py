@@ -46,13 +46,15 @@ CTES: dict[str, str] = {
                CASE WHEN c_custkey % 6 = 0 THEN CAST(c_custkey AS VARCHAR) END AS deal_company
         FROM customer""",
     "billing": f"""
-        SELECT 'cus_' || c_custkey AS customer_id, c_name AS customer_name,
+        SELECT 'cus_' || c_custkey AS customer_id,
+               CASE WHEN c_custkey % 25 = 7 THEN 'Formerly ' ELSE '' END || c_name AS customer_name,
                'billing' || c_custkey || '@c' || c_custkey || '.com' AS email,
-               CASE WHEN c_custkey % 10 <> 0 THEN CAST(c_custkey AS VARCHAR) END AS hubspot_company_id,
+               CASE WHEN c_custkey % 10 <> 0 AND c_custkey % 25 <> 7 THEN CAST(c_custkey AS VARCHAR) END AS hubspot_company_id,
                {_BILLED} AS created_at
-        FROM customer WHERE c_custkey % 25 <> 7""",
+        FROM customer""",
     "subs": f"""
-        SELECT 'sub_' || c_custkey AS subscription_id, 'cus_' || c_custkey AS customer_id,
+        SELECT 'sub_' || c_custkey AS subscription_id,
+               'cus_' || c_custkey || CASE WHEN c_custkey % 25 = 7 THEN '_old' ELSE '' END AS customer_id,
                CASE WHEN c_custkey % 13 = 0 THEN 'canceled' ELSE 'active' END AS subscription_status,
                'usd' AS currency, price_id, CAST(monthly_price_usd AS DOUBLE) AS monthly_amount_usd,
                1 AS quantity, {_BILLED} AS current_period_start,
@@ -62,7 +64,8 @@ CTES: dict[str, str] = {
                c_custkey % 13 = 0 AS cancel_at_period_end
         FROM customer JOIN plans ON plan_rank = {_PLAN_NO}""",
     "invoices": """
-        SELECT 'in_' || o_orderkey AS invoice_id, 'cus_' || o_custkey AS customer_id,
+        SELECT 'in_' || o_orderkey AS invoice_id,
+               'cus_' || o_custkey || CASE WHEN o_custkey % 25 = 7 THEN '_old' ELSE '' END AS customer_id,
                'sub_' || o_custkey AS subscription_id,
                CASE o_orderstatus WHEN 'F' THEN 'paid' WHEN 'O' THEN 'open' ELSE 'void' END AS payment_status,
                CAST(round(o_totalprice * 100) AS BIGINT) / 100 AS amount_due_usd,
@@ -264,13 +267,13 @@ CTES: dict[str, str] = {
                lag(monthly_amount_usd) OVER v AS previous_amount, lag(is_active) OVER v AS previous_is_active,
                row_number() OVER v AS rn
         FROM history_{variant} WINDOW v AS (PARTITION BY subscription_id ORDER BY dbt_valid_from)"""
-        for variant in "ab"
+        for variant in "abs"
     },
     **{
         f"starts_{variant}": f"""
         SELECT subscription_id, {_MONDAY.format('created_at')} AS week_start, monthly_amount_usd AS amount
         FROM prev_{variant} WHERE rn = 1 AND is_active"""
-        for variant in "ab"
+        for variant in "abs"
     },
     **{
         f"changes_{variant}": f"""
@@ -280,20 +283,20 @@ CTES: dict[str, str] = {
                CASE WHEN previous_amount = 0 THEN monthly_amount_usd WHEN monthly_amount_usd = 0 THEN previous_amount
                     ELSE abs(monthly_amount_usd - previous_amount) END AS amount
         FROM prev_{variant} WHERE rn > 1 AND monthly_amount_usd <> previous_amount"""
-        for variant in "ab"
+        for variant in "abs"
     },
     **{
         f"cancels_{variant}": f"""
         SELECT subscription_id, {_MONDAY.format('coalesce(canceled_at, dbt_valid_from)')} AS week_start,
                monthly_amount_usd AS amount
         FROM prev_{variant} WHERE previous_is_active AND NOT is_active AND monthly_amount_usd > 0"""
-        for variant in "ab"
+        for variant in "abs"
     },
     **{
         f"spine_{variant}": f"""
         SELECT CAST(unnest(generate_series((SELECT min(week_start) FROM starts_{variant}),
                                            {_MONDAY.format(LAST)}, INTERVAL 7 DAY)) AS DATE) AS week_start"""
-        for variant in "ab"
+        for variant in "abs"
     },
     **{
         f"weekly_{variant}": f"""
@@ -311,7 +314,7 @@ CTES: dict[str, str] = {
             UNION ALL SELECT week_start, kind, amount FROM changes_{variant}
             UNION ALL SELECT week_start, 'churn', amount FROM cancels_{variant}
         ) m USING (week_start) GROUP BY 1"""
-        for variant in "ab"
+        for variant in "abs"
     },
     **{
         f"revenue_{variant}": f"""
@@ -319,7 +322,7 @@ CTES: dict[str, str] = {
                sum(new_mrr + expansion_mrr - contraction_mrr - churned_mrr)
                    OVER (ORDER BY week_start ROWS UNBOUNDED PRECEDING) AS ending_mrr
         FROM weekly_{variant}"""
-        for variant in "ab"
+        for variant in "abs"
     },
     **{
         f"active_{variant}": f"""
@@ -377,9 +380,10 @@ CTES["four_runs"] = """
                      AS seen_on FROM states_a, range(1, 5) r(i) GROUP BY i)"""
 CTES["snapshots"] = """
         SELECT s.* EXCLUDE (state_at), r.seen_on AS state_at
-        FROM four_runs r JOIN states_a s ON s.state_at <= r.seen_on AND substr(subscription_id, 5)::BIGINT % 11 <> r.run_no
+        FROM four_runs r JOIN states_a s ON s.state_at <= r.seen_on AND (r.run_no = 4 OR substr(subscription_id, 5)::BIGINT % 11 <> r.run_no)
         QUALIFY row_number() OVER (PARTITION BY r.seen_on, subscription_id ORDER BY s.state_at DESC) = 1"""
 CTES["stored_history"] = _islands("snapshots", "four_runs", _FIRST)
+CTES["history_s"] = "SELECT * FROM stored_history"
 CTES["answer_key"] = f"""
         SELECT c_name AS company_name, 'c' || c_custkey || '.com' AS domain,
                CASE WHEN c_custkey % 20 < 10 THEN 'ghost' WHEN c_custkey % 20 < 14 THEN 'power_solo'
@@ -523,6 +527,7 @@ _BODIES: dict[str, str] = {
     "weekly_movement_totals": _all("weekly_a"),
     "ending_mrr_running": "SELECT week_start, net_mrr_change, ending_mrr FROM revenue_b",
     "revenue_movements": _all("revenue_a"),
+    "revenue_movements_by_run": _all("revenue_s"),
     "revenue_chart": """
         SELECT week_start, new_mrr, expansion_mrr, 0.0 - contraction_mrr AS contraction_bar,
                0.0 - churned_mrr AS churned_bar, net_mrr_change, ending_mrr
@@ -689,6 +694,10 @@ _BODIES: dict[str, str] = {
         SELECT a.hubspot_company_id, u.account_domain, count(DISTINCT u.user_email) AS active_users_14d_exact
         FROM account a JOIN usage_log u ON u.account_domain = a.company_domain
         WHERE CAST(u.occurred_at AS DATE) >= {DAY} - 14 GROUP BY 1, 2""",
+    "active_users_by_window": f"""
+        SELECT a.hubspot_company_id, u.account_domain, CAST(n AS INTEGER) AS window_days, count(DISTINCT u.user_email) AS active_users
+        FROM account a JOIN usage_log u ON u.account_domain = a.company_domain, (VALUES (7), (14), (30)) w(n)
+        WHERE CAST(u.occurred_at AS DATE) >= {DAY} - CAST(n AS INTEGER) GROUP BY 1, 2, 3""",
     "equal_health_windows": f"""
         SELECT s.hubspot_company_id, s.company_name, s.plan_name, s.monthly_amount_usd, s.subscription_status, s.is_active,
                r AS credits_recent, p AS credits_previous,

@@ -28,7 +28,7 @@ from revlattice.operators import (
     usage,
 )
 from revlattice.plans.models import Models
-from revlattice.session import apply_rules, fresh_folder
+from revlattice.session import apply_rules, fresh_folder, store
 from revlattice.sources import driver_tables as src
 from revlattice.sources import landing, layers, seeds, usage_log
 from revlattice.streaming import incremental
@@ -163,20 +163,22 @@ def seed_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def materialise_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging as a view, a mart as a table; read back by their published names. The mart's schema
-    is this run's own, so that no table of the session's catalog is replaced."""
+    is this run's own, so that no table of the session's catalog is replaced, and leaves the catalog with the run."""
     m = models(spark, sf_dir)
     layers.materialise_layer(m.companies, " Staging ", "stg_companies", "")
     marts = fresh_folder(spark, "tables")
     health_mart = models(spark, sf_dir).health
     schema = f"marts_{marts.rpartition('-')[2]}"
     layers.materialise_layer(health_mart, "marts", "mart_account_health", marts, schema=schema)
-    return spark.sql(
+    found = spark.sql(
         f"""
         SELECT c.company_id, c.company_name, h.health_status
         FROM staging_stg_companies c
         JOIN {schema}.mart_account_health h ON h.hubspot_company_id = c.company_id
         """
     )
+    layers.release_schema(spark, schema)
+    return found
 
 
 def _published(spark: SparkSession, df: DataFrame, name: str) -> str:
@@ -268,25 +270,32 @@ SNAPSHOT_RUNS = 4
 @query
 def scd2_snapshot_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored runs, spread evenly over the time of the states, the last one at their end. A run
-    sees the latest state of every subscription up to it; one in eleven is missing from each run
-    and back in the next, so subscriptions change, vanish and return."""
+    sees the latest state of every subscription up to it; one in eleven is missing from each run but
+    the last and back in the next, so subscriptions change, vanish and return."""
+    *_, (_, _, versions) = _stored_runs(spark, sf_dir, fresh_folder(spark, "snapshots"))
+    return versions
+
+
+def _stored_runs(spark: SparkSession, sf_dir: str, root: str):
+    """Take the runs of `scd2_snapshot_apply`, and give label, time and history after each."""
     states = src.history_states(spark, sf_dir, reactivations=True)
-    root = fresh_folder(spark, "snapshots")
     first, last = states.agg(F.min("state_at"), F.max("state_at")).first()
     number = F.substring("subscription_id", 5, 20).cast("long")
-    result = history.empty_history(states.drop("state_at"))
+    if not first:
+        yield None, None, history.empty_history(states.drop("state_at"))
     for i in range(1, SNAPSHOT_RUNS + 1 if first else 0):
         label = str((first + (last - first).days * i // SNAPSHOT_RUNS * dt.timedelta(days=1)).date())
-        at = F.lit(label).cast("timestamp")
-        seen = states.where((F.col("state_at") <= at) & (number % 11 != i))
+        seen = states.where(F.col("state_at") <= F.lit(label).cast("timestamp"))
+        if i < SNAPSHOT_RUNS:
+            seen = seen.where(number % 11 != i)
         columns = [c for c in states.columns if c not in ("subscription_id", "state_at")]
         current = (
             seen.groupBy("subscription_id")
             .agg(F.max_by(F.struct(*columns), "state_at").alias("s"))
             .select("subscription_id", "s.*")
         )
-        result = history.run_snapshot(current, root, label, f"{label} 00:00:00")
-    return result
+        run_at = f"{label} 00:00:00"
+        yield label, run_at, history.run_snapshot(current, root, label, run_at)
 
 
 @query
@@ -408,6 +417,17 @@ def revenue_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revenue.revenue_movements(_versions(spark, sf_dir, True), LAST_DAY)
 
 
+@query
+def revenue_movements_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The movements of stored runs, each run's added up when it was taken: none reads the history."""
+    root = fresh_folder(spark, "snapshots")
+    label = None
+    for label, run_at, _ in _stored_runs(spark, sf_dir, root):
+        if label:
+            revenue.keep_movements(spark, root, label, run_at)
+    return revenue.kept_revenue_movements(spark, root, label or "", LAST_DAY)
+
+
 @query
 def revenue_chart(spark: SparkSession, sf_dir: str) -> DataFrame:
     weekly = revenue.revenue_movements(_versions(spark, sf_dir, False), LAST_DAY)
@@ -419,7 +439,8 @@ def revenue_reconciles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The check on a history with reactivations (fails) and on one without (passes)."""
 
     def check(reactivations: bool) -> DataFrame:
-        versions = _versions(spark, sf_dir, reactivations)
+        # Used three times; built and written once.
+        versions = store(_versions(spark, sf_dir, reactivations), "versions")
         accounts = versions.where("dbt_valid_to IS NULL").select(
             F.when(F.col("is_active"), F.col("monthly_amount_usd")).otherwise(0.0).alias("current_mrr_usd")
         )
@@ -701,18 +722,17 @@ def incremental_daily_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def streaming_daily_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event table, a file or a folder, read as a stream: its final days and the open ones."""
+    """The event table, a file or a folder, read as a stream in batches of any order: its final
+    days, and the open ones from the stream's state. Every file is read once."""
     schema = src.table(spark, sf_dir, "events").schema
     # A pattern, as a stream takes a plain path for a folder and the table may be one file.
     rows = spark.readStream.schema(schema).parquet(f"{sf_dir}/[e]vents.parquet")
     arrivals = staging.stg_usage_events(src.usage_events_from(rows))
     root = fresh_folder(spark, "stream")
-    running = incremental.write_daily_stream(
-        incremental.streaming_daily_usage(arrivals), f"{root}/days", f"{root}/state", available_now=True
-    )
+    days = incremental.streaming_daily_usage(arrivals, incremental.ANY_ORDER)
+    running = incremental.write_daily_stream(days, f"{root}/days", f"{root}/state", available_now=True)
     running.awaitTermination()
-    events = staging.stg_usage_events(src.raw_usage_events(spark, sf_dir))
-    return incremental.with_open_days(spark.read.parquet(f"{root}/days"), events)
+    return incremental.daily_so_far(spark, f"{root}/days", f"{root}/state")
 
 
 # --- extensions
@@ -739,6 +759,19 @@ def active_users_exact_14d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage.active_users_exact_14d(m.usage_events, m.identity, TODAY)
 
 
+@query
+def active_users_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users of the last 7, 14 and 30 days, merged from the days' kept sets of users."""
+    root = fresh_folder(spark, "kept-usage")
+    log, daily = f"{root}/events", f"{root}/daily"
+    events = src.raw_usage_events(spark, sf_dir)
+    half = F.col("ingested_at") < F.lit("2024-01-20 00:00:00").cast("timestamp")
+    for batch in (events.where(half), events.where(~half)):
+        incremental.incremental_daily_usage(batch, log, daily)
+    sets = incremental.read_user_sets(spark, daily)
+    return usage.active_users_by_window(sets, models(spark, sf_dir).identity, TODAY, days=(7, 14, 30))
+
+
 @query
 def equal_health_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = models(spark, sf_dir)

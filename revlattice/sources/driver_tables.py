@@ -3,7 +3,7 @@
 Each table becomes raw CRM and billing objects (as JSON text) and raw usage events, so the
 whole way from raw JSON to the marts runs on them. The conditions a real source shows
 (missing links, duplicate contacts, lost domains, late events) are planted by rules on the
-keys; every input row is used but those of `customer` that billing lacks (see `raw_customers`).
+keys; every input row is used.
 """
 
 from __future__ import annotations
@@ -95,13 +95,18 @@ def raw_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Customers that signed up anew under another name. Their old customer objects were deleted, but
+# subscriptions and invoices still refer to those.
+_NEW = "k % 25 = 7"
+_PAYER = f"concat('cus_', k, if({_NEW}, '_old', ''))"
+
+
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Billing customers that were deleted while their subscriptions stayed: k % 25 = 7.
     return _raw(
-        _customers_with_key(spark, sf_dir).where("k % 25 <> 7"),
+        _customers_with_key(spark, sf_dir),
         "concat('cus_', k)",
-        "named_struct('name', c_name, 'email', concat('Billing', k, '@c', k, '.com'), 'metadata', "
-        f"named_struct('hubspot_company_id', if(k % 10 <> 0, cast(k as string), null)), 'created', {_BILLING_EPOCH})",
+        f"named_struct('name', if({_NEW}, concat('Formerly ', c_name), c_name), 'email', concat('Billing', k, '@c', k, '.com'), 'metadata', "
+        f"named_struct('hubspot_company_id', if(k % 10 <> 0 and not {_NEW}, cast(k as string), null)), 'created', {_BILLING_EPOCH})",
     )
 
 
@@ -113,7 +118,7 @@ def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(
         _customers_with_key(spark, sf_dir),
         "concat('sub_', k)",
-        "named_struct('customer', concat('cus_', k), 'status', if(k % 13 = 0, 'canceled', 'active'), "
+        f"named_struct('customer', {_PAYER}, 'status', if(k % 13 = 0, 'canceled', 'active'), "
         f"'currency', 'usd', 'created', {start}, 'canceled_at', {canceled}, 'ended_at', {canceled}, "
         "'cancel_at_period_end', k % 13 = 0, 'items', named_struct('data', array(named_struct("
         f"'price', named_struct('id', {price}, 'unit_amount', {cents}), 'quantity', 1, "
@@ -124,9 +129,9 @@ def raw_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     cents = "cast(round(o_totalprice * 100) as bigint)"
     return _raw(
-        table(spark, sf_dir, "orders"),
+        table(spark, sf_dir, "orders").withColumn("k", F.col("o_custkey")),
         "concat('in_', o_orderkey)",
-        "named_struct('customer', concat('cus_', o_custkey), 'parent', named_struct('subscription_details', "
+        f"named_struct('customer', {_PAYER}, 'parent', named_struct('subscription_details', "
         "named_struct('subscription', concat('sub_', o_custkey))), "
         "'status', case o_orderstatus when 'F' then 'paid' when 'O' then 'open' else 'void' end, "
         f"'amount_due', {cents}, 'amount_paid', if(o_orderstatus = 'F' and o_orderkey % 5 <> 0, {cents}, 0), "

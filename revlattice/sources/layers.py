@@ -19,8 +19,8 @@ def materialise_layer(
 ) -> DataFrame:
     """Publish a model under its layer and return it as readers will see it.
 
-    Views are session views `<schema>_<name>`; tables are `<schema>.<name>`, stored under `root`,
-    and replace a table of that name. The schema is the layer's own unless `schema` names another.
+    Views are session views `<schema>_<name>`; tables are `<schema>.<name>`, stored in
+    `<root>/<schema>-tables`, and replace a table of that name. The schema is the layer's own unless `schema` names another.
     """
     spark = df.sparkSession
     kind = LAYER_KIND[layer_name(layer, default)]
@@ -28,17 +28,23 @@ def materialise_layer(
     if kind == "view":
         df.createOrReplaceTempView(f"{schema}_{name}")
         return spark.table(f"{schema}_{name}")
+    # Tables lie beside the schema's folder, which goes with the schema.
     location = f"{root.rstrip('/')}/{schema}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{location}'")
     (
         df.write.mode("overwrite")
         .format("parquet")
-        .option("path", f"{location}/{name}")
+        .option("path", f"{location}-tables/{name}")
         .saveAsTable(f"{schema}.{name}")
     )
     return spark.table(f"{schema}.{name}")
 
 
+def release_schema(spark: SparkSession, schema: str) -> None:
+    """Take a schema and its tables out of the catalog. Their files stay for readers that have them open."""
+    spark.sql(f"DROP DATABASE IF EXISTS {schema} CASCADE")
+
+
 def scan_overview(spark: SparkSession, path: str) -> DataFrame:
     """The published overview, rows that name a CRM company only."""
     return spark.read.parquet(path).where(F.col("hubspot_company_id").isNotNull())

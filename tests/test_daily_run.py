@@ -91,3 +91,42 @@ def test_a_revenue_mismatch_stops_the_payloads(spark, tmp_path):
     with pytest.raises(daily.ChecksFailed, match="revenue_reconciles"):
         daily.run_day(spark, root, "2024-01-15", previous_run="2024-01-08")
     assert not (tmp_path / "published" / "run=2024-01-15" / "new_deals").exists()
+
+
+def test_crowded_names_stop_the_run_before_they_are_paired(spark, tmp_path):
+    root = str(tmp_path)
+    land(spark, tmp_path, {"a": "pro", "b": "free"})
+    for name, key, made in (
+        ("hubspot_companies", "properties", [{"id": f"x{i}", "properties": {"name": "Same", "domain": f"x{i}.com"}} for i in range(6)]),
+        ("stripe_customers", "metadata", [{"id": f"cx{i}", "name": "Same", "created": 1, "metadata": {}} for i in range(5)]),
+    ):
+        (tmp_path / "dump" / name / "more.json").write_text("\n".join(json.dumps(i) for i in made))
+        landing.land_raw_objects(spark, str(tmp_path / "dump" / name), f"{root}/raw_{name}")
+    with pytest.raises(daily.ChecksFailed, match="crowded_names"):
+        daily.run_day(spark, root, "2024-01-08", events(spark, "2024-01-07"), max_name_pairs=29)
+    found = spark.read.parquet(f"{root}/published/run=2024-01-08/check_crowded_names")
+    assert rows(found, "name", "pairs") == [("Same", 30)]
+    assert not (tmp_path / "published" / "run=2024-01-08" / "identity").exists()
+    # Asked for, they are matched in full.
+    daily.run_day(spark, root, "2024-01-08", max_name_pairs=None, allow_repeated_accounts=True)
+    identity = spark.read.parquet(f"{root}/published/run=2024-01-08/identity")
+    assert identity.where("company_name = 'Same'").count() == 30
+
+
+def test_checks_ride_along_with_the_writing(spark, tmp_path):
+    from revlattice.operators import quality
+    from revlattice.operators.staging import stg_usage_events
+
+    root, batch = str(tmp_path), events(spark, "2024-01-07")
+    land(spark, tmp_path, {"a": "pro", "b": "free"})
+    folder = daily.run_day(spark, root, "2024-01-08", batch).folder
+    read = lambda name: spark.read.parquet(f"{folder}/{name}")
+    scanned = None
+    for name in daily.STAGED:
+        profile = quality.null_profile(read(name), f"stg_{name}")
+        scanned = profile if scanned is None else scanned.unionByName(profile)
+    assert rows(read("check_null_profile")) == rows(scanned)
+    assert rows(read("check_new_events")) == rows(quality.unattributed_and_late_events(stg_usage_events(batch)))
+    # The same batch again brings no event.
+    daily.run_day(spark, root, "2024-01-08", batch)
+    assert rows(read("check_new_events"), "events") == [(0,)]

@@ -149,3 +149,24 @@ def test_as_of_join_equals_brute_force(spark, period):
     assert rows(joined, "fact", "version_monthly_amount_usd") == sorted(
         [(f, price(k, at)) for f, k, at in facts], key=lambda r: [(v is not None, str(v)) for v in r]
     )
+
+
+def test_many_moments_are_no_single_task(spark):
+    """Each state has its own time: the calendar is as long as the data, and ordered in ranges."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        n = 400
+        states = spark.range(n).select(
+            F.concat(F.lit("s"), F.col("id") % 7).alias("subscription_id"), F.lit("pro").alias("plan_name"), F.col("id").cast("double").alias("monthly_amount_usd"),
+            F.lit("active").alias("subscription_status"), F.lit(True).alias("is_active"), F.timestamp_seconds(F.col("id") * 1000 + 7).alias("state_at"),
+        )
+        got = h.scd2_from_daily_states(states)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        found = got.select("monthly_amount_usd", F.unix_seconds("dbt_valid_from"), F.unix_seconds("dbt_valid_to")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    # A key is not in the next run, so each state ends there; the last one stays open.
+    want = [(float(i), i * 1000 + 7, i * 1000 + 1007 if i < n - 1 else None) for i in range(n)]
+    assert sorted(map(tuple, found)) == want
+    # Only the heads of the ranges, one row each, are brought together.
+    assert plan.count("SinglePartition") <= 1

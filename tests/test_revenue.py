@@ -1,6 +1,7 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from revlattice.operators import history, quality, revenue
 from tests.conftest import day, rows, ts
@@ -111,3 +112,54 @@ def test_extensions(spark):
     bars = revenue.revenue_chart(revenue.revenue_movements(h, "2024-01-31")).collect()
     assert [r.week_start for r in bars] == W and bars[1].contraction_bar == -80.0
     assert history.VALID_TO == "dbt_valid_to"
+
+
+def test_totals_kept_per_run_equal_the_whole_history(spark):
+    """Subscriptions that change, stop, vanish and return over random runs, one run repeated."""
+    import random
+
+    from revlattice.operators import history
+    from revlattice.session import fresh_folder
+
+    schema = (
+        "subscription_id string, hubspot_company_id string, company_name string, customer_id string, plan_name string, plan_rank int, "
+        "monthly_amount_usd double, subscription_status string, is_active boolean, created_at timestamp, canceled_at timestamp"
+    )
+    rnd, root = random.Random(8), fresh_folder(spark, "runs")
+    prices = {"free": 0.0, "pro": 20.0, "team": 100.0, "enterprise": 1000.0}
+    for n in range(8):
+        label = f"2024-0{1 + n // 4}-{1 + 7 * (n % 4):02d}"
+        now = []
+        for s in range(40):
+            if rnd.random() < 0.25:
+                continue
+            plan, active = rnd.choice(list(prices)), rnd.random() < 0.8
+            ended = ts(f"{label} 03:00:00") if not active and rnd.random() < 0.5 else None
+            now.append((f"s{s}", str(s), "A", "c", plan, 1, prices[plan], "active" if active else "canceled", active, ts("2024-01-01 00:00:00"), ended))
+        current = spark.createDataFrame(now, schema)
+        for _ in range(2 if n == 5 else 1):
+            versions = history.run_snapshot(current, root, label, f"{label} 00:00:00")
+            revenue.keep_movements(spark, root, label, f"{label} 00:00:00")
+        assert rows(revenue.kept_revenue_movements(spark, root, label, "2024-03-01")) == rows(revenue.revenue_movements(versions, "2024-03-01"))
+    # An earlier run's figures can still be had.
+    early = revenue.kept_revenue_movements(spark, root, "2024-01-08", "2024-03-01")
+    stored = history.read_history(spark, root, "2024-01-08", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in versions.schema.fields))
+    seen = stored.withColumn("dbt_valid_to", F.when(F.col("dbt_valid_to") <= F.lit("2024-01-08").cast("timestamp"), F.col("dbt_valid_to")))
+    assert rows(early) == rows(revenue.revenue_movements(seen, "2024-03-01"))
+
+
+def test_a_run_reads_only_what_it_wrote(spark, tmp_path):
+    from revlattice.operators import history
+
+    schema = "subscription_id string, plan_name string, monthly_amount_usd double, subscription_status string, is_active boolean, created_at timestamp, canceled_at timestamp"
+    root = str(tmp_path / "runs")
+    for label, price in (("2024-01-01", 20.0), ("2024-01-08", 100.0)):
+        current = spark.createDataFrame([("s", "pro", price, "active", True, ts("2024-01-01 00:00:00"), None)], schema)
+        history.run_snapshot(current, root, label, f"{label} 00:00:00")
+        if label > "2024-01-01":
+            for file in (tmp_path / "runs" / "run=2024-01-01").rglob("*"):
+                if file.is_file():
+                    file.unlink()  # not needed any more
+        revenue.keep_movements(spark, root, label, f"{label} 00:00:00")
+    kept = revenue.kept_revenue_movements(spark, root, "2024-01-08", "2024-01-08")
+    assert rows(kept, "new_mrr", "expansion_mrr", "ending_mrr") == [(0.0, 80.0, 100.0), (20.0, 0.0, 20.0)]

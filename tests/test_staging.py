@@ -132,3 +132,19 @@ def test_layers(spark, tmp_path):
     for _ in range(2):  # replacing it is fine
         out = layers.materialise_layer(df, "marts", "numbers", str(tmp_path))
     assert out.count() == 3 and (tmp_path / "marts" / "numbers").exists()
+
+
+def test_a_released_schema_leaves_the_catalog_but_not_its_readers(spark):
+    from revlattice.session import fresh_folder
+    from revlattice.sources import layers
+
+    table = layers.materialise_layer(spark.range(5).toDF("n"), "marts", "five", fresh_folder(spark, "tables"), schema="marts_gone")
+    assert spark.catalog.databaseExists("marts_gone")
+    layers.release_schema(spark, "marts_gone")
+    assert not spark.catalog.databaseExists("marts_gone") and table.count() == 5
+    before = {d.name for d in spark.catalog.listDatabases()}
+    from revlattice.plans.query_list import QUERIES
+    from tests.conftest import SF
+
+    assert QUERIES["materialise_layer"](spark, SF).count() > 0
+    assert {d.name for d in spark.catalog.listDatabases()} == before
