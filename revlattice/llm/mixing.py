@@ -19,6 +19,8 @@ from revlattice.session import store
 PART_RATE = 16.0
 #: Terms of the distribution at PART_RATE after which its sum is 1 in double precision.
 TERMS = 80
+#: So many sources at most have their rates (under 1 KB each) sent to all executors.
+SENT_SOURCES = 10_000
 #: Equal rows that are numbered together, and numbered rows to a task.
 BLOCK, TASK_ROWS = 1 << 10, 1 << 16
 
@@ -102,9 +104,12 @@ def mix_sources(
     different sources with one doc_id draw the same. See `rates` for weights; an empty table
     gives an empty mix. A column of `docs` called `mix` gives way to the new one.
     """
-    # One short row per source. Spark broadcasts it if it is measured small, else both sides
-    # are shuffled and AQE splits a hot source.
-    drawn = named(docs).join(rates(docs, weights, budget), F.col("of").eqNullSafe(F.col("rate_of")))
+    # One short row per source, counted: texts are only shuffled by source where the rates are too
+    # many to be sent along, and there AQE splits a hot source.
+    rated = store(rates(docs, weights, budget), "mix-rates")
+    if rated.count() <= SENT_SOURCES:
+        rated = F.broadcast(rated)
+    drawn = named(docs).join(rated, F.col("of").eqNullSafe(F.col("rate_of")))
 
     def one(part: Column) -> Column:
         u = uniform(F.lit(seed), F.col("name"), part)
