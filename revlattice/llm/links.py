@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlattice.session import store
@@ -117,25 +117,31 @@ def roots(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
             return label
 
 
+def anew(key: str) -> Column:
+    """The same integer as a new expression: an aggregate on `key` is not yet dealt by it, so it is
+    shuffled for a join, whose other side AQE can then split."""
+    return F.bitwise_not(F.bitwise_not(key))
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node that links reach, for every node of `edges` (u, v).
 
     Alternating large and small stars: in each round every node links its larger neighbours,
     then itself and its smaller ones, to the smallest of them, until nothing changes. Rounds
     grow with the logarithm of the longest chain. Every round is written to the shared folder.
-    Hot nodes only meet an aggregate, in joins that AQE can split.
+    Hot nodes only meet an aggregate, which is shuffled once more, so that AQE can split them.
     """
     pair = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     links, seen = store(pair.distinct(), "links"), None
     for _ in range(max_rounds):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select(anew("u").alias("k"), F.least("u", "m").alias("m"))
         large = (
-            both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            both.where("v > u").join(low, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         )
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = large.groupBy("u").agg(F.min("v").alias("m")).select(anew("u").alias("k"), "m")
         small = (
-            large.join(low, "u")
+            large.join(low, F.col("u") == F.col("k"))
             .select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("x"))
             .select(F.col("x.v").alias("u"), F.col("x.m").alias("v"))
             .where("u <> v")

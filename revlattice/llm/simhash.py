@@ -114,8 +114,8 @@ def near_groups(prints: DataFrame, max_distance: int = 4, block: int = links.BLO
     rooted = classes.join(found, classes["fp"] == found["node"], "left").select(
         "fp", "doc_id", F.coalesce("root", "fp").alias("root")
     )
-    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "component_id")
+    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")).select(links.anew("root").alias("k"), "component_id")
+    return rooted.join(least, F.col("root") == F.col("k")).select("fp", "component_id")
 
 
 def components_of(classes: DataFrame, max_distance: int, block: int) -> DataFrame:
