@@ -1,7 +1,9 @@
 """Near-duplicate embeddings: Euclidean p-stable hashing, then exact cosines.
 
-Normalised vectors fall into buckets by quantised random projections, in several tables; rows
-that share a bucket are compared exactly. A pair counts in the first table that joins it.
+Normalised vectors fall into buckets by quantised random projections, in several tables; vectors
+that share a bucket are compared exactly. A pair counts in the first table that joins it. Equal vectors of
+a label are one class: they link with each other without being compared, and one of them is
+compared with the other classes.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revlattice.functions.skew import attach_unique
 from revlattice.llm import links
 from revlattice.session import store
 
@@ -74,8 +77,9 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
 
 
 def close_links(rows: DataFrame, min_cosine: float, block: int) -> DataFrame:
-    """Of signed rows (row_no, label, embedding, keys): (node, links, root), a row per group of
-    blocks and member that links there; `root` is a member it is connected with."""
+    """Of signed classes (row_no, label, embedding, keys, members): (node, links, root), a row per group of
+    blocks and class that links there; `links` counts the members of the classes it links with, and `root` is
+    a class it is connected with."""
 
     def near(part: pa.RecordBatch, group: np.ndarray) -> pa.RecordBatch:
         node, own = part["row_no"].to_numpy(), part["bucket_b"].to_numpy()
@@ -90,6 +94,7 @@ def close_links(rows: DataFrame, min_cosine: float, block: int) -> DataFrame:
         values = part["embedding"].flatten().to_numpy().astype(np.float64)
         x[np.arange(width)[None, :] < sizes[:, None]] = values
         unit = unit_rows(x)
+        members = part["members"].to_numpy()
         count = np.zeros(n, np.int64)
         us, vs = [], []
         for u_all, v_all in links.pairs_within(group, own, cross):
@@ -104,7 +109,8 @@ def close_links(rows: DataFrame, min_cosine: float, block: int) -> DataFrame:
                 u, v = u[new], v[new]
                 us.append(u)
                 vs.append(v)
-                count += np.bincount(u, minlength=n) + np.bincount(v, minlength=n)
+                np.add.at(count, u, members[v])
+                np.add.at(count, v, members[u])
         if us:
             root = links.roots(n, np.concatenate(us), np.concatenate(vs))
             hit = np.flatnonzero(count)
@@ -119,7 +125,7 @@ def close_links(rows: DataFrame, min_cosine: float, block: int) -> DataFrame:
     members = signed.select("row_no", "label", F.size("embedding").alias("size"), F.posexplode("keys").alias("table", "cell"))
     short = members.select("row_no", "table", bucket.alias("bucket"))
     dealt = links.in_blocks(short, "bucket", "row_no", block, drop_single=True)
-    dealt = dealt.join(signed.select("row_no", "label", "embedding", "keys"), "row_no")
+    dealt = dealt.join(signed.select("row_no", "label", "embedding", "keys", "members"), "row_no")
     return links.by_group(dealt, "bucket", near, "node long, links long, root long")
 
 
@@ -139,21 +145,31 @@ def near_embeddings(
     with each other. component_id is the smallest vec_id reachable; kept tells whether it is the
     row's own. Rows with a null vec_id take part but lend no component_id.
     """
+    same = F.concat_ws(":", *[F.hex(F.xxhash64(F.lit(part), "label", "embedding")) for part in (1, 2)])
     rows = vectors.select(F.monotonically_increasing_id().alias("row_no"), "vec_id", "embedding", "label")
-    rows = store(signatures(rows, tables, per_table, width, seed), "embedding-keys")
-    found = store(close_links(rows, min_cosine, block), "embedding-links")
+    rows = store(signatures(rows, tables, per_table, width, seed).withColumn("same", F.when(F.col("keys").isNotNull(), same)), "embedding-keys")
+    classes = rows.where("same is not null").groupBy("same").agg(
+        F.min("row_no").alias("class_no"), F.count("*").alias("members"), F.min("vec_id").alias("least_id")
+    )
+    classes = store(classes, "embedding-classes")
+    one_each = rows.join(classes.select(F.col("class_no").alias("row_no"), "members"), "row_no")
+    found = store(close_links(one_each, min_cosine, block), "embedding-links")
     counts = found.groupBy("node").agg(F.sum("links").alias("n_links"))
     edges = found.select(F.col("node").alias("u"), F.col("root").alias("v"))
     rooted = (
-        rows.select("row_no", "vec_id")
-        .join(counts, F.col("row_no") == counts["node"], "left").drop("node")
-        .join(links.components(edges), F.col("row_no") == F.col("node"), "left")
-        .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "row_no").alias("root"))
+        classes.join(counts, F.col("class_no") == counts["node"], "left").drop("node")
+        .join(links.components(edges), F.col("class_no") == F.col("node"), "left")
+        .select("same", "least_id", (F.col("members") - 1 + F.coalesce("n_links", F.lit(0))).alias("n_links"), F.coalesce("root", "class_no").alias("root"))
     )
     rooted = store(rooted, "embedding-rooted")
-    least = rooted.groupBy("root").agg(F.min("vec_id").alias("component_id"))
-    return rooted.join(least, "root").select(
-        "vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept")
+    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id")).select(links.anew("root").alias("k"), "component_id")
+    known = rooted.join(least, F.col("root") == F.col("k")).select("same", "n_links", "component_id")
+    component = F.when(F.col("same").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
+    return attach_unique(rows.select("vec_id", "same"), "same", known, "same").select(
+        "vec_id",
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        component.alias("component_id"),
+        F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"),
     )
 
 
