@@ -48,24 +48,40 @@ LONGEST = 4096
 _MARK, _STAND_IN = "\u0001", "\u0002"
 
 
+def let(value: Column, then) -> Column:
+    """`then(value)` with the value worked out once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def ends_of(pieces: Column, between: int = 0) -> Column:
+    """Where each piece of a text ends, in code points, if `between` lie between two of them.
+
+    Running sums by doubling the reach: as many passes as the number of pieces has binary digits.
+    """
+    sizes = F.transform(pieces, lambda p, i: F.char_length(p) + F.when(i > 0, between).otherwise(0))
+    reach = F.sequence(F.lit(0), F.length(F.bin(F.size(pieces))) - 1)
+
+    def further(sums: Column, k: Column) -> Column:
+        step = F.call_function("shiftleft", F.lit(1), k)
+        return F.transform(sums, lambda x, i: x + F.when(i >= step, F.get(sums, i - step)).otherwise(0))
+
+    return F.aggregate(reach, sizes, further)
+
+
 def matches(text: Column, pattern: str, keep) -> Column:
     """Array of (start, end, token) of the leftmost non-overlapping matches that `keep` holds
     for; code points. `text` must not contain the mark U+0001."""
     pieces = F.split(F.regexp_replace(text, pattern, f"{_MARK}$0{_MARK}"), _MARK, -1)
-    kind = "array<struct<start:int,end:int,token:string>>"
-    none = F.array().cast(kind)
-    zero = F.struct(F.lit(0).alias("at"), F.lit(False).alias("hit"), none.alias("found"))
 
-    def step(state: Column, piece: Column) -> Column:
-        end = state["at"] + F.char_length(piece)
-        one = F.array(F.struct(state["at"].alias("start"), end.alias("end"), piece.alias("token")))
-        return F.struct(
-            end.alias("at"),
-            (~state["hit"]).alias("hit"),
-            F.when(state["hit"] & keep(piece), F.concat(state["found"], one)).otherwise(state["found"]).alias("found"),
-        )
+    def found(pieces: Column, ends: Column) -> Column:
+        # Every other piece is a match, and none of the last.
+        odd = F.sequence(F.lit(0), F.floor(F.size(pieces) / 2).cast("int") - 1)
+        tokens = F.transform(odd, lambda j: F.struct(
+            F.get(ends, 2 * j).alias("start"), F.get(ends, 2 * j + 1).alias("end"), F.get(pieces, 2 * j + 1).alias("token")))
+        return F.filter(tokens, lambda m: keep(m["token"]))
 
-    return F.when(text.rlike(pattern), F.aggregate(pieces, zero, step, lambda s: s["found"])).otherwise(none)
+    both = let(pieces, lambda p: let(ends_of(p), lambda e: found(p, e)))
+    return F.when(text.rlike(pattern), both).otherwise(F.array().cast("array<struct<start:int,end:int,token:string>>"))
 
 
 def normal_below(z: Column) -> Column:
@@ -102,16 +118,16 @@ def with_segments(candidates: Column) -> Column:
     any (part is true), which are tested on their own as well."""
 
     def segments(c: Column) -> Column:
-        kind = "array<struct<start:int,end:int,token:string,part:boolean>>"
-        zero = F.struct(c["start"].alias("at"), F.array().cast(kind).alias("found"))
+        whole = F.array(F.struct(c["start"].alias("start"), c["end"].alias("end"), c["token"].alias("token"), F.lit(False).alias("part")))
 
-        def step(state: Column, piece: Column) -> Column:
-            end = state["at"] + F.char_length(piece)
-            one = F.struct(state["at"].alias("start"), end.alias("end"), piece.alias("token"), F.lit(True).alias("part"))
-            return F.struct((end + 1).alias("at"), F.concat(state["found"], F.array(one)).alias("found"))
+        def parts(pieces: Column) -> Column:
+            def part(piece: Column, end: Column) -> Column:
+                end = c["start"] + end
+                return F.struct((end - F.char_length(piece)).alias("start"), end.alias("end"), piece.alias("token"), F.lit(True).alias("part"))
 
-        whole = F.array(F.struct(c["start"].alias("start"), c["end"].alias("end"), c["token"].alias("token"), F.lit(False).alias("part")))
-        split = F.aggregate(F.split(c["token"], "/", -1), zero, step, lambda s: s["found"])
+            return F.zip_with(pieces, ends_of(pieces, between=1), part)
+
+        split = let(F.split(c["token"], "/", -1), parts)
         return F.when(F.contains(c["token"], F.lit("/")), F.concat(whole, split)).otherwise(whole)
 
     return F.flatten(F.transform(candidates, segments))
