@@ -46,6 +46,9 @@ _TOKEN = re.compile(
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _WORD = re.compile(r"[a-z]+")
+#: Raw elements of other languages, and the key of the path that a page begins with.
+FOREIGN = {"svg", "math"}
+TOP = 0
 
 
 def _names(attributes: str) -> list[str]:
@@ -72,13 +75,14 @@ class Page:
     """A page as containers and text blocks in page order.
 
     `blocks`: (path, text, characters of links in it, is aside, depth flags "article"/"main").
-    `tags`: how often each container tag occurs, by its path, opened (+) or closed (-).
+    `tags`: how often each container tag occurs, opened (+) or closed (-), by its path and that around it.
+    Paths are keys (`path_key`) of one size, however deep a page is nested.
     """
 
     def __init__(self, html: str):
-        self.blocks: list[tuple[str, str, int, bool, str]] = []
-        self.tags: Counter[str] = Counter()
-        self.stack: list[tuple[str, str, bool, str]] = [("", "", False, "")]
+        self.blocks: list[tuple[int, str, int, bool, str]] = []
+        self.tags: Counter[tuple[str, int, int]] = Counter()
+        self.stack: list[tuple[str, int, bool, str]] = [("", TOP, False, "")]
         self.text: list[str] = []
         self.linked, self.in_link = 0, 0
         self._read(html)
@@ -114,7 +118,8 @@ class Page:
                 self._close(tag)
             else:
                 self._open(tag, found[3] or "")
-                if tag in RAW and not (found[3] or "").endswith("/"):
+                # Only svg and math can end in themselves; HTML ignores the slash.
+                if tag in RAW and not (tag in FOREIGN and (found[3] or "").endswith("/")):
                     close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(html, at)
                     at = close.end() if close else end
 
@@ -128,11 +133,11 @@ class Page:
         if tag in CONTAINERS:
             _, path, aside, kind = self.stack[-1]
             names = _names(attributes)
-            path = f"{path}/{tag}{'.'.join(['', *names])}"
+            around, path = path, path_key(path, f"{tag}{'.'.join(['', *names])}")
             own = _is_aside(tag, names, attributes)
             if tag in ("article", "main") or "main" in names:
                 kind = "article" if tag == "article" or kind == "article" else "main"
-            self.tags["+" + path] += 1
+            self.tags["+", path, around] += 1
             self.stack.append((tag, path, aside or own, kind))
 
     def _close(self, tag: str) -> None:
@@ -143,20 +148,31 @@ class Page:
         if tag in CONTAINERS:
             for i in range(len(self.stack) - 1, 0, -1):
                 if self.stack[i][0] == tag:
-                    self.tags["-" + self.stack[i][1]] += 1
+                    self.tags["-", self.stack[i][1], self.stack[i - 1][1]] += 1
                     del self.stack[i:]
                     return
 
 
-def block_token(path: str, text: str) -> int:
-    return xxhash.xxh64_intdigest(f"{path}\n{text}".encode("utf-8", "surrogatepass")) - (1 << 63)
+def path_key(around: int, step: str) -> int:
+    """The key of a path: of the path around it and its last step."""
+    return xxhash.xxh64_intdigest(step.encode("utf-8", "surrogatepass"), around)
 
 
-def tag_token(path: str) -> int:
-    return xxhash.xxh64_intdigest(path.encode("utf-8", "surrogatepass"), 1) - (1 << 63)
+def block_token(path: int | str, text: str) -> int:
+    """The token of a text block in a container, which is given by its key or as `/step/step`."""
+    if isinstance(path, str):
+        key = TOP
+        for step in path.split("/")[1:]:
+            key = path_key(key, step)
+        path = key
+    return xxhash.xxh64_intdigest(b"\n" + text.encode("utf-8", "surrogatepass"), path) - (1 << 63)
 
 
-def main_blocks(page: Page) -> list[tuple[str, str]]:
+def tag_token(sign: str, path: int) -> int:
+    return xxhash.xxh64_intdigest(sign.encode(), path) - (1 << 63)
+
+
+def main_blocks(page: Page) -> list[tuple[int, str]]:
     """(path, text) of the blocks of a page's article.
 
     Where a page has an article element, its main text is there; else in the main element; else
@@ -195,12 +211,12 @@ def occurrences(pages: DataFrame) -> DataFrame:
                 page = Page(html or "")
                 article = block_token("", "\n".join(text for _, text in main_blocks(page)))
                 out.append((host, article, None, None, False, 1))
-                for path, n in page.tags.items():
-                    around = path[1:].rpartition("/")[0]
-                    out.append((host, article, tag_token(path), tag_token("+" + around) if around else None, False, n))
+                for (sign, path, around), n in page.tags.items():
+                    parent = tag_token("+", around) if around != TOP else None
+                    out.append((host, article, tag_token(sign, path), parent, False, n))
                 texts = Counter((path, text) for path, text, *_ in page.blocks)
                 for (path, text), n in texts.items():
-                    out.append((host, article, block_token(path, text), tag_token("+" + path) if path else None, True, n))
+                    out.append((host, article, block_token(path, text), tag_token("+", path) if path != TOP else None, True, n))
             columns = list(zip(*out, strict=True)) or [[]] * 6
             kinds = ["object", "int64", "Int64", "Int64", "bool", "int32"]  # nullable, as floats lose digits
             names = ["host", "article", "token", "parent", "is_text", "n"]
@@ -249,7 +265,8 @@ def extract_main_text(pages: DataFrame, min_pages: int = 5, min_share: float = 0
 
     Null and empty html gives an empty text. Pages without a usable url share the host "", and
     a host with fewer than `min_pages` pages has no template; tags alone decide there. Repeated
-    rows come out as often as they come in; null ids are carried along; other columns ignored.
+    rows come out as often as they come in; null ids are carried along; other columns ignored. An empty table
+    gives no rows. A page takes memory in proportion to its length, however deep it is nested.
     """
     rows = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
     known = store(templates(rows, min_pages, min_share), "html-templates")
