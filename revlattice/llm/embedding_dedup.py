@@ -143,7 +143,10 @@ def near_embeddings(
     any table joins them (see README for the recall). Vectors that are null, empty, zero or hold
     null or non-finite components, and rows without a label, link with nothing. Equal rows link
     with each other. component_id is the smallest vec_id reachable; kept tells whether it is the
-    row's own. Rows with a null vec_id take part but lend no component_id.
+    row's own. Rows with a null vec_id take part but lend no component_id. An empty table gives no rows.
+
+    Cosines are products of vectors scaled to length 1, so a pair within a last bit of the threshold may fall on
+    either side.
     """
     same = F.concat_ws(":", *[F.hex(F.xxhash64(F.lit(part), "label", "embedding")) for part in (1, 2)])
     rows = vectors.select(F.monotonically_increasing_id().alias("row_no"), "vec_id", "embedding", "label")

@@ -240,7 +240,8 @@ def find_secrets(docs: DataFrame, false_discovery_rate: float = 0.01) -> DataFra
     Spans are kind:start:end in code points, end exclusive, by start, then kind; base_sha256
     is over those of the patterns (the hash of an empty string if there are none), `spans` also
     has kind `random`. Null and empty texts have no spans. Repeated rows come out as often as
-    they come in; null ids are carried along; other columns are ignored.
+    they come in; null ids are carried along; other columns are ignored. An empty table gives no rows.
+    A text of any length is searched whole, in time in proportion to it but for a logarithm of its matches.
     """
     scanned = store(scan(docs, false_discovery_rate), "secrets-scan")
     steps = discovery_steps(scanned, false_discovery_rate)

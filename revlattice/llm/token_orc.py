@@ -194,7 +194,7 @@ def read_token_orc(spark: SparkSession, path: str) -> DataFrame:
 
 def token_digest(files: DataFrame) -> DataFrame:
     """Per document of `files`: doc_id, start (ids of all documents before it), n_tokens (with
-    the end id), ids_crc32 (of the ids as little-endian unsigned 32-bit integers)."""
+    the end id), ids_crc32 (of the ids as little-endian unsigned 32-bit integers). No documents give no rows."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -253,7 +253,8 @@ def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
 
 def read_back(index: DataFrame, path: str) -> DataFrame:
     """Per record of `index`, from the archives: page_id, payload_bytes, payload_digest,
-    record_type, refers_to. Revisits take size and digest from the response they point at."""
+    record_type, refers_to. Revisits take size and digest from the response they point at.
+    No pages give no archives and no rows."""
     got = read_records(index, path)
 
     @F.pandas_udf("string")
