@@ -1,6 +1,8 @@
 """From raw documents to token ids: filter, de-duplicate, decontaminate, mix, encode.
 
-Each stage's result is written as Parquet and read again as the next one's documents.
+Each stage's result is written as Parquet and read again as the next one's documents. Documents may lack
+their id, text or source and may be repeated; what each stage makes of those its operator says. A table
+without rows gives a result without rows.
 """
 
 from __future__ import annotations
@@ -47,7 +49,8 @@ STAGES = [
     ("token_orc", encode),
 ]
 
-#: Fingerprints, learned scores and token ids are beyond SQL; see tests/llm/test_pipeline.py.
+#: Fingerprints, learned scores and token ids are beyond SQL; see tests/llm/test_llm.py and
+#: tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 
