@@ -19,13 +19,15 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlattice.session import store
 
 #: Bits of the filter of seeds (8 MB), and words whose hashes a worker keeps.
 FILTER_BITS, KEPT_WORDS = 1 << 26, 1 << 19
+#: So many keys of texts (16 bytes each) at most are sent to all executors, in place of a shuffle of texts.
+SENT_KEYS = 500_000
 
 #: Characters of benchmark text that are sent to the executors at a time.
 BLOCK_CHARS = 32 << 20
@@ -189,7 +191,7 @@ def item_seeds(items: DataFrame, min_tile: int) -> DataFrame:
                     columns = [[key] * len(seed), seed, places, np.full(len(seed), len(words)), np.full(len(seed), length)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["item_key", "seed", "places", "n_words", "length"])
 
-    return items.select("item_key", "text").mapInArrow(run, "item_key string, seed long, places long, n_words long, length long")
+    return items.select("item_key", "text").mapInArrow(run, "item_key binary, seed long, places long, n_words long, length long")
 
 
 def seed_filter(seeds: DataFrame) -> np.ndarray:
@@ -206,50 +208,64 @@ def seed_filter(seeds: DataFrame) -> np.ndarray:
 
 
 def text_seeds(texts: DataFrame, lengths: list[int], kept: Broadcast) -> DataFrame:
-    """(text_key, seed) of texts (text_key, text): their distinct seeds that pass the filter."""
+    """(text_key, text, seeds) of the texts (text_key, text) that have any distinct seeds that pass the filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = kept.value
         for batch in batches:
-            keys, found = [], [np.empty(0, np.int64)]
-            for key, text in zip(batch["text_key"].to_pylist(), batch["text"], strict=True):
+            rows, found = [], []
+            for row, text in enumerate(batch["text"]):
                 words = words_of(text.as_py())
-                for n in lengths:
-                    seeds = seeds_of(words, n) if len(words) >= n else np.empty(0, np.int64)
-                    at = seeds & (FILTER_BITS - 1)
-                    seeds = np.unique(seeds[(bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1])
-                    keys += [key] * len(seeds)
+                seeds = np.concatenate([seeds_of(words, n) for n in lengths if len(words) >= n] or [np.empty(0, np.int64)])
+                at = seeds & (FILTER_BITS - 1)
+                seeds = np.unique(seeds[(bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1])
+                if len(seeds):
+                    rows.append(row)
                     found.append(seeds)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(np.concatenate(found))], ["text_key", "seed"])
+            held = batch.take(pa.array(rows, pa.int64()))
+            ends = np.cumsum([0, *map(len, found)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *found])))
+            yield pa.RecordBatch.from_arrays([held["text_key"], held["text"], lists], ["text_key", "text", "seeds"])
 
-    return texts.select("text_key", "text").mapInArrow(run, "text_key string, seed long")
+    return texts.select("text_key", "text").mapInArrow(run, "text_key binary, text string, seeds array<long>")
+
+
+def sent_if_few(keys: DataFrame) -> DataFrame:
+    """Stored `keys`, marked to be broadcast if they are counted to be at most SENT_KEYS."""
+    return F.broadcast(keys) if keys.count() <= SENT_KEYS else keys
+
+
+def content_key(text: str) -> Column:
+    """16 bytes that tell texts apart; null as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
 def _keyed(df: DataFrame, name: str) -> DataFrame:
-    """(`name`, text): texts told apart by their content; null as empty."""
-    text = F.coalesce("text", F.lit(""))
-    return df.select(F.md5(text).alias(name), text.alias("text"))
+    """(`name`, text): texts and their keys; null as empty."""
+    return df.select(content_key("text").alias(name), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, min_tile: int, threshold: float) -> DataFrame:
     """(text_key, item_key, coverage, n_tiles, longest_tile) of distinct texts and items with
     coverage >= threshold; keys are MD5 digests of the texts.
 
-    A text is a candidate for an item if the seeds they share could cover the threshold. Only candidates
-    are fetched, once for all copies of a text, and tiled.
+    Texts that have no seed of any item are left behind in the first pass. A text is a candidate for an item
+    if the seeds they share could cover the threshold. Only candidates are fetched, once for all copies of
+    a text, and tiled.
     """
     items = store(_keyed(benchmark, "item_key").dropDuplicates(["item_key"]), "tiling-items")
     seeds = store(item_seeds(items, min_tile), "tiling-seeds")
     lengths = [r["length"] for r in seeds.select("length").distinct().collect()]  # 1 to min_tile
     kept = docs.sparkSession.sparkContext.broadcast(seed_filter(seeds))
+    held = store(text_seeds(_keyed(docs, "text_key"), lengths, kept), "tiling-texts")
     # Copies of a text are counted as one before they are shuffled.
-    met = text_seeds(_keyed(docs, "text_key"), lengths, kept).groupBy("text_key", "seed").agg(F.count("*").alias("copies"))
+    met = held.select("text_key", F.explode("seeds").alias("seed")).groupBy("text_key", "seed").agg(F.count("*").alias("copies"))
     # Both sides are dealt by seed plainly, so that AQE can split a passage that many texts hold.
     shared = met.select("text_key", "seed").join(seeds, "seed").groupBy("text_key", "item_key", "n_words", "length").agg(F.sum("places").alias("places"))
     likely = shared.where(F.col("places") * F.col("length") >= F.lit(threshold) * F.col("n_words"))
     likely = store(likely.select("text_key", "item_key"), "tiling-candidates")
-    wanted = likely.select("text_key").distinct()
-    texts = _keyed(docs, "text_key").join(wanted, "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
+    wanted = sent_if_few(store(likely.select("text_key").distinct(), "tiling-wanted"))
+    texts = held.select("text_key", "text").join(wanted, "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
     pairs = likely.join(texts, "text_key").join(items.withColumnRenamed("text", "item"), "item_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,12 +276,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, min_tile: int, threshold: flo
                 if t and t[0] >= threshold:
                     out.append((text_key.as_py(), item_key.as_py(), *t))
             columns = zip(*out, strict=True) if out else [[]] * 5
-            kinds = [pa.string(), pa.string(), pa.float64(), pa.int32(), pa.int32()]
+            kinds = [pa.binary(), pa.binary(), pa.float64(), pa.int32(), pa.int32()]
             names = ["text_key", "item_key", "coverage", "n_tiles", "longest_tile"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     found = pairs.select("text_key", "item_key", "text", "item").mapInArrow(
-        run, "text_key string, item_key string, coverage double, n_tiles int, longest_tile int"
+        run, "text_key binary, item_key binary, coverage double, n_tiles int, longest_tile int"
     )
     return store(found, "tiling-matches")
 
@@ -308,13 +324,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_tile: int = 5, thres
     time in proportion to words of the text times words of the item.
     """
     found = matches(docs, benchmark, min_tile, threshold)
-    rows = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text_key"))
-    named = benchmark.select("item_id", F.md5(F.coalesce("text", F.lit(""))).alias("item_key"))
+    rows = docs.select("doc_id", content_key("text").alias("text_key"))
+    named = benchmark.select("item_id", content_key("text").alias("item_key"))
     return rows.join(found, "text_key").join(named, "item_key").select("doc_id", "item_id", "coverage", "n_tiles", "longest_tile")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, min_tile: int = 5, threshold: float = 0.5) -> DataFrame:
     """The rows of `docs` that match no benchmark item, with all their columns."""
-    found = matches(docs, benchmark, min_tile, threshold).select("text_key").distinct()
+    found = sent_if_few(store(matches(docs, benchmark, min_tile, threshold).select("text_key").distinct(), "tiling-found"))
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
-    return rows.join(found, F.md5(F.coalesce("row.text", F.lit(""))) == found["text_key"], "left_anti").select("row.*")
+    return rows.join(found, content_key("row.text") == found["text_key"], "left_anti").select("row.*")
