@@ -26,10 +26,13 @@ KINDS = ["assign", "access", "hex", "random"]
 #: so that a name before it is cut off.
 INNER = "[A-Za-z0-9+/_-]"
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Encodings in the order in which they are tried: name, pattern, alphabet. Tokens of letters
-#: of one case alone, or of digits alone, are words and numbers.
+#: Encodings in the order in which they are tried: name, pattern, alphabet. Capitalised words are
+#: not tested.
 ENCODINGS = [
-    ("word", r"^([a-z]+|[A-Z]+|[0-9]+|[A-Z]?[a-z]+)$", ""),
+    ("word", r"^[A-Z][a-z]+$", ""),
+    ("digits", r"^[0-9]+$", DIGITS),
+    ("lower", r"^[a-z]+$", LOWER),
+    ("upper", r"^[A-Z]+$", UPPER),
     ("hex", r"^[0-9a-f]+$", DIGITS + LOWER[:6]),
     ("hex upper", r"^[0-9A-F]+$", DIGITS + UPPER[:6]),
     ("base32", r"^[A-Z2-7]+$", UPPER + DIGITS[2:8]),
@@ -39,6 +42,9 @@ ENCODINGS = [
     ("base64", r"^[A-Za-z0-9+/]+$", DIGITS + LOWER + UPPER + "+/"),
     ("base64 url", r"^[A-Za-z0-9_-]+$", DIGITS + LOWER + UPPER + "_-"),
 ]
+#: Of these most tokens are words and numbers. They must be so long that text looks as uniform a hundred
+#: times less often than elsewhere, which no word is.
+PLAIN = ("digits", "lower", "upper")
 #: By how much more often than in uniform strings two symbols of text are equal.
 TEXT_EXCESS = 0.045
 #: Steps of log10(p) that the false-discovery control tells apart, and the last of them.
@@ -104,13 +110,15 @@ def shortest(symbols: int, rate: float) -> int:
 
 
 def shortest_of(rate: float) -> dict[str, int]:
-    return {name: shortest(len(symbols), rate) for name, _, symbols in ENCODINGS if symbols}
+    return {name: shortest(len(symbols), rate / 100 if name in PLAIN else rate) for name, _, symbols in ENCODINGS if symbols}
 
 
-def candidate_pattern(least: int) -> str:
-    """Whole runs of INNER of at least this length, words and numbers aside, with their padding."""
-    words = "|".join(pattern[1:-1] for name, pattern, _ in ENCODINGS if name == "word")
-    return rf"(?<!{INNER})(?!(?:{words})(?!{INNER})){INNER}{{{least},}}(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?"
+def candidate_pattern(least: dict[str, int]) -> str:
+    """Whole runs of INNER that are long enough for some encoding, with their padding; words and numbers
+    that are not long enough for their own aside."""
+    short = {name: f"{{1,{least[name] - 1}}}" for name in PLAIN}
+    words = f"[A-Z]?[a-z]{short['lower']}|[A-Z]{short['upper']}|[0-9]{short['digits']}|[A-Z][a-z]+"
+    return rf"(?<!{INNER})(?!(?:{words})(?!{INNER})){INNER}{{{min(least.values())},}}(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?"
 
 
 def with_segments(candidates: Column) -> Column:
@@ -165,9 +173,13 @@ def tested(candidate: Column, least: dict[str, int]) -> Column:
         return F.struct(x["name"].alias("name"), x["n"].alias("n"), x["a"].alias("a"), places.alias("p"),
                         (squares * x["a"] / x["n"] - x["n"]).alias("chi"))
 
+    def centred(x: Column) -> Column:
+        # Worked out here, as what a lambda names is worked out for each of its elements.
+        mean = F.aggregate(x["p"], F.lit(0.0), lambda acc, v: acc + v) / F.size(x["p"])
+        return F.struct(*[x[c].alias(c) for c in ("name", "n", "a", "p", "chi")], mean.alias("mean"))
+
     def sums(x: Column) -> Column:
-        n = F.size(x["p"])
-        mean = F.aggregate(x["p"], F.lit(0.0), lambda acc, v: acc + v) / n
+        n, mean = F.size(x["p"]), x["mean"]
         above = F.aggregate(x["p"], F.lit(0.0), lambda acc, v: acc + F.when(v > x["a"] / 2, 1.0).otherwise(0.0))
         pairs = F.zip_with(F.slice(x["p"], 1, n - 1), F.slice(x["p"], 2, n - 1), lambda u, v: F.struct(u.alias("u"), v.alias("v")))
         runs = F.aggregate(pairs, F.lit(1.0), lambda acc, q: acc + F.when((q["u"] > x["a"] / 2) != (q["v"] > x["a"] / 2), 1.0).otherwise(0.0))
@@ -196,13 +208,13 @@ def tested(candidate: Column, least: dict[str, int]) -> Column:
         )
 
     known = F.filter(base, lambda x: (x["alphabet"] != "") & (x["n"] >= x["least"]))
-    return F.get(F.transform(F.transform(F.transform(known, symbols), sums), judged), 0)
+    return F.get(F.transform(F.transform(F.transform(F.transform(known, symbols), centred), sums), judged), 0)
 
 
 def scan(docs: DataFrame, rate: float) -> DataFrame:
     """Per row of `docs`: doc_id, the base spans of each kind, and the tested candidates."""
     least = shortest_of(rate)
-    candidate = candidate_pattern(min(least.values()))
+    candidate = candidate_pattern(least)
     text = F.translate(F.coalesce("text", F.lit("")), _MARK, _STAND_IN)
     held = docs.select("doc_id", text.alias("t"))
     found = held.select(
