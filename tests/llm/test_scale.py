@@ -70,7 +70,7 @@ def test_copies_of_a_vector_are_sent_once(spark, monkeypatch):
 
 def test_a_hub_of_links_can_be_split(spark, plain_joins):
     """The aggregate that hot nodes meet is shuffled for the join, which AQE needs to split the other side."""
-    edges = spark.range(500).select(F.lit(0).cast("long").alias("u"), (F.col("id") + 1).alias("v"))
+    edges = spark.range(500).select(F.floor(F.col("id") / 1000).cast("long").alias("u"), (F.col("id") + 1).alias("v"))
     low = edges.groupBy("u").agg(F.min("v").alias("m")).select(links.anew("u").alias("k"), "m")
     joined = edges.join(low, F.col("u") == F.col("k"))
     joined.collect()
@@ -160,6 +160,20 @@ def test_battery_and_control_against_plain_python(spark):
     assert got == found and len(found) > 100
 
 
+def test_random_tokens_of_one_case(spark):
+    rnd = random.Random(15)
+    some = lambda symbols, n: "".join(rnd.choice(symbols) for _ in range(n))
+    texts = [(i, f"see {some(secrets.LOWER if i % 2 else secrets.UPPER, 48)} there") for i in range(100)]
+    texts += [(200 + i, f"no {some(secrets.DIGITS, 120)} there") for i in range(20)]
+    plain = "pneumonoultramicroscopicsilicovolcanoconiosis ANTIDISESTABLISHMENTARIANISM Internationalization uncopyrightable 4111111111111111 20240131120000"
+    texts += [(300 + i, f"{plain} {'donaudampfschifffahrtsgesellschaft' * (1 + i % 2)} {some('aeinrst', 40)}") for i in range(40)]
+    got = {r["doc_id"]: r["spans"] for r in secrets.find_secrets(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    for odd in (0, 1):
+        assert sum(got[i] == "random:4:52" for i in range(odd, 100, 2)) > 45
+    assert sum("random:3:123" in got[200 + i] for i in range(20)) >= 15
+    assert not any("random" in got[300 + i] for i in range(40))
+
+
 # --- 9 tiling
 
 
