@@ -19,19 +19,19 @@ def _step(plan: Column, path: dict[str, str]) -> Column:
 
 
 def plan_pressure(state: DataFrame, plans: DataFrame) -> DataFrame:
-    """Who pushes against a plan's limits and who has gone quiet on a paid one.
+    """Which subscriptions push against their plan's limits and which have gone quiet on a paid one.
 
-    Both can hold at once: few credits but too many seats.
+    `state` as from `account_usage_state`; accounts without a plan have no answer. Both can hold at once: few credits but too many seats.
     """
     limits = plans.select(F.col("plan_name").alias("limit_plan"), "seat_limit", "monthly_credits")
-    plan = F.col("current_plan")
+    plan = F.col("plan_name")
     ratio = F.try_divide("credits_30d", "monthly_credits")
     pushing = (ratio >= HIGH_USAGE) | (F.col("seats") > F.col("seat_limit"))
     quiet = (plan != "free") & (ratio < LOW_USAGE)
     return state.join(limits, plan == F.col("limit_plan"), "left").select(
         "hubspot_company_id",
-        "domain",
-        "current_plan",
+        "subscription_id",
+        "plan_name",
         "credits_30d",
         "seats",
         ratio.alias("credit_ratio"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlattice.functions.dates import AsOf, as_day, days_before
+from revlattice.functions.skew import attach_unique
 
 # Event type -> daily count column.
 EVENT_COUNTS = {
@@ -131,20 +132,26 @@ def since(events: DataFrame, day: Column) -> DataFrame:
     return events.where((F.col("occurred_date") if dated else F.to_date("occurred_at")) >= day)
 
 
-def active_users_exact_14d(events: DataFrame, identity: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Extension: distinct users over the whole window, from the events themselves."""
+def active_users_exact(events: DataFrame, identity: DataFrame, as_of: AsOf = None, days: int = 14) -> DataFrame:
+    """Distinct users over a whole window, from the events themselves: hubspot_company_id,
+    account_domain, active_users."""
     users = (
-        since(events, days_before(as_of, 14))
+        since(events, days_before(as_of, days))
         .where(F.col("account_domain").isNotNull())
         .groupBy("account_domain")
-        .agg(F.count_distinct("user_email").alias("active_users_14d_exact"))
+        .agg(F.count_distinct("user_email").alias("active_users"))
     )
     owners = identity.select("hubspot_company_id", "company_domain").distinct()
     return users.join(owners, F.col("account_domain") == F.col("company_domain")).select(
-        "hubspot_company_id", "account_domain", "active_users_14d_exact"
+        "hubspot_company_id", "account_domain", "active_users"
     )
 
 
+def active_users_exact_14d(events: DataFrame, identity: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """Extension: distinct users over the 14-day window."""
+    return active_users_exact(events, identity, as_of).withColumnRenamed("active_users", "active_users_14d_exact")
+
+
 def active_users_by_window(
     user_sets: DataFrame, identity: DataFrame, as_of: AsOf = None, days: tuple[int, ...] = (7, 14, 30)
 ) -> DataFrame:
@@ -173,47 +180,31 @@ def active_users_by_window(
 
 
 def account_usage_state(
-    answer_key: DataFrame, events: DataFrame, as_of_moment: Column | None = None
+    account_subscriptions: DataFrame, daily_usage: DataFrame, active_users: DataFrame, as_of: AsOf = None
 ) -> DataFrame:
-    """Each simulated account with its 30-day use and its seats (1 + invites ever).
+    """Each account's subscriptions beside its use of 30 days and its seats (1 + invites ever).
 
-    `as_of_moment` is the instant the 30 days are counted back from; default now.
+    Credits, invites and the last day of use are one aggregate of the daily facts. `active_users`
+    (hubspot_company_id, active_users) are the distinct users of the same window, from the
+    events (`active_users_exact`) or the kept sets (`active_users_by_window`). An account of several domains
+    has the users of the one with most. Accounts without use have zeros, one seat and no last day.
     """
-    now = F.current_timestamp() if as_of_moment is None else as_of_moment
-    named = events.where(F.col("account_domain").isNotNull())
-    usage = (
-        since(named, F.to_date(now - F.expr("INTERVAL 30 DAYS")))
-        .where(F.col("occurred_at") >= now - F.expr("INTERVAL 30 DAYS"))
-        .groupBy("account_domain")
-        .agg(
-            F.sum("credits_used").alias("credits_30d"),
-            F.count_distinct("user_email").alias("active_users"),
-            F.max("occurred_at").alias("last_seen_at"),
-        )
-    )
-    # Only invites matter for seats, so only they are read over the whole history.
-    invites = (
-        named.where(F.col("event_type") == "teammate_invited")
-        .groupBy(F.col("account_domain").alias("invite_domain"))
-        .agg(F.count("*").alias("invites"))
-    )
-    state = answer_key
-    if "current_plan" not in state.columns:
-        state = state.withColumn("current_plan", F.col("starting_plan"))
-    if "status" not in state.columns:
-        state = state.withColumn("status", F.lit("active"))
-    return (
-        state.join(usage, F.col("domain") == F.col("account_domain"), "left")
-        .join(invites, F.col("domain") == F.col("invite_domain"), "left")
-        .select(
-            *[c for c in state.columns if c not in ("current_plan", "status")],
-            F.coalesce("current_plan", "starting_plan").alias("current_plan"),
-            F.coalesce("status", F.lit("active")).alias("status"),
-            F.coalesce("credits_30d", F.lit(0)).alias("credits_30d"),
-            F.coalesce("active_users", F.lit(0)).alias("active_users"),
-            (F.coalesce("invites", F.lit(0)) + 1).alias("seats"),
-            "last_seen_at",
-        )
+    used = daily_usage.groupBy("hubspot_company_id").agg(
+        F.sum(F.when(within(as_of, 30), F.col("total_credits_used"))).alias("credits"),
+        F.sum("teammates_invited").alias("invites"),
+        F.max("usage_date").alias("last_used_on"),
+    )
+    people = active_users.groupBy("hubspot_company_id").agg(F.max("active_users").alias("people"))
+    accounts = account_subscriptions.select(
+        "hubspot_company_id", "company_name", "subscription_id", "plan_name", "subscription_status"
+    )
+    key = "hubspot_company_id"
+    return attach_unique(attach_unique(accounts, key, used, key), key, people, key).select(
+        *accounts.columns,
+        F.coalesce("credits", F.lit(0)).alias("credits_30d"),
+        F.coalesce("people", F.lit(0)).alias("active_users"),
+        (F.coalesce("invites", F.lit(0)) + 1).alias("seats"),
+        "last_used_on",
     )
 
 

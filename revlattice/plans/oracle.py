@@ -395,17 +395,17 @@ CTES["answer_key"] = f"""
                CASE WHEN c_custkey % 13 = 0 THEN 'canceled' ELSE 'active' END AS status
         FROM customer"""
 CTES["usage_state"] = f"""
-        SELECT k.*, coalesce(c, 0) AS credits_30d, coalesce(u, 0) AS active_users,
-               1 + coalesce(i, 0) AS seats, t AS last_seen_at
-        FROM answer_key k LEFT JOIN (
-            SELECT account_domain,
-                   CAST(sum(credits_used) FILTER (lately) AS BIGINT) AS c,
-                   count(DISTINCT user_email) FILTER (lately) AS u,
-                   max(occurred_at) FILTER (lately) AS t,
-                   count(*) FILTER (event_type = 'teammate_invited') AS i
-            FROM (SELECT *, occurred_at >= {DAY} + INTERVAL 12 HOUR - INTERVAL 30 DAY AS lately FROM usage_log)
-            GROUP BY 1
-        ) e ON e.account_domain = k.domain"""
+        SELECT s.hubspot_company_id, s.company_name, s.subscription_id, s.plan_name, s.subscription_status,
+               coalesce(c, 0) AS credits_30d, coalesce(u, 0) AS active_users, 1 + coalesce(i, 0) AS seats, t AS last_used_on
+        FROM account_sub s LEFT JOIN (
+            SELECT hubspot_company_id, CAST(sum(total_credits_used) FILTER (usage_date >= {DAY} - 30) AS BIGINT) AS c,
+                   CAST(sum(teammates_invited) AS BIGINT) AS i, max(usage_date) AS t
+            FROM daily GROUP BY 1
+        ) d USING (hubspot_company_id) LEFT JOIN (
+            SELECT hubspot_company_id, count(DISTINCT user_email) AS u
+            FROM account JOIN usage_log ON account_domain = company_domain
+            WHERE CAST(occurred_at AS DATE) >= {DAY} - 30 GROUP BY 1
+        ) e USING (hubspot_company_id)"""
 
 
 def _sql(body: str) -> str:
@@ -630,13 +630,13 @@ _BODIES: dict[str, str] = {
         FROM companies) WHERE domain <> expected_domain""",
     "account_usage_state": _all("usage_state"),
     "plan_pressure": """
-        SELECT hubspot_company_id, domain, current_plan, credits_30d, seats, ratio AS credit_ratio, pushing AS is_pushing,
-               CASE WHEN pushing THEN map {'free': 'pro', 'pro': 'team'}[current_plan] END AS next_plan,
+        SELECT hubspot_company_id, subscription_id, u.plan_name, credits_30d, seats, ratio AS credit_ratio, pushing AS is_pushing,
+               CASE WHEN pushing THEN map {'free': 'pro', 'pro': 'team'}[u.plan_name] END AS next_plan,
                quiet AS is_quiet,
-               CASE WHEN quiet THEN map {'enterprise': 'team', 'team': 'pro', 'pro': 'free'}[current_plan] END AS lower_plan
-        FROM usage_state u JOIN plans p ON p.plan_name = u.current_plan,
-        LATERAL (SELECT credits_30d / monthly_credits AS ratio, ratio >= 0.8 OR seats > seat_limit AS pushing,
-                        current_plan <> 'free' AND ratio < 0.15 AS quiet) x""",
+               CASE WHEN quiet THEN map {'enterprise': 'team', 'team': 'pro', 'pro': 'free'}[u.plan_name] END AS lower_plan
+        FROM (SELECT u.*, credits_30d / monthly_credits AS ratio, credits_30d / monthly_credits >= 0.8 OR seats > seat_limit AS pushing,
+                     u.plan_name <> 'free' AND credits_30d / monthly_credits < 0.15 AS quiet
+              FROM usage_state u LEFT JOIN plans p ON p.plan_name = u.plan_name) u""",
     "kpi_cards": """
         SELECT sum(current_mrr_usd) AS mrr_usd, sum(annual_run_rate_usd) AS arr_usd,
                count(*) FILTER (is_active AND monthly_amount_usd > 0) AS active_paying_accounts,

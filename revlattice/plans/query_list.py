@@ -638,9 +638,9 @@ def domain_from_name_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _usage_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = staging.stg_usage_events(src.raw_usage_events(spark, sf_dir))
-    now = F.lit(f"{TODAY} 12:00:00").cast("timestamp")
-    return usage.account_usage_state(src.answer_key(spark, sf_dir), events, now)
+    m = for_overview(spark, sf_dir)
+    users = usage.active_users_exact(m.usage_events, m.identity, TODAY, days=30)
+    return usage.account_usage_state(m.account_subscriptions, m.daily_usage, users, TODAY)
 
 
 @query
@@ -650,8 +650,7 @@ def account_usage_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def plan_pressure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plans = seeds.seed_plans(spark)
-    return pressure.plan_pressure(_usage_state(spark, sf_dir), plans)
+    return pressure.plan_pressure(_usage_state(spark, sf_dir), seeds.seed_plans(spark))
 
 
 # --- pages

@@ -118,19 +118,32 @@ def test_chart_is_dense(spark):
     assert rows(chart.where("credits > 0"), "usage_date", "credits", "prompt_runs", "sessions") == [(day("2024-01-31"), 5, 3, 2)]
 
 
-def test_usage_state_defaults(spark):
-    key = spark.createDataFrame([("a.com", "free"), ("b.com", "pro")], "domain string, starting_plan string")
+def test_usage_state(spark):
+    subs = spark.createDataFrame(
+        [("1", "A", "s1", "pro", "active"), ("1", "A", "s2", "free", "canceled"), ("2", "B", None, None, None), (None, "C", "s3", "pro", "active")],
+        "hubspot_company_id string, company_name string, subscription_id string, plan_name string, subscription_status string",
+    )
+    daily = spark.createDataFrame(
+        [("1", day("2024-01-01"), 4, 1), ("1", day("2023-12-31"), 8, 2), ("1", day("2024-02-02"), 16, 0)],
+        "hubspot_company_id string, usage_date date, total_credits_used bigint, teammates_invited bigint",
+    )
+    users = spark.createDataFrame([("1", "a.com", 3), ("1", "b.com", 5)], "hubspot_company_id string, account_domain string, active_users bigint")
+    state = usage.account_usage_state(subs, daily, users, "2024-01-31")
+    # Counted from 30 days back on, days to come included; invites count whenever they were.
+    got = rows(state, "company_name", "subscription_id", "credits_30d", "active_users", "seats", "last_used_on")
+    last = day("2024-02-02")
+    assert got == [("A", "s1", 20, 5, 4, last), ("A", "s2", 20, 5, 4, last), ("B", None, 0, 0, 1, None), ("C", "s3", 0, 0, 1, None)]
+
+
+def test_users_of_a_window(spark):
+    who = spark.createDataFrame([("1", "a.com"), ("1", "a.com"), ("2", None)], "hubspot_company_id string, company_domain string")
     events = spark.createDataFrame(
-        [
-            ("a.com", "u1", "teammate_invited", 0, ts("2023-01-01 00:00:00")),
-            ("a.com", "u1", "prompt_run", 4, ts("2024-01-01 12:00:00")),
-            ("a.com", "u2", "prompt_run", 4, ts("2024-01-01 11:59:59")),
-        ],
+        [("a.com", u, "prompt_run", 1, ts(t)) for u, t in (("u1", "2024-01-01 00:00:00"), ("u1", "2024-01-30 00:00:00"), ("u2", "2023-12-31 23:59:59"))]
+        + [(None, "u3", "prompt_run", 1, ts("2024-01-30 00:00:00"))],
         EVENT,
     )
-    state = usage.account_usage_state(key, events, F.lit("2024-01-31 12:00:00").cast("timestamp"))
-    got = rows(state, "domain", "current_plan", "status", "credits_30d", "active_users", "seats")
-    assert got == [("a.com", "free", "active", 4, 1, 2), ("b.com", "pro", "active", 0, 0, 1)]
+    assert rows(usage.active_users_exact(events, who, "2024-01-31", days=30)) == [("1", "a.com", 1)]
+    assert rows(usage.active_users_exact(events, who, "2024-01-31", days=31)) == [("1", "a.com", 2)]
 
 
 def test_account_subscription_keeps_everyone(spark):

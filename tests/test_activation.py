@@ -97,9 +97,9 @@ def test_deals(spark):
 def test_pressure(spark):
     state = spark.createDataFrame(
         [("a", "a", "free", 40, 1), ("b", "b", "pro", 75, 4), ("c", "c", "team", 2400, 1), ("d", "d", "enterprise", 3000, 1), ("e", "e", "enterprise", 2999, 1), ("f", "f", "free", 0, 1), ("g", "g", "pro", 74, 4)],
-        "hubspot_company_id string, domain string, current_plan string, credits_30d bigint, seats bigint",
+        "hubspot_company_id string, subscription_id string, plan_name string, credits_30d bigint, seats bigint",
     )
-    got = rows(pressure.plan_pressure(state, seed_plans(spark)), "domain", "is_pushing", "next_plan", "is_quiet", "lower_plan")
+    got = rows(pressure.plan_pressure(state, seed_plans(spark)), "subscription_id", "is_pushing", "next_plan", "is_quiet", "lower_plan")
     assert got == [
         ("a", True, "pro", False, None),
         ("b", True, "team", False, None),  # over its seats
