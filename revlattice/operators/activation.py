@@ -32,6 +32,7 @@ PROPERTY_SOURCES = {
 }
 # Deal stage for a new lead, and the CRM's limit per batch call.
 NEW_DEAL_STAGE = "appointmentscheduled"
+WON_STAGE, LOST_STAGE = "closedwon", "closedlost"
 BATCH_SIZE = 100
 
 
@@ -166,6 +167,30 @@ def deal_associations(new_deals: DataFrame, prefix: str = PROPERTY_PREFIX) -> Da
     )
 
 
+def deal_follow_up(leads: DataFrame, deals: DataFrame, deal_accounts: DataFrame) -> DataFrame:
+    """What is left to do about deals made earlier: action, deal_id, hubspot_company_id.
+
+    `close`: an open deal whose company is no lead any more. `open anew`: a lead all of whose deals
+    were lost, which `new_pql_deals` passes over as it has deals; deal_id is NULL. A deal without a stage is
+    open, deals without a company are left alone, and a company of very many deals is spread over them.
+    """
+    lost = F.coalesce(F.col("deal_stage") == LOST_STAGE, F.lit(False))
+    won = F.coalesce(F.col("deal_stage") == WON_STAGE, F.lit(False))
+    stages = deals.select(F.col("deal_id").alias("of_deal"), "deal_stage")
+    linked = (
+        deal_accounts.where(F.col("hubspot_company_id") != "")
+        .join(stages, F.col("deal_id") == F.col("of_deal"))
+        .drop("of_deal")
+    )
+    close = keep_unmatched(linked.where(~lost & ~won), "hubspot_company_id", leads, "hubspot_company_id")
+    companies = linked.groupBy("hubspot_company_id").agg(F.bool_and(lost).alias("all_lost"))
+    wanted = leads.select(F.col("hubspot_company_id").alias("lead")).distinct()
+    again = companies.where("all_lost").join(wanted, F.col("hubspot_company_id") == F.col("lead"))
+    return close.select(F.lit("close").alias("action"), "deal_id", "hubspot_company_id").unionByName(
+        again.select(F.lit("open anew").alias("action"), F.lit(None).cast("string").alias("deal_id"), "hubspot_company_id")
+    )
+
+
 def deal_sync_counts(payload: DataFrame, decisions: DataFrame) -> DataFrame:
     """How many companies are updated, and how many deals are made or exist already."""
     updates = payload.agg(F.count("*").alias("records"))

@@ -150,10 +150,10 @@ def run_day(
 
     payload = activation.company_property_payload(overview, run_at)
     publish("company_payload_batches", activation.payload_batches(payload))
-    deal_accounts = staging.stg_deal_accounts(
-        models.raw["deals"](), f"{activation.PROPERTY_PREFIX}company_id"
-    )
+    raw_deals = models.raw["deals"]()
+    deal_accounts = staging.stg_deal_accounts(raw_deals, f"{activation.PROPERTY_PREFIX}company_id")
     publish("new_deals", activation.new_pql_deals(models.leads, deal_accounts))
     decisions = activation.deal_decisions(models.leads, deal_accounts)
     publish("deal_sync_counts", activation.deal_sync_counts(payload, decisions))
+    publish("deal_follow_up", activation.deal_follow_up(models.leads, staging.stg_deals(raw_deals), deal_accounts))
     return result

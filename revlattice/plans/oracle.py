@@ -43,7 +43,7 @@ CTES: dict[str, str] = {
                'default' AS pipeline,
                CASE WHEN c_custkey % 9 <> 0 THEN CAST(12000.5 + c_custkey % 7 * 1000 AS DOUBLE) END AS amount,
                CAST(NULL AS TIMESTAMP) AS close_date, {_CRM_DAY} AS created_at, {_CRM_DAY} AS updated_at,
-               CASE WHEN c_custkey % 6 = 0 THEN CAST(c_custkey AS VARCHAR) END AS deal_company
+               CASE WHEN c_custkey % 6 = 0 OR c_custkey % 12 = 7 THEN CAST(c_custkey AS VARCHAR) END AS deal_company
         FROM customer""",
     "billing": f"""
         SELECT 'cus_' || c_custkey AS customer_id,
@@ -580,6 +580,14 @@ _BODIES: dict[str, str] = {
         SELECT 'deals' AS from_object_type, company_name || ' - Enterprise (PQL)' AS dealname,
                'companies' AS to_object_type, hubspot_company_id AS to_object_id
         FROM leads WHERE hubspot_company_id NOT IN (SELECT deal_company FROM deals WHERE deal_company IS NOT NULL)""",
+    "deal_follow_up": """
+        SELECT 'close' AS action, deal_id, deal_company AS hubspot_company_id FROM deals
+        WHERE deal_company IS NOT NULL AND deal_stage NOT IN ('closedwon', 'closedlost')
+          AND deal_company NOT IN (SELECT hubspot_company_id FROM leads)
+        UNION ALL
+        SELECT 'open anew', NULL, deal_company FROM deals
+        WHERE deal_company IN (SELECT hubspot_company_id FROM leads)
+        GROUP BY deal_company HAVING count(*) = count(*) FILTER (deal_stage = 'closedlost')""",
     "deal_value_estimate": """
         SELECT company_id, employees, CAST(12000 + 6000 * (CAST(employees >= 100 AS INTEGER)
                + CAST(employees >= 250 AS INTEGER)) AS DOUBLE) AS deal_value_usd FROM companies""",

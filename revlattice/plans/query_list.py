@@ -534,6 +534,12 @@ def deal_associations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activation.deal_associations(fresh)
 
 
+@query
+def deal_follow_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deals = staging.stg_deals(src.raw_deals(spark, sf_dir))
+    return activation.deal_follow_up(models(spark, sf_dir).leads, deals, _deal_accounts(spark, sf_dir))
+
+
 @query
 def deal_value_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     companies = staging.stg_companies(src.raw_companies(spark, sf_dir))

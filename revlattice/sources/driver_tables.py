@@ -83,7 +83,7 @@ def raw_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A deal for each customer; only every sixth one was written by the activation job."""
+    """A deal for each customer; every sixth one, and some lost ones, were written by the activation job."""
     return _raw(
         _customers_with_key(spark, sf_dir),
         "concat('deal_', k)",
@@ -91,7 +91,7 @@ def raw_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'dealstage', element_at(array('appointmentscheduled', 'qualifiedtobuy', 'closedwon', 'closedlost'), cast(k % 4 + 1 as int)), "
         "'pipeline', 'default', 'amount', if(k % 9 = 0, 'unknown', concat(12000 + k % 7 * 1000, '.5')), "
         f"'createdate', {_CRM_DATE}, 'hs_lastmodifieddate', {_CRM_DATE}, "
-        f"'{DEAL_ACCOUNT_PROPERTY}', if(k % 6 = 0, cast(k as string), null)))",
+        f"'{DEAL_ACCOUNT_PROPERTY}', if(k % 6 = 0 or k % 12 = 7, cast(k as string), null)))",
     )
 
 

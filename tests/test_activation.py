@@ -94,6 +94,17 @@ def test_deals(spark):
     assert rows(counts) == [("company updated", 7), ("deal already existed", 1), ("deal created", 5)]
 
 
+def test_deals_to_follow_up(spark):
+    stages = [("d1", "appointmentscheduled"), ("d2", "closedlost"), ("d3", "closedlost"), ("d4", "closedlost"), ("d5", "closedwon"), ("d6", None), ("d7", "qualifiedtobuy"), ("d8", "closedlost"), ("d9", "closedlost"), ("x", "closedlost")]
+    of = [("d1", "gone"), ("d2", "1"), ("d3", "1"), ("d4", "2"), ("d5", "2"), ("d6", "gone"), ("d7", "3"), ("d8", "gone"), ("d9", None), ("d0", "4"), ("x", "")]
+    deals = spark.createDataFrame(stages, "deal_id string, deal_stage string").withColumn("hubspot_company_id", F.lit("clash"))
+    known = spark.createDataFrame(of, "deal_id string, hubspot_company_id string")
+    got = rows(activation.deal_follow_up(leads(spark), deals, known), "action", "deal_id", "hubspot_company_id")
+    # A win or an open deal beside lost ones is enough; deals the CRM no longer has count for nothing.
+    assert got == [("close", "d1", "gone"), ("close", "d6", "gone"), ("open anew", None, "1")]
+    assert activation.deal_follow_up(leads(spark).limit(0), deals, known.limit(0)).count() == 0
+
+
 def test_pressure(spark):
     state = spark.createDataFrame(
         [("a", "a", "free", 40, 1), ("b", "b", "pro", 75, 4), ("c", "c", "team", 2400, 1), ("d", "d", "enterprise", 3000, 1), ("e", "e", "enterprise", 2999, 1), ("f", "f", "free", 0, 1), ("g", "g", "pro", 74, 4)],
