@@ -210,3 +210,29 @@ def test_account_detail_of_one_account(spark, tmp_path):
     assert one._jdf.queryExecution().executedPlan().toString().count("EqualTo(hubspot_company_id,1)") >= 2
     every = {r.hubspot_company_id: r.daily for r in reads.account_detail(overview, daily, "2024-01-31").collect()}
     assert len(every["2"]) == 30 and every[None] is None and len(every) == 3
+
+
+def test_account_pages_and_charts_are_not_broadcast(spark, tmp_path):
+    """Small files hold series of any size, so Spark's estimate of them must not decide."""
+    from pyspark.sql import functions as F
+
+    from revlattice.operators import reads, usage
+    from revlattice.operators.overview import OVERVIEW_COLUMNS
+
+    accounts = spark.range(40).select((F.col("id") % 35).cast("string").alias("hubspot_company_id"))
+    accounts = accounts.union(spark.sql("SELECT CAST(null AS string)"))
+    accounts.select("*", *[F.lit("x").alias(c) for c in OVERVIEW_COLUMNS[1:]]).write.parquet(str(tmp_path / "overview"))
+    spark.range(300).selectExpr(
+        "cast(id % 20 as string) AS hubspot_company_id", "date_sub(date'2024-01-31', cast(id % 40 as int)) AS usage_date",
+        "id AS total_credits_used", "1L AS prompt_runs", "2L AS sessions",
+    ).write.parquet(str(tmp_path / "daily"))
+    overview, daily = (spark.read.parquet(str(tmp_path / n)) for n in ("overview", "daily"))
+    pages = reads.account_detail(overview, daily, "2024-01-31")
+    for df in (pages, usage.usage_chart_30d(daily, overview, "2024-01-31")):
+        found = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "SortMergeJoin" in plan and found
+    got = pages.collect()
+    assert len(got) == 41 and sum(r.hubspot_company_id == "3" for r in got) == 2
+    assert all((r.daily is None) if r.hubspot_company_id is None else len(r.daily) == 30 for r in got)
+    assert sum(d.credits for r in {r.hubspot_company_id: r for r in got if r.daily}.values() for d in r.daily) == sum(i for i in range(300) if i % 40 < 30)
