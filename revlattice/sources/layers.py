@@ -20,7 +20,7 @@ def materialise_layer(
     """Publish a model under its layer and return it as readers will see it.
 
     Views are session views `<schema>_<name>`; tables are `<schema>.<name>`, stored in
-    `<root>/<schema>-tables`, and replace a table of that name. The schema is the layer's own unless `schema` names another.
+    `<root>/<schema>`, and replace a table of that name. The schema is the layer's own unless `schema` names another.
     """
     spark = df.sparkSession
     kind = LAYER_KIND[layer_name(layer, default)]
@@ -28,13 +28,13 @@ def materialise_layer(
     if kind == "view":
         df.createOrReplaceTempView(f"{schema}_{name}")
         return spark.table(f"{schema}_{name}")
-    # Tables lie beside the schema's folder, which goes with the schema.
+    # Tables lie beside the schema's own folder, which goes with the schema.
     location = f"{root.rstrip('/')}/{schema}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{location}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{location}-schema'")
     (
         df.write.mode("overwrite")
         .format("parquet")
-        .option("path", f"{location}-tables/{name}")
+        .option("path", f"{location}/{name}")
         .saveAsTable(f"{schema}.{name}")
     )
     return spark.table(f"{schema}.{name}")
